@@ -1,0 +1,45 @@
+"""N:1 joins that stay whole and even when the dimension is large or one key is hot."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fulluse.plans.params import Params
+
+
+def is_small(dim: DataFrame, params: Params) -> bool:
+    """True when a bounded count proves that ``dim`` fits the broadcast limit.
+
+    The limit stops the scan early on a large table, so the check costs a few
+    rows per partition, not a full pass.
+    """
+    bound = params.broadcast_rows
+    return dim.select(F.lit(1)).limit(bound + 1).count() <= bound
+
+
+def lookup(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    small: bool,
+    params: Params,
+) -> DataFrame:
+    """Inner join of ``facts`` to a dimension keyed by ``on``.
+
+    ``small`` is the verdict of :func:`is_small`. A dimension over the limit is
+    shuffled: each fact row gets a salt from a hash of its own values (stable
+    when a task is retried, unlike ``rand``) and the dimension is repeated once
+    per salt, so no task receives more than its share of a hot key.
+    """
+    on = list(on)
+    if small:
+        return facts.join(F.broadcast(dim), on)
+    salts = params.join_salts
+    salted = facts.withColumn(
+        "_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    )
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "_salt"]).drop("_salt")
