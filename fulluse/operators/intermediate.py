@@ -33,13 +33,15 @@ def consumption_rate(stg_consumption: DataFrame) -> DataFrame:
 
 def feature_coverage(
     spine: DataFrame,
+    hits: DataFrame,
     features: DataFrame,
-    raw_activity: DataFrame,
     few_features: bool,
     params: Params,
 ) -> DataFrame:
     """Breadth factor: weight of active over weight of entitled features.
 
+    ``hits`` is the result of :func:`staging.feature_hits`.
+
     Entitled weight is the number of contracts times the SKU's catalogue
     weight, so only recorded activity is joined; the contract x feature grid is
     never built. A repeated record adds its feature's weight once more to both
@@ -54,13 +56,7 @@ def feature_coverage(
     weight = F.col("feature_value_weight")
     extra = F.col("records") - 1
     touched = (
-        lookup(
-            staging.feature_hits(spine, raw_activity),
-            weights,
-            ["product_id", "feature_id"],
-            few_features,
-            params,
-        )
+        lookup(hits, weights, ["product_id", "feature_id"], few_features, params)
         .groupBy(*KEY)
         .agg(
             F.sum(F.col("active_records") * weight).alias("_active_weight"),

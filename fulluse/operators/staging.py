@@ -142,8 +142,32 @@ def consumption(spine: DataFrame, raw_consumption: DataFrame) -> DataFrame:
     )
 
 
+def booked(
+    records: DataFrame, contracts: DataFrame, window: tuple[Column, Column]
+) -> DataFrame:
+    """Monthly records that fall on the spine, with the customer and SKU of their contract.
+
+    Joining the contracts on their id and testing the month gives what joining
+    the spine would, and shuffles one row per contract instead of one per
+    contract-month.
+    """
+    month = F.col("month")
+    terms = contracts.select("entitlement_id", "cust_id", "product_id", "start_date", "end_date")
+    return (
+        records.join(terms, "entitlement_id")
+        .filter(
+            (month == F.trunc(month, "month"))
+            & month.between(F.trunc("start_date", "month"), F.col("end_date"))
+            & month.between(*window)
+        )
+        .drop("start_date", "end_date")
+    )
+
+
 def feature_activity(
     spine: DataFrame,
+    contracts: DataFrame,
+    window: tuple[Column, Column],
     features: DataFrame,
     raw_activity: DataFrame,
     few_features: bool,
@@ -151,10 +175,9 @@ def feature_activity(
 ) -> DataFrame:
     """Every entitled feature of every contract-month; inactive unless a record says otherwise.
 
-    A repeated activity record is kept as its own row. The records are the
-    streamed side of an inner join, which lets Spark split a hot
-    contract-month, and the untouched features come from an anti join against
-    distinct keys. Records on features outside the SKU match nothing and drop.
+    A repeated activity record is kept as its own row. The records are one side
+    of an inner join, which lets Spark split a hot contract, and the untouched
+    features come from an anti join against distinct keys. Records on features outside the SKU match nothing and drop.
     """
     seats = spine.select("entitlement_id", "cust_id", "product_id", "month")
     catalogue = features.select(
@@ -174,7 +197,7 @@ def feature_activity(
         "feature_value_weight",
     ]
     used = lookup(
-        records.join(seats, ["entitlement_id", "month"]),
+        booked(records, contracts, window),
         catalogue,
         ["product_id", "feature_id"],
         few_features,
@@ -197,8 +220,10 @@ def feature_activity(
     return used.unionByName(unused)
 
 
-def feature_hits(spine: DataFrame, raw_activity: DataFrame) -> DataFrame:
-    """Activity per contract-month and feature, combined before it meets the spine.
+def feature_hits(
+    contracts: DataFrame, window: tuple[Column, Column], raw_activity: DataFrame
+) -> DataFrame:
+    """Activity per contract-month and feature, combined before it meets the contracts.
 
     ``records`` counts repeats, so the row counts of :func:`feature_activity`
     can be recovered without building it.
@@ -208,5 +233,4 @@ def feature_hits(spine: DataFrame, raw_activity: DataFrame) -> DataFrame:
         F.count_if("is_active").alias("active_records"),
         F.sum("usage_events").alias("usage_events"),
     )
-    seats = spine.select("entitlement_id", "month", "cust_id", "product_id")
-    return combined.join(seats, ["entitlement_id", "month"])
+    return booked(combined, contracts, window)

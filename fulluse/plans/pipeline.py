@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +46,7 @@ SHARED = (
     "mart_customer_sku_month",
 )
 
-MONTH_KEY = ("month", "cust_id", "product_id")
-
-# Written in month order, so that a query on one month reads few files.
+# Large tables that are mostly read one month at a time.
 MONTH_ORDERED = ("stg_feature_activity", "mart_customer_sku_month")
 
 
@@ -56,13 +54,19 @@ class Models:
     """Raw tables and models by name, each built on first use.
 
     Without ``keep`` every model is one lazy plan over the raw tables. With it,
-    the shared ones are written and read back.
+    the shared ones are written and read back. ``folder`` holds the audit
+    history of such a run.
     """
 
     def __init__(
-        self, raw: Mapping[str, DataFrame], params: Params = Params(), keep: Keep | None = None
+        self,
+        raw: Mapping[str, DataFrame],
+        params: Params = Params(),
+        keep: Keep | None = None,
+        folder: str | None = None,
     ) -> None:
         self.raw = raw
+        self.folder = folder
         self.params = params
         self._keep = keep
         self._built: dict[str, DataFrame] = {}
@@ -95,7 +99,7 @@ class Models:
 
     def feature_hits(self) -> DataFrame:
         return staging.feature_hits(
-            self["stg_entitlement_month"], self["feature_adoption_monthly"]
+            self["stg_entitlements"], self.window(), self["feature_adoption_monthly"]
         )
 
     def _stg_customers(self) -> DataFrame:
@@ -120,6 +124,8 @@ class Models:
     def _stg_feature_activity(self) -> DataFrame:
         return staging.feature_activity(
             self["stg_entitlement_month"],
+            self["stg_entitlements"],
+            self.window(),
             self["features"],
             self["feature_adoption_monthly"],
             self.small("features"),
@@ -132,8 +138,8 @@ class Models:
     def _int_feature_coverage(self) -> DataFrame:
         return intermediate.feature_coverage(
             self["stg_entitlement_month"],
+            self.feature_hits(),
             self["features"],
-            self["feature_adoption_monthly"],
             self.small("features"),
             self.params,
         )
@@ -186,12 +192,36 @@ class Models:
         return marts.exec_summary(self["mart_customer_sku_month"])
 
 
+def refresh(
+    raw: Mapping[str, DataFrame], folder: str, since: date, params: Params = Params()
+) -> None:
+    """Rewrite only the months from ``since`` on of the two month-foldered tables.
+
+    Everything else of an earlier :func:`run` in ``folder`` stays. Flags look
+    back and ahead over a pair's months, so the models are planned over the
+    whole history and only the touched months are written.
+    """
+    models = Models(raw, params)
+    for name in MONTH_ORDERED:
+        touched = models[name].filter(F.col("month") >= F.lit(since))
+        storage.refresh_months(touched, f"{folder}/{name}")
+
+
 @dataclass(frozen=True)
 class Run:
     models: Models
     audit: DataFrame
 
 
+def write_model(df: DataFrame, name: str, folder: str) -> DataFrame:
+    path = f"{folder}/{name}"
+    if name in MONTH_ORDERED:
+        return storage.replace_table(
+            df, path, storage.BY_MONTH, storage.IN_MONTH, month_folders=True
+        )
+    return storage.replace_table(df, path)
+
+
 def run(
     raw: Mapping[str, DataFrame],
     folder: str,
@@ -203,16 +233,7 @@ def run(
     seconds: dict[str, float] = {}
     for name in MODELS:
         started = time.monotonic()
-        ordered = name in MONTH_ORDERED
-        models.put(
-            name,
-            storage.replace_table(
-                models[name],
-                f"{folder}/{name}",
-                cluster=MONTH_KEY if ordered else (),
-                month_folders=ordered,
-            ),
-        )
+        models.put(name, write_model(models[name], name, folder))
         seconds[name] = time.monotonic() - started
     rows = audit.full(models, MODELS, seconds)
     stamped = audit.stamp(rows, run_ts)
@@ -230,7 +251,9 @@ def session_models(spark: SparkSession, folder: str, params: Params = Params())
         work = storage.WorkFolder(spark, "session")
 
         def keep(name: str, df: DataFrame) -> DataFrame:
-            return work.keep(name, df, MONTH_KEY if name in MONTH_ORDERED else ())
+            if name in MONTH_ORDERED:
+                return work.keep(name, df, storage.BY_MONTH, storage.IN_MONTH)
+            return work.keep(name, df)
 
-        _SESSIONS[key] = Models(AdaptedTables(spark, folder, keep), params, keep)
+        _SESSIONS[key] = Models(AdaptedTables(spark, folder, keep), params, keep, work.path)
     return _SESSIONS[key]

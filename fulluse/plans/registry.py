@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulluse.functions import metrics as m
-from fulluse.operators import audit
+from fulluse.operators import audit, checks, insights, planned
 from fulluse.operators.intermediate import KEY
 from fulluse.plans import storage
 from fulluse.plans.params import Params
@@ -112,11 +112,128 @@ SOURCES: dict[str, Query] = {
     "load_parity": load_parity,
 }
 
+def publish(t: Models) -> DataFrame:
+    """Append one run to the audit history and read the history back."""
+    if t.folder is None:
+        raise ValueError("these models keep no history")
+    rows = audit.stamp(audit.cleaning(t), datetime.now(UTC))
+    path = f"{t.folder}/pipeline_audit"
+    storage.append_table(rows, path)
+    return storage.read_written(rows.sparkSession, path, rows)
+
+
+EXEC = "mart_exec_summary"
+BY_CUSTOMER = "mart_customer_adoption"
+BY_PRODUCT = "mart_product_adoption"
+ACTIVITY = "stg_feature_activity"
+CHOSEN_SKU = "PROMO SKU"
+
+
+def removals(t: Models) -> DataFrame:
+    parts = ("internal", "dedupe", "unentitled")
+    return tables.union_all([audit.CLEANING[part](t) for part in parts])
+
+
+def depth(t: Models) -> DataFrame:
+    return insights.feature_depth(t[ACTIVITY], insights.latest_complete_month(t[FACT]))
+
+
+def sku_depth(t: Models) -> DataFrame:
+    rows = insights.of_sku(t[ACTIVITY], t["stg_entitlements"], CHOSEN_SKU)
+    return insights.feature_depth(rows, insights.latest_complete_month(t[FACT]))
+
+
+def worklist(t: Models, **choice: object) -> DataFrame:
+    month = insights.latest_complete_month(t[FACT])
+    return insights.customer_worklist(t[BY_CUSTOMER], month, t.params, **choice)
+
+
+def unused(t: Models) -> DataFrame:
+    """Idle features of the account at the top of the worklist."""
+    top = worklist(t).select("cust_name").limit(1).scalar()
+    month = insights.latest_complete_month(t[FACT])
+    return insights.unused_features(
+        t[ACTIVITY], t["stg_entitlements"], t["stg_customers"], top, month
+    )
+
+
+INSIGHTS: dict[str, Query] = {
+    "trust_strip": lambda t: insights.trust_strip(removals(t), t[EXEC]),
+    "overview_kpis": lambda t: insights.overview_kpis(t[EXEC]),
+    "weighted_gap": lambda t: insights.weighted_gap(t[EXEC], t.params),
+    "segment_risk": lambda t: insights.segment_risk(t[BY_CUSTOMER]),
+    "quadrant_accounts": lambda t: insights.quadrant_accounts(t[BY_CUSTOMER], t.params),
+    "quadrant_summary": lambda t: insights.quadrant_summary(
+        insights.quadrant_accounts(t[BY_CUSTOMER], t.params)
+    ),
+    "feature_depth": depth,
+    "feature_depth_kpis": lambda t: insights.feature_depth_kpis(depth(t)),
+    "feature_depth_pivot": lambda t: insights.feature_depth_pivot(depth(t)),
+    "feature_depth_product": sku_depth,
+    "customer_status": lambda t: insights.customer_status(t[BY_CUSTOMER], t.params),
+    "customer_worklist": worklist,
+    "customer_worklist_filtered": lambda t: worklist(
+        t, segment="Enterprise", needs_attention=True
+    ),
+    "worklist_headline": lambda t: insights.worklist_headline(worklist(t)),
+    "unused_features": unused,
+    "unused_summary": lambda t: insights.unused_summary(unused(t)),
+    "platform_risk": lambda t: insights.platform_risk(
+        t[BY_PRODUCT], insights.latest_complete_month(t[FACT])
+    ),
+    "sku_league": lambda t: insights.sku_league(
+        t[BY_PRODUCT], insights.latest_complete_month(t[FACT])
+    ),
+    "sku_feature_league": lambda t: insights.sku_feature_league(
+        t["mart_feature_adoption"],
+        t["stg_entitlements"],
+        insights.latest_complete_month(t[FACT]),
+        CHOSEN_SKU,
+    ),
+    "owner_board": lambda t: insights.owner_board(t["mart_owner_recovery"]),
+    "owner_board_latest": lambda t: insights.owner_board_latest(t["mart_owner_recovery"]),
+    "audit_publish": publish,
+    "run_history": lambda t: audit.run_history(publish(t)),
+    "scored_trend": lambda t: insights.scored_trend(t[EXEC]),
+    "value_trend": lambda t: insights.value_trend(t[EXEC]),
+    "complete_months": lambda t: insights.complete_months(t[FACT]),
+}
+
+PLANNED: dict[str, Query] = {
+    "overage_sustained": lambda t: planned.overage_sustained(
+        t["int_consumption_rate"], t.params
+    ),
+    "provisional_by_lag": lambda t: planned.provisional_by_lag(
+        t[EXEC], F.lit("2001-11-15").cast("date"), t.params
+    ),
+    "capacity_asof": lambda t: planned.capacity_asof(t["stg_entitlement_month"]),
+    "core_completion": lambda t: planned.core_completion(t[ACTIVITY]),
+    "vrr_bands": lambda t: planned.vrr_bands(t[BY_CUSTOMER]),
+    "rollup_region_segment": lambda t: planned.rollup_by(t[FACT], "region", "segment"),
+    "sustained_recovery": lambda t: planned.sustained_recovery(t["mart_owner_recovery"]),
+    "stage_progression": lambda t: planned.stage_progression(t[FACT]),
+    "guard_metrics": lambda t: planned.guard_metrics(t[BY_CUSTOMER], t.params),
+    "activation_survival": lambda t: planned.activation_survival(t[ACTIVITY]),
+    "feature_value_share": lambda t: planned.feature_value_share(
+        t[FACT], t["features"], t.small("features"), t.params
+    ),
+    "coverage_unweighted": lambda t: planned.coverage_unweighted(t["int_feature_coverage"]),
+}
+
+CHECKS: dict[str, Query] = {
+    **{name: (lambda n: lambda t: checks.check(t, n))(name) for name in checks.NAMES},
+    "spike_curve": lambda t: checks.score_curve(t[FACT], t.params.spike_cohort),
+    "dq_all": checks.run_all,
+}
+
 QUERIES: dict[str, Query] = {
     **SOURCES,
     **{name: (lambda n: lambda t: t[n])(name) for name in MODELS},
     **METRICS,
     **AUDIT,
+    **CHECKS,
+    **INSIGHTS,
+    **PLANNED,
 }
 
 

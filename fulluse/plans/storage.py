@@ -31,37 +31,49 @@ class WorkFolder:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/fulluse/{label}-{uuid.uuid4().hex}"
 
-    def keep(self, name: str, df: DataFrame, cluster: Sequence[str] = ()) -> DataFrame:
-        return replace_table(df, f"{self.path}/{name}", cluster)
+    def keep(
+        self, name: str, df: DataFrame, together: Sequence[str] = (), within: Sequence[str] = ()
+    ) -> DataFrame:
+        return replace_table(df, f"{self.path}/{name}", together, within)
 
 
-def arranged(df: DataFrame, cluster: Sequence[str]) -> DataFrame:
-    """Rows of one cluster key together and sorted, in partitions of even size.
+def arranged(df: DataFrame, together: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Rows that share ``together`` side by side, sorted, in partitions of even size.
 
     Rebalancing lets Spark split a key that holds a large share of the rows
     (or of identical copies) and merge small ones, so files stay near the
     advisory size. The sort makes row-group statistics prune.
     """
-    if not cluster:
+    if not together:
         return df
-    return df.hint("rebalance", *[F.col(c) for c in cluster]).sortWithinPartitions(*cluster)
+    balanced = df.hint("rebalance", *[F.col(c) for c in together])
+    return balanced.sortWithinPartitions(*together, *within)
 
 
 def replace_table(
-    df: DataFrame, path: str, cluster: Sequence[str] = (), month_folders: bool = False
+    df: DataFrame,
+    path: str,
+    together: Sequence[str] = (),
+    within: Sequence[str] = (),
+    month_folders: bool = False,
 ) -> DataFrame:
     """Full-refresh write; running it again converges to the same table."""
-    writer = arranged(df, cluster).write.mode("overwrite")
+    writer = arranged(df, together, within).write.mode("overwrite")
     if month_folders:
         writer = writer.partitionBy("month")
     writer.parquet(path)
     return read_written(df.sparkSession, path, df)
 
 
+# Layout of the large monthly tables: a query on one month reads few files.
+BY_MONTH = ("month",)
+IN_MONTH = ("cust_id", "product_id")
+
+
 def refresh_months(df: DataFrame, path: str) -> None:
     """Replace only the months present in ``df``; other month folders stay as they are."""
     (
-        arranged(df, ("month", "cust_id", "product_id"))
+        arranged(df, BY_MONTH, IN_MONTH)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")

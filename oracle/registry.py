@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import adapter, metrics, models
+from oracle import adapter, checks, insights, metrics, models
 from oracle.compose import Chain
 
 
@@ -19,6 +19,9 @@ def statements() -> dict[str, str]:
         publish(f"src_{table}", f"select * from {table}", adapter.DOUBLES.get(table, []))
     for name in models.NAMES:
         publish(name, f"select * from {name}", models.DOUBLES.get(name, []))
-    for name, (sql, doubles) in metrics.QUERIES.items():
+    chain.add("spike_curve", checks.CURVE)
+    chain.update(insights.PARTS)
+    queries = {**metrics.QUERIES, **checks.QUERIES, **insights.QUERIES}
+    for name, (sql, doubles) in queries.items():
         publish(name, sql, doubles)
     return out

@@ -15,6 +15,7 @@ YEARLY = {
     "closing_var_usd",
     "opening_var_usd",
     "quota_usd",
+    "sustained_recovered_usd",
     "value_recovered_usd",
     "var_usd",
 }
@@ -29,6 +30,6 @@ MONTHLY = {
 
 
 def digits(column: str) -> int:
-    if column in YEARLY:
+    if column in YEARLY or column == "observed":
         return 6
     return 7 if column in MONTHLY else 9
