@@ -95,7 +95,7 @@ def contract_milestones(raw_events: DataFrame) -> DataFrame:
 
 
 def deployment(
-    contracts: DataFrame, raw_events: DataFrame, window: tuple[Column, Column]
+    contracts: DataFrame, raw_events: DataFrame, window: staging.MonthWindow
 ) -> DataFrame:
     """Days to first value, to core completion and since the start.
 

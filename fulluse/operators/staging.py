@@ -60,38 +60,57 @@ def entitlements(
     )
 
 
-def data_window(consumption: DataFrame) -> tuple[Column, Column]:
-    """First and last month with usage data, as scalar subqueries."""
+MonthWindow = tuple[Column, Column]
+
+
+def data_window(consumption: DataFrame) -> MonthWindow:
+    """First and last month with usage data, read once and used as literals from then on.
+
+    Literals reach the scans of the monthly facts as pushed filters, and no
+    later plan has to read the usage table again just for its months.
+    """
+    first, last = consumption.agg(F.min("month"), F.max("month")).collect()[0]
+    return F.lit(first).cast("date"), F.lit(last).cast("date")
+
+
+def active_span(contracts: DataFrame, window: MonthWindow) -> DataFrame:
+    """Contracts active in the window, with the first month and the last day of that activity."""
+    first, last = window
+    dated = F.col("start_date").isNotNull() & F.col("end_date").isNotNull() & first.isNotNull()
     return (
-        consumption.agg(F.min("month")).scalar(),
-        consumption.agg(F.max("month")).scalar(),
+        contracts.filter(dated)
+        .withColumns(
+            {
+                "_from": F.greatest(F.trunc("start_date", "month"), first),
+                "_to": F.least(F.col("end_date"), last),
+            }
+        )
+        .filter(F.col("_from") <= F.col("_to"))
     )
 
 
-def spread_months(contracts: DataFrame, window: tuple[Column, Column]) -> DataFrame:
+def spread_months(contracts: DataFrame, window: MonthWindow) -> DataFrame:
     """One row per contract and calendar month in which it is active on any day.
 
     Only active months are generated, so the output is the spine itself and
-    never contracts x window.
+    never contracts x window. The condition around the sequence keeps it valid
+    wherever the optimizer puts the filter.
     """
-    first, last = window
-    bounds = contracts.withColumns({"_first": first, "_last": last}).withColumns(
-        {
-            "_from": F.greatest(F.trunc("start_date", "month"), F.col("_first")),
-            "_to": F.least(F.col("end_date"), F.col("_last")),
-        }
-    )
-    dated = (
-        F.col("start_date").isNotNull()
-        & F.col("end_date").isNotNull()
-        & F.col("_first").isNotNull()
-        & (F.col("_from") <= F.col("_to"))
+    valid = F.col("_from") <= F.col("_to")
+    months = F.when(valid, F.expr("sequence(_from, _to, interval 1 month)"))
+    return (
+        active_span(contracts, window)
+        .withColumn("month", F.explode(months))
+        .drop("_from", "_to")
     )
-    months = F.when(dated, F.expr("sequence(_from, _to, interval 1 month)"))
-    return bounds.withColumn("month", F.explode(months)).drop("_first", "_last", "_from", "_to")
 
 
-def entitlement_month(contracts: DataFrame, window: tuple[Column, Column]) -> DataFrame:
+def last_active_month(contracts: DataFrame, window: MonthWindow) -> Column:
+    """Last month of the spine, from the contracts alone, as a scalar subquery."""
+    return active_span(contracts, window).agg(F.max(F.trunc("_to", "month"))).scalar()
+
+
+def entitlement_month(contracts: DataFrame, window: MonthWindow) -> DataFrame:
     """The spine with monthly capacity and monthly contract value.
 
     Capacity is the entitled amount; money is units bought times unit price.
@@ -143,7 +162,7 @@ def consumption(spine: DataFrame, raw_consumption: DataFrame) -> DataFrame:
 
 
 def booked(
-    records: DataFrame, contracts: DataFrame, window: tuple[Column, Column]
+    records: DataFrame, contracts: DataFrame, window: MonthWindow
 ) -> DataFrame:
     """Monthly records that fall on the spine, with the customer and SKU of their contract.
 
@@ -167,7 +186,7 @@ def booked(
 def feature_activity(
     spine: DataFrame,
     contracts: DataFrame,
-    window: tuple[Column, Column],
+    window: MonthWindow,
     features: DataFrame,
     raw_activity: DataFrame,
     few_features: bool,
@@ -221,7 +240,7 @@ def feature_activity(
 
 
 def feature_hits(
-    contracts: DataFrame, window: tuple[Column, Column], raw_activity: DataFrame
+    contracts: DataFrame, window: MonthWindow, raw_activity: DataFrame
 ) -> DataFrame:
     """Activity per contract-month and feature, combined before it meets the contracts.
 

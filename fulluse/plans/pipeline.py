@@ -71,6 +71,7 @@ class Models:
         self._keep = keep
         self._built: dict[str, DataFrame] = {}
         self._small: dict[str, bool] = {}
+        self._window: staging.MonthWindow | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in raw_tables():
@@ -91,11 +92,13 @@ class Models:
             self._small[raw_name] = is_small(self.raw[raw_name], self.params)
         return self._small[raw_name]
 
-    def window(self) -> tuple[Column, Column]:
-        return staging.data_window(self["consumption_monthly"])
+    def window(self) -> staging.MonthWindow:
+        if self._window is None:
+            self._window = staging.data_window(self["consumption_monthly"])
+        return self._window
 
     def latest_month(self) -> Column:
-        return self["stg_consumption"].agg(F.max("month")).scalar()
+        return staging.last_active_month(self["stg_entitlements"], self.window())
 
     def feature_hits(self) -> DataFrame:
         return staging.feature_hits(
