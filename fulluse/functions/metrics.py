@@ -13,6 +13,15 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
+def settled(value: Column) -> Column:
+    """A mean or share without the last-digit noise of its summation order.
+
+    Thresholds are tested on this, so that a value that is exactly at a
+    threshold falls on the same side in every run.
+    """
+    return F.round(value, 12)
+
+
 def capped(value: Column) -> Column:
     """At most 1, and NULL stays NULL: ``least`` alone skips NULLs and would return a full score."""
     return F.when(value.isNotNull(), F.least(value, F.lit(1.0)))

@@ -93,9 +93,8 @@ def value_trend(exec_summary: DataFrame) -> DataFrame:
 def weighted_gap(exec_summary: DataFrame, params: Params) -> DataFrame:
     """Do large contracts score above or below small ones, by month."""
     gap = F.col("vrr_value_weighted") - F.col("vrr_unweighted")
-    finding = (
-        F.when(gap < -params.even_gap, "below").when(gap > params.even_gap, "above")
-    )
+    size = m.settled(gap)
+    finding = F.when(size < -params.even_gap, "below").when(size > params.even_gap, "above")
     return complete(exec_summary).select(
         "month", gap.alias("gap"), F.when(gap.isNotNull(), finding.otherwise("even")).alias("finding")
     )
@@ -136,8 +135,8 @@ QUADRANTS = (
 def quadrant_accounts(customer_adoption: DataFrame, params: Params) -> DataFrame:
     """Accounts of the last complete month in a two-by-two of coverage and capacity use."""
     month = latest_complete_month(customer_adoption)
-    broad = F.col("feature_coverage") >= params.split
-    heavy = F.col("consumption_rate") >= params.split
+    broad = m.settled(F.col("feature_coverage")) >= params.split
+    heavy = m.settled(F.col("consumption_rate")) >= params.split
     key = (
         F.when(broad & heavy, "value").when(broad, "scaled").when(heavy, "hot").otherwise("stalled")
     )
@@ -265,7 +264,7 @@ BARELY = "Barely deployed"
 
 
 def status(params: Params) -> Column:
-    score = F.col("vrr_value_weighted")
+    score = m.settled(F.col("vrr_value_weighted"))
     return (
         F.when(F.col("skus_deploying") == F.col("skus_held"), TOO_NEW)
         .when(F.col("skus_shelfware") > 0, NOT_USING)

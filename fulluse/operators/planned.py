@@ -67,7 +67,7 @@ BANDS = ((0.7, "0.70+"), (0.4, "0.40-0.70"), (0.1, "0.10-0.40"))
 
 def vrr_bands(customer_adoption: DataFrame) -> DataFrame:
     """Accounts per score band in the last complete month, with their share of all scored ones."""
-    score = F.col("vrr_value_weighted")
+    score = m.settled(F.col("vrr_value_weighted"))
     band = F.when(score == 0, "0.00")
     for edge, label in BANDS:
         band = band.when(score >= edge, label)
@@ -129,7 +129,7 @@ def stage_progression(fact: DataFrame) -> DataFrame:
 def guard_metrics(customer_adoption: DataFrame, params: Params, months: int = 3) -> DataFrame:
     """Per owner: score spread over the book and improvement from a low base over three months."""
     latest = latest_complete_month(customer_adoption)
-    score = F.col("vrr_value_weighted")
+    score = m.settled(F.col("vrr_value_weighted"))
     scored = customer_adoption.filter(score.isNotNull())
     now = scored.filter(F.col("month") == latest).select(
         "cust_id", "account_owner", score.alias("now")

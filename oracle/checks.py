@@ -48,8 +48,8 @@ def rollup(name: str, mart: str) -> str:
         tally("gap >= 0.01"),
         "max(gap)",
         f"""(select abs(x.v - y.v) as gap
- from (select month, sum(value_at_risk_usd) as v from {FACT} group by month) as x
- inner join (select month, sum(value_at_risk_usd) as v from {mart} group by month) as y
+ from (select month, fsum(value_at_risk_usd) as v from {FACT} group by month) as x
+ inner join (select month, fsum(value_at_risk_usd) as v from {mart} group by month) as y
  using (month))""",
         "observed < 0.01",
     )
@@ -210,8 +210,8 @@ CHECKS = {
     "dq_product_rollup": rollup("dq_product_rollup", "mart_product_adoption"),
     "dq_portfolio_plausible": row(
         "dq_portfolio_plausible",
-        "(not (12 * sum(licensed_value_usd) > 1e5 and 12 * sum(licensed_value_usd) < 1e12))::int",
-        "12 * sum(licensed_value_usd)",
+        "(not (12 * fsum(licensed_value_usd) > 1e5 and 12 * fsum(licensed_value_usd) < 1e12))::int",
+        "12 * fsum(licensed_value_usd)",
         f"{FACT} where month = (select max(month) from {FACT})",
     ),
     "dq_overlaps_exist": wanted("dq_overlaps_exist", "count(*)", OVERLAP, 2),

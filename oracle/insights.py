@@ -13,7 +13,8 @@ select cust_name, segment, account_owner, feature_coverage, consumption_rate,
        vrr_value_weighted as vrr, licensed_value_usd * 12 as book_usd,
        value_at_risk_usd * 12 as var_usd,
        (['stalled', 'hot', 'scaled', 'value'])[
-         1 + (consumption_rate >= 0.5)::int + 2 * (feature_coverage >= 0.5)::int] as quadrant
+         1 + (round(consumption_rate, 12) >= 0.5)::int
+         + 2 * (round(feature_coverage, 12) >= 0.5)::int] as quadrant
 from {BY_CUSTOMER}
 where month = {NOW} and feature_coverage + consumption_rate is not null""",
     "used_features": f"""
@@ -30,8 +31,8 @@ select *, case when skus_held = skus_deploying then 'Too new to score'
             when skus_shelfware >= 1 then 'Paying, not using'
             when skus_spike_drop >= 1 then 'Used it, then stopped'
             when skus_overage >= 1 then 'Using more than they bought'
-            when ifnull(vrr_value_weighted, 0) < 0.25 then 'Barely deployed'
-            when vrr_value_weighted < 0.5 then 'Partly deployed'
+            when ifnull(round(vrr_value_weighted, 12), 0) < 0.25 then 'Barely deployed'
+            when round(vrr_value_weighted, 12) < 0.5 then 'Partly deployed'
             else 'Healthy' end as status
 from {BY_CUSTOMER}""",
     "worklist": f"""
@@ -48,6 +49,9 @@ where a.month = {NOW} and not a.is_active
   and c.cust_name = (select cust_name from worklist order by var_usd desc, cust_name limit 1)
 order by a.feature_value_weight desc, a.feature_id, p.product_name
 limit 40""",
+    "settled": f"""
+select cust_id, account_owner, month, round(vrr_value_weighted, 12) as vrr_value_weighted
+from {BY_CUSTOMER}""",
     "first_use": """
 select cust_id, product_id, feature_id, min(month) as month
 from stg_feature_activity where is_active group by all""",
@@ -88,20 +92,20 @@ from finished qualify month = max(month) over ()""",
     "weighted_gap": (
         """select month, vrr_value_weighted - vrr_unweighted as gap,
  case when vrr_unweighted is null then null
-      when abs(vrr_value_weighted - vrr_unweighted) <= 0.01 then 'even'
+      when abs(round(vrr_value_weighted - vrr_unweighted, 12)) <= 0.01 then 'even'
       when vrr_value_weighted > vrr_unweighted then 'above' else 'below' end as finding
 from finished""",
         ["gap"],
     ),
     "segment_risk": (
-        f"""select segment, 12 * sum(value_at_risk_usd) as var_usd,
+        f"""select segment, 12 * fsum(value_at_risk_usd) as var_usd,
  count(distinct cust_id) as customers from {FACT} where month = {NOW} group by segment""",
         ["var_usd"],
     ),
     "quadrant_accounts": ("select * from placed", WORK),
     "quadrant_summary": (
         "select box.quadrant, label, count(cust_name) as accounts, "
-        "ifnull(sum(var_usd), 0) as var_usd, play, owner from (values "
+        "ifnull(fsum(var_usd), 0) as var_usd, play, owner from (values "
         + ", ".join(f"('{k}', '{a}', '{b}', '{c}')" for k, a, b, c in BOXES)
         + ") as box(quadrant, label, play, owner) left join placed "
         "on placed.quadrant = box.quadrant group by box.quadrant, label, play, owner",
@@ -133,7 +137,7 @@ where product_name = 'PROMO SKU' group by all""",
         WORK,
     ),
     "worklist_headline": (
-        "select count(*) as accounts, sum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
+        "select count(*) as accounts, fsum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
         ["var_usd", "vrr_mean"],
     ),
     "unused_features": ("select * from idle", []),
@@ -143,9 +147,9 @@ where product_name = 'PROMO SKU' group by all""",
         [],
     ),
     "platform_risk": (
-        f"""select product_platform, 12 * sum(licensed_value_usd) as book_usd,
- 12 * sum(value_at_risk_usd) as var_usd,
- sum(vrr_value_weighted * licensed_value_usd) / nullif(sum(licensed_value_usd), 0) as vrr
+        f"""select product_platform, 12 * fsum(licensed_value_usd) as book_usd,
+ 12 * fsum(value_at_risk_usd) as var_usd,
+ sum(vrr_value_weighted * licensed_value_usd) / nullif(fsum(licensed_value_usd), 0) as vrr
 from {BY_PRODUCT} where month = {NOW} group by product_platform""",
         ["book_usd", "var_usd", "vrr"],
     ),
@@ -209,16 +213,16 @@ from stg_feature_activity where feature_tier = 'Core' group by all""",
         f"""select band, count(*) as accounts, count(*) / sum(count(*)) over () as share
 from (select case when v = 0 then '0.00' when v < 0.1 then '0.00-0.10'
         when v < 0.4 then '0.10-0.40' when v < 0.7 then '0.40-0.70' else '0.70+' end as band
-      from (select vrr_value_weighted as v from {BY_CUSTOMER} where month = {NOW})
+      from (select round(vrr_value_weighted, 12) as v from {BY_CUSTOMER} where month = {NOW})
       where v is not null)
 group by band""",
         ["share"],
     ),
     "rollup_region_segment": (
         f"""select month, region, segment, grouping(month, region, segment)::bigint as level,
- 12 * sum(licensed_value_usd) as book_usd, 12 * sum(value_at_risk_usd) as var_usd,
- sum(realized_value_usd) filter (where vrr is not null)
-   / nullif(sum(licensed_value_usd) filter (where vrr is not null), 0) as vrr_value_weighted,
+ 12 * fsum(licensed_value_usd) as book_usd, 12 * fsum(value_at_risk_usd) as var_usd,
+ fsum(realized_value_usd) filter (where vrr is not null)
+   / nullif(fsum(licensed_value_usd) filter (where vrr is not null), 0) as vrr_value_weighted,
  avg(vrr) as vrr_unweighted
 from {FACT} group by grouping sets ((month), (month, region), (month, region, segment))""",
         ["book_usd", "var_usd", "vrr_value_weighted", "vrr_unweighted"],
@@ -241,7 +245,7 @@ where before and not flag_deploying group by month""",
         [],
     ),
     "guard_metrics": (
-        f"""select x.account_owner, count(*) as accounts,
+        """select x.account_owner, count(*) as accounts,
  max(x.vrr_value_weighted) - min(x.vrr_value_weighted) as vrr_spread,
  stddev_pop(x.vrr_value_weighted) as vrr_stddev,
  count(*) filter (where y.vrr_value_weighted < 0.25) as low_base_accounts,
@@ -249,9 +253,9 @@ where before and not flag_deploying group by month""",
    and y.vrr_value_weighted < x.vrr_value_weighted) as low_base_improved,
  avg((y.vrr_value_weighted < x.vrr_value_weighted)::int)
    filter (where y.vrr_value_weighted < 0.25) as low_base_improved_share
-from {BY_CUSTOMER} as x
-left join {BY_CUSTOMER} as y on y.cust_id = x.cust_id and y.month = x.month - interval 3 month
-where x.month = {NOW} and x.vrr_value_weighted is not null
+from settled as x
+left join settled as y on y.cust_id = x.cust_id and y.month = x.month - interval 3 month
+where x.month = (select max(month) from finished) and x.vrr_value_weighted is not null
 group by x.account_owner""",
         ["vrr_spread", "vrr_stddev", "low_base_improved_share"],
     ),
