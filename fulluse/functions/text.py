@@ -1,4 +1,4 @@
-"""Presentation of money as text."""
+"""Presentation of money and shares."""
 
 from __future__ import annotations
 
@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 MONEY_UNITS = (("B", 1e9), ("M", 1e6), ("k", 1e3))
 
 
+def whole_percent(share: Column) -> Column:
+    """A share as whole percent; an exact half goes to the even side."""
+    return F.bround(F.round(share, 12) * 100, 0)
+
+
 def short_money(amount: Column) -> Column:
     """``$1.5M`` style; a dash for NULL."""
     text = F.when(amount.isNull(), F.lit("—"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulluse.functions import metrics as m
+from fulluse.functions.text import short_money, whole_percent
 from fulluse.operators import audit
 from fulluse.plans.params import Params
 
@@ -308,6 +309,19 @@ def customer_worklist(
     return rows.orderBy(F.desc_nulls_last("var_usd"), "cust_name")
 
 
+def worklist_display(worklist: DataFrame) -> DataFrame:
+    """The worklist as a reader sees it: whole percents and short money."""
+    return worklist.select(
+        "cust_name",
+        "status",
+        whole_percent(F.col("vrr")).alias("score_pct"),
+        whole_percent(F.col("consumption_rate")).alias("capacity_pct"),
+        whole_percent(F.col("feature_coverage")).alias("features_pct"),
+        short_money(F.col("book_usd")).alias("book"),
+        short_money(F.col("var_usd")).alias("at_risk"),
+    )
+
+
 def worklist_headline(worklist: DataFrame) -> DataFrame:
     return worklist.agg(
         F.count("*").alias("accounts"),

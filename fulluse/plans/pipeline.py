@@ -50,6 +50,15 @@ SHARED = (
 MONTH_ORDERED = ("stg_feature_activity", "mart_customer_sku_month")
 
 
+ROLLUPS = (
+    "mart_customer_adoption",
+    "mart_product_adoption",
+    "mart_feature_adoption",
+    "mart_owner_recovery",
+    "mart_exec_summary",
+)
+
+
 class Models:
     """Raw tables and models by name, each built on first use.
 
@@ -198,16 +207,21 @@ class Models:
 def refresh(
     raw: Mapping[str, DataFrame], folder: str, since: date, params: Params = Params()
 ) -> None:
-    """Rewrite only the months from ``since`` on of the two month-foldered tables.
+    """Bring the marts of an earlier :func:`run` in ``folder`` up to date from month ``since`` on.
 
-    Everything else of an earlier :func:`run` in ``folder`` stays. Flags look
-    back and ahead over a pair's months, so the models are planned over the
-    whole history and only the touched months are written.
+    Only those months of the two month-foldered tables are written, and the
+    rollups are rebuilt from them. Flags look back and ahead over a pair's
+    months, so the base fact is planned over the whole history. Staging and
+    intermediate tables wait for the next full run.
     """
     models = Models(raw, params)
     for name in MONTH_ORDERED:
-        touched = models[name].filter(F.col("month") >= F.lit(since))
-        storage.refresh_months(touched, f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        df = models[name]
+        storage.refresh_months(df.filter(F.col("month") >= F.lit(since)), path)
+        models.put(name, storage.read_written(df.sparkSession, path, df))
+    for name in ROLLUPS:
+        write_model(models[name], name, folder)
 
 
 @dataclass(frozen=True)

@@ -175,6 +175,7 @@ INSIGHTS: dict[str, Query] = {
     "customer_worklist_filtered": lambda t: worklist(
         t, segment="Enterprise", needs_attention=True
     ),
+    "worklist_display": lambda t: insights.worklist_display(worklist(t)),
     "worklist_headline": lambda t: insights.worklist_headline(worklist(t)),
     "unused_features": unused,
     "unused_summary": lambda t: insights.unused_summary(unused(t)),

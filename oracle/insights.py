@@ -71,6 +71,16 @@ BOXES = [
     ("stalled", "Not started", "Deployment intervention — churn risk", "CS leadership"),
 ]
 
+def short(usd: str) -> str:
+    return (
+        f"case when {usd} is null then '—' "
+        f"when abs({usd}) < 1e3 then '$' || format('{{:,.0f}}', {usd}) "
+        f"when abs({usd}) < 1e6 then '$' || format('{{:,.1f}}', {usd} / 1e3) || 'k' "
+        f"when abs({usd}) < 1e9 then '$' || format('{{:,.1f}}', {usd} / 1e6) || 'M' "
+        f"else '$' || format('{{:,.1f}}', {usd} / 1e9) || 'B' end"
+    )
+
+
 QUERIES: dict[str, tuple[str, list[str]]] = {
     "trust_strip": (
         f"""select (select sum(is_internal::int) from customers)::bigint as internal_removed,
@@ -136,6 +146,13 @@ where product_name = 'PROMO SKU' group by all""",
         "and status <> 'Healthy' and status <> 'Too new to score'",
         WORK,
     ),
+    "worklist_display": (
+        f"""select cust_name, status, round_even(round(vrr, 12) * 100, 0) as score_pct,
+ round_even(round(consumption_rate, 12) * 100, 0) as capacity_pct,
+ round_even(round(feature_coverage, 12) * 100, 0) as features_pct,
+ {short('book_usd')} as book, {short('var_usd')} as at_risk from worklist""",
+        ["score_pct", "capacity_pct", "features_pct"],
+    ),
     "worklist_headline": (
         "select count(*) as accounts, fsum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
         ["var_usd", "vrr_mean"],

@@ -9,6 +9,8 @@ import pytest
 from conftest import Book, day, months
 from fulluse.operators import checks
 from fulluse.plans.params import Params
+from fulluse.plans.pipeline import Models
+from fulluse.plans.storage import WorkFolder
 from pyspark.sql import functions as F
 
 FACT = "mart_customer_sku_month"
@@ -38,7 +40,8 @@ def cohort_book(spark) -> Book:
 
 @pytest.fixture(scope="module")
 def models(spark):
-    return cohort_book(spark).models(replace(Params(), portfolio_bounds=(1.0, 1e6)))
+    params = replace(Params(), portfolio_bounds=(1.0, 1e6))
+    return Models(cohort_book(spark).raw(), params, WorkFolder(spark, "test").keep)
 
 
 def verdict(df):

@@ -251,3 +251,5 @@ def test_refresh_rewrites_the_touched_months(spark, tmp_path):
     after = {r["month"]: r["consumed_units"] for r in spark.read.parquet(path).collect()}
     assert set(after) == set(before)
     assert {m for m in after if after[m] != before[m]} == {day("2024-11-01")}
+    rolled = spark.read.parquet(f"{folder}/mart_customer_adoption").count()
+    assert rolled == len(after)

@@ -4,7 +4,7 @@ import pytest
 
 from fulluse.functions import dates as d
 from fulluse.functions import metrics as m
-from fulluse.functions.text import short_money
+from fulluse.functions.text import short_money, whole_percent
 from pyspark.sql import functions as F
 
 
@@ -89,3 +89,8 @@ def test_month_difference_counts_boundaries(spark):
 )
 def test_short_money(spark, amount, text):
     assert value(spark, short_money(num(amount))) == text
+
+
+@pytest.mark.parametrize(("share", "percent"), [(0.125, 12.0), (0.135, 14.0), (0.1249, 12.0), (None, None)])
+def test_whole_percent_sends_halves_to_even(spark, share, percent):
+    assert value(spark, whole_percent(num(share))) == percent

@@ -11,6 +11,8 @@ from conftest import Book, months
 from fulluse.operators import checks
 from fulluse.plans.joins import is_small, lookup
 from fulluse.plans.params import Params
+from fulluse.plans.pipeline import Models
+from fulluse.plans.storage import WorkFolder
 from pyspark.sql import functions as F
 
 SHUFFLED = replace(Params(), broadcast_rows=0, join_salts=3)
@@ -66,7 +68,8 @@ def same(left, right):
 
 @pytest.fixture(scope="module", params=[1, 2])
 def models(request, spark):
-    return random_book(spark, request.param).models(SHUFFLED)
+    raw = random_book(spark, request.param).raw()
+    return Models(raw, SHUFFLED, WorkFolder(spark, "test").keep)
 
 
 def naive_activity(models):
