@@ -455,7 +455,7 @@ def core_feature_per_product(products: DataFrame, features: DataFrame) -> DataFr
     return evaluate(bare, {"dq_core_feature_per_product": Rule(rows, rows)})
 
 
-# Child table, parent table and key of each reference.
+# Child table, parent table and foreign key.
 FOREIGN_KEYS = (
     ("entitlements", "customers", "cust_id"),
     ("entitlements", "products", "product_id"),
