@@ -196,7 +196,8 @@ def _earliest(classes: np.ndarray) -> np.ndarray:
     return least[classes]
 
 
-FIELDS = (("name", np.uint64), ("doc", np.int64), ("tag", np.int64), ("at", np.int64), ("size", np.int64))
+#: What travels with a run. 32 bits of a name are enough: they only choose what is compared, byte by byte.
+FIELDS = (("name", "<u4"), ("doc", "<i8"), ("tag", "<u4"), ("at", "<u4"), ("size", "<u4"))
 SPANS = "doc_id long, tag long, first long, stop long"
 
 
@@ -269,10 +270,15 @@ def merged(doc, tag, first, stop):
 # The job -----------------------------------------------------------------------------------------------------------
 
 
+def own_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, tag, text; 32 bits of the tag keep rows of one doc_id apart and travel with every run."""
+    return keyed(docs).withColumn("tag", F.col("tag").bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
 def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, hot_runs: int = HOT_RUNS,
             bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, tag, spans: for each document with repeats, the bytes that go, as pieces that may overlap."""
-    rows = keyed(docs)
+    rows = own_rows(docs)
     long = rows.filter(F.octet_length("text") >= length)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,9 +338,10 @@ def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, hot_runs: i
                         continue
                     at = order[a:b]
                     size = count[at] + length - 1
-                    head = np.stack((name[at].astype(np.int64), docs_[text[at]], tags[text[at]], first[at] - bounds[text[at]], size))
+                    head = (name[at], docs_[text[at]], tags[text[at]], first[at] - bounds[text[at]], size)
+                    parts = [x.astype(kind).tobytes() for x, (_, kind) in zip(head, FIELDS, strict=True)]
                     body = gathered(data, first[at], size).tobytes()
-                    out.append((int(bucket[at[0]]), press.compress(np.int64(len(at)).tobytes() + head.astype("<i8").tobytes() + body)))
+                    out.append((int(bucket[at[0]]), press.compress(b"".join((np.int64(len(at)).tobytes(), *parts, body)))))
                 yield pa.RecordBatch.from_pydict(
                     {"bucket": [b for b, _ in out], "packed": [p for _, p in out]},
                     pa.schema([("bucket", pa.int64()), ("packed", pa.binary())]),
@@ -344,8 +351,7 @@ def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, hot_runs: i
         unpress, heads, bodies, current = zstandard.ZstdDecompressor(), [], [], None
 
         def close() -> pa.RecordBatch:
-            head = np.concatenate(heads, axis=1)
-            columns = {k: head[i].astype(kind) for i, (k, kind) in enumerate(FIELDS)}
+            columns = {k: np.concatenate(x).astype(np.int64) for (k, _), x in zip(FIELDS, zip(*heads, strict=True), strict=True)}
             return sorted_bucket(columns, np.concatenate(bodies), length)
 
         for batch in batches:
@@ -358,9 +364,12 @@ def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, hot_runs: i
                     heads, bodies = [], []
                 current = bucket
                 raw = unpress.decompress(packed)
-                n = int(np.frombuffer(raw, "<i8", 1)[0])
-                heads.append(np.frombuffer(raw, "<i8", 5 * n, 8).reshape(5, n))
-                bodies.append(np.frombuffer(raw, np.uint8, -1, 8 + 40 * n))
+                n, at, head = int(np.frombuffer(raw, "<i8", 1)[0]), 8, []
+                for _, kind in FIELDS:
+                    head.append(np.frombuffer(raw, kind, n, at))
+                    at += head[-1].nbytes
+                heads.append(head)
+                bodies.append(np.frombuffer(raw, np.uint8, -1, at))
         if heads:
             yield close()
 
@@ -375,12 +384,21 @@ def remove(docs: DataFrame, scratch: Scratch, length: int = LENGTH, **options) -
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay)."""
     found = repeats(docs, scratch, length, **options)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for whole in batches:
             for batch in pieces(whole):
+                packed = pa.array([press.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+                yield batch.drop_columns(["text"]).append_column("packed", packed)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for first_row in range(0, whole.num_rows, 500):
+                batch = whole.slice(first_row, 500)
                 out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")}
-                for doc, text, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
-                    raw, at, parts, n = text.encode(), 0, [], 0
+                for doc, packed, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "spans")), strict=True):
+                    raw, at, parts, n = unpress.decompress(packed), 0, [], 0
                     for first, stop in sorted((s["first"], s["stop"]) for s in gone or ()):
                         if first > at or not n:
                             n += 1
@@ -394,7 +412,9 @@ def remove(docs: DataFrame, scratch: Scratch, length: int = LENGTH, **options) -
                     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()),
                 ]))
 
-    joined = keyed(docs).join(found, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
+    # Texts meet their spans by shuffle, each pressed where it is read.
+    rows = own_rows(docs).mapInArrow(pressed, "doc_id long, tag long, packed binary")
+    joined = rows.join(found, ["doc_id", "tag"], "left").select("doc_id", "packed", "spans")
     done = joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return done.select(shown_id(), "n_bytes", "n_removed", "n_spans", "kept")
 
