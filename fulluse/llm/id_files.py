@@ -28,6 +28,7 @@ from fulluse.llm.common import Scratch, keyed, shown_id
 
 MAGIC = b"IDP1"
 BLOCK = 65_536
+TOGETHER, MARK = 64, "<|endoftext|>"
 CHUNKS = (
     "shard int, chunk int, first_id long, n_ids int, first_row long, doc_ids array<long>, doc_n array<int>,"
     " payload binary"
@@ -70,21 +71,42 @@ _known: dict[str, bytes] = {}
 def encoder(tokenizer_file: str, width: int, keep: int = 600_000):
     """texts -> ids as packed little-endian numbers.
 
-    A blank always ends a pre-token of this tokenizer, so the library encodes each distinct run between blanks once and
-    a bounded table answers the repeats.
+    Blanks and newlines always end a pre-token of this tokenizer and case is ignored, so each distinct run between them
+    is encoded once, many in one call, and a bounded table answers the repeats. What may hold a special token is
+    encoded by itself, as it stands.
     """
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_file)
+    tokenizer, kind = Tokenizer.from_file(tokenizer_file), f"<u{width}"
+    mark = tokenizer.token_to_id(MARK)
+
+    def learn(words: list[str]) -> None:
+        for w in words:
+            if "<|" in w:
+                _known[w] = np.array(tokenizer.encode(w, add_special_tokens=False).ids, kind).tobytes()
+        plain = [w for w in words if "<|" not in w]
+        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+        # A special token between runs shows in the ids where one ends.
+        for group, e in zip(groups, tokenizer.encode_batch_fast([MARK.join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, kind)
+            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+            raw, first = ids.tobytes(), 0
+            for w, end in zip(group, ends, strict=True):
+                _known[w] = raw[first * width : end * width]
+                first = end + 1
+
+    def runs(text: str) -> list[str]:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
 
     def encode(texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
+        split = [runs(t) for t in texts]
         if len(_known) > keep:
             _known.clear()
         new = [w for w in set().union(*split) if w not in _known]
         if new:
-            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                _known[w] = np.array(e.ids, f"<u{width}").tobytes()
+            learn(new)
         return [b"".join(map(_known.__getitem__, words)) for words in split]
 
     return encode

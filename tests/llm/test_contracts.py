@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -24,10 +25,15 @@ def by_id(df, *columns):
     return out
 
 
-def word_ids(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(WORDS)
+
+
+def word_ids(text):
+    return tokenizer().encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("planes,block", [("bit", 65_536), ("byte", 50)])
@@ -45,6 +51,14 @@ def test_planes_round_trip(ids, planes, kind):
     assert id_files.unpack(id_files.pack(array, planes)).tolist() == ids
 
 
+@given(st.lists(st.text(alphabet="aB. \n\t's1é\u0301İß日<|>\u3000Σ", max_size=40), min_size=1, max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_runs_are_encoded_as_the_whole(texts):
+    texts = [*texts, "x<|endoftext|>Y <|STARTOFTEXT|> z"]
+    found = id_files.encoder(WORDS, 2)(texts)
+    assert [np.frombuffer(f, "<u2").tolist() for f in found] == [word_ids(t) for t in texts]
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_joined_crc(a, b):
     import zlib
