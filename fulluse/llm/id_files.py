@@ -68,7 +68,7 @@ def unpack(payload: bytes) -> np.ndarray:
 _known: dict[str, bytes] = {}
 
 
-def encoder(tokenizer_file: str, width: int, keep: int = 600_000):
+def encoder(tokenizer_file: str, width: int, keep: int = 1_200_000):
     """texts -> ids as packed little-endian numbers.
 
     Blanks and newlines always end a pre-token of this tokenizer and case is ignored, so each distinct run between them
