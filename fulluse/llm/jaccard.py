@@ -20,10 +20,10 @@ component shows the same doc_id; an empty table gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +79,74 @@ def incidence(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return keyed(docs).mapInArrow(rows, "doc_id long, tag long, n long, s1 long, s2 long, keys binary")
 
 
+def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
+    """rows: doc_id, keys. Edges a, b: each row to the smallest doc_id that has one of its keys, over one step more.
+
+    A task joins the rows that it sees of a key to the smallest of them and ships the key once, so a key that a third of
+    all rows have is a row for each batch.
+    """
+    def joined(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys, the smallest doc of each, and the edges from there as two rows."""
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        first = np.concatenate(([True], key[1:] != key[:-1]))[: len(key)]
+        lead = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(key) else doc
+        other = lead != doc
+        return key[first], doc[first], np.unique(np.stack((lead[other], doc[other])), axis=1)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            lists = [np.frombuffer(k, "<u8") for k in batch.column("keys").to_pylist()]
+            if not lists:
+                continue
+            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in lists])
+            key, doc, edges = joined(np.concatenate(lists), ids)
+            out = [(-1, edges.astype("<i8").tobytes())] if edges.size else []
+            bucket = (key >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1)), len(order))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                at = order[a:b]
+                # Keys ascend, so their steps have zero bytes on top; planes of bytes press better than numbers.
+                both = np.stack((np.diff(key[at], prepend=np.uint64(0)), doc[at].astype(np.uint64)))
+                planes = np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T)
+                out.append((int(bucket[at[0]]), press.compress(planes.tobytes())))
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": [x for x, _ in out], "packed": [x for _, x in out]},
+                pa.schema([("bucket", pa.int64()), ("packed", pa.binary())]),
+            )
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress, held, current = zstandard.ZstdDecompressor(), [], None
+
+        def close() -> pa.RecordBatch:
+            key, doc = np.concatenate(held, axis=1)
+            edges = joined(key, doc.astype(np.int64))[2]
+            return pa.RecordBatch.from_pydict({"a": edges[0], "b": edges[1]})
+
+        for batch in batches:
+            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if bucket < 0:
+                    a, b = np.frombuffer(packed, "<i8").reshape(2, -1)
+                    yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+                    continue
+                if bucket != current and held:
+                    yield close()
+                    held = []
+                current = bucket
+                planes = np.frombuffer(unpress.decompress(packed), np.uint8).reshape(8, -1)
+                steps, doc = np.ascontiguousarray(planes.T).view("<u8").reshape(2, -1)
+                held.append(np.stack((np.cumsum(steps, dtype=np.uint64), doc)))
+        if held:
+            yield close()
+
+    task = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.xxhash64("packed"))
+    packed = rows.mapInArrow(dealt, "bucket long, packed binary").withColumn("task", task)
+    grouped = packed.repartition(buckets, "task").sortWithinPartitions("bucket").select("bucket", "packed")
+    return grouped.mapInArrow(met, "a long, b long")
+
+
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
     """The product of two blocks of rows: how many columns each x and y share, accumulated over blocks of columns."""
     total = np.zeros((len(xs), len(ys)), np.float32)
@@ -166,20 +234,9 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     sets = scratch.save(incidence(docs, width, num, den), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "tag")).alias("node"))
     classes = scratch.save(classes, "classes")
+    buckets = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     owners = classes.select("node.doc_id", "node.tag")
-    packed = sets.filter("n > 0").select("doc_id", "tag", "keys").join(owners, ["doc_id", "tag"], "left_semi")
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
-                lists = [np.frombuffer(k, "<i8") for k in part.column("keys").to_pylist()]
-                ids = np.repeat(part.column("doc_id").to_numpy(), [len(x) for x in lists])
-                yield pa.RecordBatch.from_pydict({"key": np.concatenate(lists), "doc_id": ids})
-
-    keys = packed.select("doc_id", "keys").mapInArrow(unpack, "key long, doc_id long")
-    met = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    edges = keys.join(met.select("key", "first"), "key").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    edges = shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets)
     # doc_id alone names a row here: one that repeats with other texts makes its cluster larger, which the product mends.
     clusters = components(edges.distinct(), scratch, "clusters")
     members = owners.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("root", "cluster")
