@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fulluse.llm.common import pieces
 
-BUCKETS, SOURCES, LANGS, LEAST = 1024, 64, 16, 40
+BUCKETS, SOURCES, LANGS, LEAST = 2048, 64, 16, 40
 
 _CLASS = np.full(256, 5)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -41,7 +41,7 @@ def content(text: bytes) -> np.ndarray:
     out = np.zeros(BUCKETS, np.float32)
     if len(text) > 2:
         b = np.frombuffer(text, np.uint8).astype(np.uint32)
-        h = (b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA6B) ^ b[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(22)
+        h = (b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA6B) ^ b[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(21)
         out[:] = np.log1p(np.bincount(h, minlength=BUCKETS))
         out /= np.sqrt(out @ out)
     return out
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 4000, pool: int =
                     "m": pa.array([r.tobytes() for r in m], pa.binary()),
                 })
 
-    # At most labelled + pool rows of some 2 KB reach the driver.
+    # At most labelled + pool rows of some 4 KB reach the driver.
     got = rows.join(chosen.union(others), "doc_id").dropDuplicates(["doc_id"]).mapInArrow(
         found, "doc_id long, y int, c binary, m binary"
     ).toArrow().sort_by("doc_id").to_pydict()
