@@ -4,7 +4,7 @@ The rows of the incidence matrix are documents, its columns n-grams (64-bit hash
 
 1. Equal rows are one class, known by a 128-bit hash of the sorted columns; one document stands for it.
 2. Columns are dealt by hash into so many blocks that two rows over the threshold differ in fewer columns than there are
-   blocks: the number follows from the sizes. Such rows agree in one block whole, so rows that agree in no block are
+   blocks: the number follows from the sizes. Such rows agree in one of their fullest blocks whole; all other pairs are
    discarded unseen. A block's content is a key; rows meet at the smallest document of each key, never pair by pair.
 3. Rows that hang together by keys are a cluster. In it overlaps are accumulated as a product of blocks of rows, and
    pairs whose overlap is below the bound that their sizes set are discarded. A cluster of more than ``BLOCK`` rows
@@ -46,13 +46,18 @@ def block_keys(columns: np.ndarray, num: int, den: int) -> np.ndarray:
     own = int(np.searchsorted(tops, len(columns)))
     out = []
     for level in (own, own + 1):
-        # Two sizes up to top with the wanted similarity differ in at most this many columns.
-        blocks = 2 * tops[level] * (den - num) // (den + num) + 1
+        # Two sizes up to top with the wanted similarity differ in at most so many columns, so in no more blocks.
+        most = 2 * tops[level] * (den - num) // (den + num)
+        blocks = max(most + 1, 3 * most // 2)
         spread = mix(columns + np.uint64(2 * level + 1))
+        at = ((spread >> np.uint64(33)) % np.uint64(blocks)).astype(np.int64)
         sums = np.zeros(blocks, np.uint64)
-        np.add.at(sums, (spread >> np.uint64(33)) % np.uint64(blocks), mix(spread))
+        np.add.at(sums, at, mix(spread))
         place = np.arange(blocks, dtype=np.uint64) + np.uint64((level + 1) << 40)
-        out.append(mix(sums + mix(place)))
+        keys = mix(sums + mix(place))
+        # At most ``most`` of a row's keys are not the other row's. In any order that both rows follow, their first
+        # most + 1 keys so have one in common; full blocks first, which rows rarely share by chance.
+        out.append(keys[np.lexsort((keys, -np.bincount(at, minlength=blocks)))[: most + 1]])
     return np.concatenate(out)
 
 
