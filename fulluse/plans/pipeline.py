@@ -258,12 +258,12 @@ def run(
     return Run(models, stamped)
 
 
-_SESSIONS: dict[tuple[str, str], Models] = {}
+_SESSIONS: dict[tuple[str, str, str], Models] = {}
 
 
 def session_models(spark: SparkSession, folder: str, params: Params = Params()) -> Models:
     """Models over the TPC-H-like tables in ``folder``; shared ones are written once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, repr(params))
     if key not in _SESSIONS:
         work = storage.WorkFolder(spark, "session")
 

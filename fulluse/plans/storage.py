@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -11,13 +10,9 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="fulluse-")
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    """The folder that ``spark.checkpoint.dir`` names, else the warehouse: every executor reaches both."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def read_written(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:

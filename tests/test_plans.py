@@ -67,3 +67,12 @@ def test_factors_join_where_they_were_grouped(spark):
     by_key = [line for line in lines if "cust_id" in line and "product_id" in line]
     assert len([line for line in by_key if "month" in line]) == 4
     assert len([line for line in by_key if "month" not in line]) == 1
+
+
+def test_session_models_follow_their_parameters(spark):
+    from fulluse.plans.params import Params
+    from fulluse.plans.pipeline import session_models
+
+    one, two = (session_models(spark, FOLDER, Params(deploy_days=d)) for d in (90, 10))
+    assert one is not two and one.params.deploy_days == 90 and two.params.deploy_days == 10
+    assert session_models(spark, FOLDER, Params(deploy_days=10)) is two
