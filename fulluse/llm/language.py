@@ -126,7 +126,10 @@ def identify(rows: DataFrame, model: Model, scratch: Scratch, name: str, kappa:
     soft = softmax(F.col("ll"), scored)
     sums = [F.sum(F.when(F.size("ll") > 0, F.col("post")[k])).alias(f"s{k}") for k in range(size)]
     each = [F.col(f"s{k}") for k in range(size)]
-    every = soft.agg(*sums).select(F.array(*each).alias("every"))
+    # One row of sums for each language reaches the driver.
+    every = soft.agg(*sums).first()
+    weight = sum(every[k] or 0.0 for k in range(size))
+    general = [(every[k] or 0.0) / weight if weight else 1.0 / size for k in range(size)]
 
     def log_share(top: Column, bottom: Column) -> Column:
         return F.log(F.greatest(top / bottom, F.lit(LEAST)))
@@ -134,17 +137,15 @@ def identify(rows: DataFrame, model: Model, scratch: Scratch, name: str, kappa:
     def evidence(column: str, alias: str) -> DataFrame:
         """log P(value | language), add-one smoothed over the column's values."""
         counts = soft.groupBy(column).agg(*sums)
-        totals = counts.agg(F.array(*[F.sum(c) for c in each]).alias("all"), F.count(F.lit(1)).alias("values"))
-        return counts.join(F.broadcast(totals)).select(
-            column, F.array(*[log_share(c + 1.0, F.col("all")[k] + F.col("values")) for k, c in enumerate(each)]).alias(alias)
-        )
+        totals = counts.agg(*[F.sum(c) for c in each], F.count(F.lit(1))).first()
+        below = [float((totals[k] or 0.0) + totals[size]) for k in range(size)]
+        return counts.select(column, F.array(*[log_share(c + 1.0, F.lit(below[k])) for k, c in enumerate(each)]).alias(alias))
 
     def row_sum(values: list[Column]) -> Column:
         return sum(values[1:], values[0])
 
-    base = every.select(F.transform("every", lambda x: x / F.aggregate("every", F.lit(1e-300), lambda a, y: a + y)).alias("p0"))
-    by_domain = soft.groupBy("domain").agg(*sums).join(F.broadcast(base)).select(
-        "domain", F.array(*[(c + kappa * F.col("p0")[k]) / (row_sum(each) + kappa) for k, c in enumerate(each)]).alias("p1")
+    by_domain = soft.groupBy("domain").agg(*sums).select(
+        "domain", F.array(*[(c + kappa * general[k]) / (row_sum(each) + kappa) for k, c in enumerate(each)]).alias("p1")
     )
     by_host = soft.groupBy("domain", "host").agg(*sums).join(by_domain, "domain").select(
         "domain", "host",
