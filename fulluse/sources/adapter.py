@@ -1,8 +1,9 @@
 """The seven raw tables, derived from the TPC-H-like tables by fixed column rules.
 
 A supplier plays the customer, a part type the SKU, a part-size class the
-feature, and line items are usage. Customers whose number ends in 7 hold
-contracts but their usage is left out: they are the planted shelfware.
+feature, and line items are usage; every line item is booked. Suppliers whose
+number ends in 7 have a second, dormant account, with contracts on their SKUs
+and no usage: the planted shelfware. Its two terms leave a renewal gap.
 """
 
 from __future__ import annotations
@@ -17,6 +18,11 @@ from fulluse.sources.schemas import raw_schema, raw_tables
 Keep = Callable[[str, DataFrame], DataFrame]
 
 SHELF_DIGIT = 7
+DORMANT = "-D"
+IDLE_TERMS = (
+    ("S1", "2000-03-10", "2000-09-09", "New"),
+    ("S2", "2001-01-10", "2001-07-09", "Renewal"),
+)
 STRONG_QUANTITY = 25
 
 
@@ -69,6 +75,11 @@ class AdaptedTables(Mapping[str, DataFrame]):
 
     def _customers(self) -> DataFrame:
         number = F.col("s_suppkey")
+        active = F.struct(F.lit("").alias("suffix"), F.lit("unlabelled").alias("cohort"))
+        dormant = F.struct(F.lit(DORMANT).alias("suffix"), F.lit("shelfware").alias("cohort"))
+        accounts = F.when(number % 10 == SHELF_DIGIT, F.array(active, dormant)).otherwise(
+            F.array(active)
+        )
         places = (
             self._read("nation")
             .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -77,8 +88,9 @@ class AdaptedTables(Mapping[str, DataFrame]):
         df = (
             self._read("supplier")
             .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("*", F.inline(accounts))
             .select(
-                number.alias("cust_id"),
+                F.concat(number, "suffix").alias("cust_id"),
                 F.col("s_name").alias("cust_name"),
                 F.col("r_name").alias("region"),
                 F.when(F.col("s_acctbal") >= 4500, "Enterprise")
@@ -88,9 +100,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
                 F.date_add(F.lit("1990-01-01").cast("date"), number.cast("int")).alias(
                     "customer_since"
                 ),
-                F.when(number % 10 == SHELF_DIGIT, "shelfware")
-                .otherwise("unlabelled")
-                .alias("behaviour_cohort"),
+                F.col("cohort").alias("behaviour_cohort"),
                 F.concat(F.lit("OWNER_"), number % 6).alias("account_owner"),
                 (number % 33 == 5).alias("is_internal"),
             )
@@ -172,9 +182,6 @@ class AdaptedTables(Mapping[str, DataFrame]):
     def usage(self) -> DataFrame:
         return self._memo("usage", kept=True)
 
-    def _reported(self) -> DataFrame:
-        return self.usage().filter(F.col("cust") % 10 != SHELF_DIGIT)
-
     # Contracts
 
     def _entitlements(self) -> DataFrame:
@@ -182,7 +189,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
         unlimited = cust % 20 == 3
         by_pair = Window.partitionBy("cust", "product_id")
         yearly = (
-            self._reported()
+            self.usage()
             .groupBy("cust", "product_id", F.year("day").alias("year"))
             .agg(F.min("day").alias("begun"))
             .withColumn("first_year", F.min("year").over(by_pair))
@@ -191,7 +198,6 @@ class AdaptedTables(Mapping[str, DataFrame]):
         )
         expands = ((cust * 7 + year) % 8 == 0) & ~F.col("unlimited")
         kinds = F.when(expands, F.array(F.lit("B"), F.lit("X"))).otherwise(F.array(F.lit("B")))
-        term = F.when((cust + year) % 5 == 0, 6).otherwise(12)
         extra = F.col("kind") == "X"
         grown = yearly.withColumn("kind", F.explode(kinds)).select(
             F.concat_ws("-", cust, "product_id", year, "kind").alias("entitlement_id"),
@@ -204,7 +210,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
             .alias("licensed_amount"),
             F.when(extra, F.add_months("begun", 6)).otherwise(F.col("begun")).alias("start_date"),
             F.date_sub(
-                F.when(extra, F.add_months("begun", 18)).otherwise(F.add_months("begun", term)), 1
+                F.when(extra, F.add_months("begun", 18)).otherwise(F.add_months("begun", 12)), 1
             ).alias("end_date"),
             F.when(extra, "Expansion")
             .when(year > F.col("first_year"), "Renewal")
@@ -218,20 +224,32 @@ class AdaptedTables(Mapping[str, DataFrame]):
             ),
             F.col("unlimited").alias("is_unlimited"),
         )
+        terms = F.array(
+            *[
+                F.struct(
+                    F.lit(term).alias("term"),
+                    F.lit(start).cast("date").alias("start_date"),
+                    F.lit(end).cast("date").alias("end_date"),
+                    F.lit(kind).alias("contract_type"),
+                )
+                for term, start, end, kind in IDLE_TERMS
+            ]
+        )
         idle = (
             self.usage()
             .filter(cust % 10 == SHELF_DIGIT)
             .select("cust", "product_id")
             .distinct()
+            .select("*", F.inline(terms))
             .select(
-                F.concat_ws("-", cust, "product_id", F.lit("S")).alias("entitlement_id"),
-                cust.alias("cust_id"),
+                F.concat_ws("-", cust, "product_id", "term").alias("entitlement_id"),
+                F.concat(cust, F.lit(DORMANT)).alias("cust_id"),
                 "product_id",
                 F.lit(10).alias("units_purchased"),
                 F.lit(120.0).alias("licensed_amount"),
-                F.lit("2000-03-10").cast("date").alias("start_date"),
-                F.lit("2001-03-09").cast("date").alias("end_date"),
-                F.lit("New").alias("contract_type"),
+                "start_date",
+                "end_date",
+                "contract_type",
                 F.lit("USD").alias("currency"),
                 F.lit(1.0).alias("fx_rate_to_usd"),
                 F.lit(False).alias("is_unlimited"),
@@ -264,7 +282,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
 
     def _consumption_monthly(self) -> DataFrame:
         monthly = (
-            self._reported()
+            self.usage()
             .groupBy("cust", "product_id", "month")
             .agg(F.sum("units").alias("consumed_units"))
         )
@@ -278,7 +296,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
 
     def _feature_adoption_monthly(self) -> DataFrame:
         monthly = (
-            self._reported()
+            self.usage()
             .groupBy("cust", "product_id", "feature_id", "month")
             .agg(F.sum("records").alias("usage_events"))
         )
@@ -296,7 +314,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
     def _deployment_events(self) -> DataFrame:
         strong = F.col("peak") >= STRONG_QUANTITY
         days = (
-            self._reported()
+            self.usage()
             .filter(strong | F.col("is_core"))
             .groupBy(F.col("cust").cast("string").alias("cust_id"), "product_id", "month", "day")
             .agg(F.bool_or(strong).alias("strong"), F.bool_or("is_core").alias("core"))

@@ -7,6 +7,7 @@ import pytest
 from conftest import day
 from fulluse.plans import storage
 from fulluse.sources import tables
+from fulluse.sources.adapter import AdaptedTables
 from fulluse.sources.schemas import RAW_COLUMNS, raw_schema, raw_tables
 from pyspark.sql import functions as F
 
@@ -118,3 +119,11 @@ def test_work_folder_lives_under_the_named_checkpoint_folder(spark):
     if named:
         assert work.path.startswith(named)
     assert os.path.exists(f"{work.path}/t")
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_adapter_books_every_line_item(spark, folder):
+    usage = AdaptedTables(spark, folder)["consumption_monthly"]
+    booked = usage.groupBy("entitlement_id", "month").agg(F.max("consumed_units").alias("units"))
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    assert booked.agg(F.sum("units")).first()[0] == items.agg(F.sum("l_quantity")).first()[0]
