@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from fulluse.functions import metrics as m
 from fulluse.operators import staging
 from fulluse.operators.intermediate import KEY, PAIR
-from fulluse.plans.joins import lookup
 from fulluse.plans.params import Params
 from fulluse.sources.schemas import PRIMARY_KEYS
 from fulluse.sources.tables import union_all
@@ -239,8 +238,6 @@ def twelve_month_reconcile(
     stg_consumption: DataFrame,
     entitlements: DataFrame,
     products: DataFrame,
-    few_products: bool,
-    p: Params,
 ) -> DataFrame:
     """Contracts with exactly twelve months: their monthly values add up to the yearly value."""
     summed = (
@@ -249,13 +246,11 @@ def twelve_month_reconcile(
         .filter(F.col("months") == 12)
     )
     annual = F.col("units_purchased") * F.col("list_price_per_unit") * F.col("fx_rate_to_usd")
-    terms = lookup(
-        entitlements.select("entitlement_id", "product_id", "units_purchased", "fx_rate_to_usd"),
-        products.select("product_id", "list_price_per_unit"),
-        ["product_id"],
-        few_products,
-        p,
-    ).select("entitlement_id", annual.alias("annual"))
+    terms = (
+        entitlements.select("entitlement_id", "product_id", "units_purchased", "fx_rate_to_usd")
+        .join(products.select("product_id", "list_price_per_unit"), "product_id")
+        .select("entitlement_id", annual.alias("annual"))
+    )
     error = m.ratio(F.abs(F.col("summed") - F.col("annual")), F.col("annual"))
     rule = Rule(
         F.count_if(error >= 0.001),
@@ -314,6 +309,7 @@ def entitlement_rules() -> dict[str, Rule]:
         ),
         "dq_non_usd_share": Rule(rare.cast("long"), share),
         "dq_all_usd": Rule(F.count_if(mispriced), F.count("*")),
+        "dq_term_order": Rule(F.count_if(F.col("start_date") > F.col("end_date")), F.count("*")),
     }
 
 
@@ -347,20 +343,70 @@ def pairs_apart(contracts: DataFrame, group: Sequence[str], days: int) -> DataFr
     )
 
 
+# Bits of a day number that is never negative: any date plus DAY_ZERO.
+DAY_BITS, DAY_ZERO = 22, 1_000_000
+
+
+def pairs_around(contracts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per group, how many pairs (a, b) have b ending before it starts and a covering both of b's days.
+
+    Only groups with such a b take part. An end on or after b's start lies in
+    exactly one of the binary ranges above the day before that start, so each
+    contract has a row for each bit, and in each range the starts up to b's
+    end are a running count. No pair is built.
+    """
+    inverted = contracts.filter(F.col("start_date") > F.col("end_date"))
+    around = contracts.filter(F.col("start_date") <= F.col("end_date")).join(
+        inverted.select(*group).distinct(), [*group], "left_semi"
+    )
+
+    def dealt(rows: DataFrame, place: str, day: Column, bit: int, up: int) -> DataFrame:
+        levels = F.explode(F.sequence(F.lit(0), F.lit(DAY_BITS - 1)))
+        number = (F.unix_date(day) + F.lit(DAY_ZERO - up)).cast("long")
+        own = F.expr("shiftright(_number, _level)")
+        return (
+            rows.groupBy(*group, "start_date", "end_date")
+            .agg(F.count("*").alias("_n"))
+            .select(*group, F.col(place).alias("day"), "_n", number.alias("_number"), levels.alias("_level"))
+            .filter(own % 2 == bit)
+            .select(*group, "day", "_level", (own + up).alias("_range"), "_n")
+        )
+
+    zero = F.lit(0).cast("long")
+    points = dealt(around, "start_date", F.col("end_date"), 1, 0)
+    asked = dealt(inverted, "end_date", F.col("start_date"), 0, 1)
+    daily = (
+        points.withColumn("_asked", zero)
+        .unionByName(asked.withColumns({"_asked": F.col("_n"), "_n": zero}))
+        .groupBy(*group, "_level", "_range", "day")
+        .agg(F.sum("_n").alias("_n"), F.sum("_asked").alias("_asked"))
+    )
+    begun = Window.partitionBy(*group, "_level", "_range").orderBy("day")
+    covered = F.sum("_n").over(begun.rowsBetween(Window.unboundedPreceding, 0))
+    return daily.select((F.col("_asked").cast("decimal(19,0)") * covered).alias("pairs"))
+
+
 def overlapping_pairs(contracts: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Ordered pairs of a group whose terms meet, a contract with itself included."""
-    apart = pairs_apart(contracts, group, 0)
+    """Ordered pairs of a group in which each starts before the other ends.
+
+    A contract with itself is included. Two contracts that both end before
+    they start never meet.
+    """
+    apart = pairs_apart(contracts.filter(F.col("start_date") <= F.col("end_date")), group, 0)
     n = F.col("contracts").cast("decimal(19,0)")
-    return apart.select((n * n - F.col("apart") * 2).cast("decimal(38,0)").alias("pairs"))
+    wide = "decimal(38,0)"
+    return apart.select((n * n - F.col("apart") * 2).cast(wide).alias("pairs")).union(
+        pairs_around(contracts, group).select((F.col("pairs") * 2).cast(wide))
+    )
 
 
-def well_formed(entitlements: DataFrame) -> DataFrame:
-    return entitlements.filter(F.col("start_date") <= F.col("end_date"))
+def dated(entitlements: DataFrame) -> DataFrame:
+    return entitlements.filter(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
 
 
 def overlaps_exist(entitlements: DataFrame) -> DataFrame:
     """Contracts of one customer and SKU with meeting terms, counted as ordered pairs."""
-    contracts = well_formed(entitlements)
+    contracts = dated(entitlements)
     same_sku = overlapping_pairs(contracts, PAIR)
     same_id = overlapping_pairs(contracts, [*PAIR, "entitlement_id"]).select(-F.col("pairs"))
     pairs = F.coalesce(F.sum("pairs"), F.lit(0))
@@ -370,7 +416,7 @@ def overlaps_exist(entitlements: DataFrame) -> DataFrame:
 
 
 def renewal_gaps(entitlements: DataFrame, p: Params) -> DataFrame:
-    apart = pairs_apart(well_formed(entitlements), PAIR, p.gap_days)
+    apart = pairs_apart(dated(entitlements), PAIR, p.gap_days)
     return evaluate(
         apart, {"dq_renewal_gaps": exists(F.coalesce(F.sum("apart"), F.lit(0)))}
     )
@@ -384,20 +430,27 @@ def adjacent_contracts(entitlements: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy(*PAIR).orderBy("start_date")
     following = F.lead("start_date").over(order)
+    start = F.col("start_date")
     steps = (
-        well_formed(entitlements)
+        dated(entitlements)
         .groupBy(*PAIR, "start_date")
-        .agg(F.count("*").alias("n"), F.max("end_date").alias("last_end"))
+        .agg(
+            F.count_if(F.col("end_date") >= start).alias("n"),
+            F.count_if(F.date_add("end_date", 1) < start).alias("n_before"),
+            F.max("end_date").alias("last_end"),
+        )
         .withColumn("following", following)
     )
-    together = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    last_ends_before = (F.date_add("last_end", 1) < start).cast("long")
+    together = F.coalesce(F.sum(F.col("n") - (F.col("last_end") >= start).cast("long")), F.lit(0))
+    split = F.coalesce(F.sum(F.col("n_before") - last_ends_before), F.lit(0))
     meets = F.count_if(F.col("following") <= F.col("last_end"))
     parted = F.count_if(F.col("following") > F.date_add("last_end", 1))
     return evaluate(
         steps,
         {
             "dq_adjacent_overlap_gap:overlaps": exists(together + meets),
-            "dq_adjacent_overlap_gap:gaps": exists(parted),
+            "dq_adjacent_overlap_gap:gaps": exists(split + parted),
         },
     )
 
@@ -520,18 +573,50 @@ def shelfware_zero_usage(consumption: DataFrame, customers: DataFrame, p: Params
     return evaluate(used, {"dq_shelfware_zero_usage": Rule((total != 0).cast("long"), total)})
 
 
+def median(rows: DataFrame, column: str, steps: int = 200) -> DataFrame:
+    """The exact median of the values that are not NULL, one row; the mean of the middle two for an even count.
+
+    Equal values travel as one row with a count. A sketch only places the
+    borders of the steps in which they are ranked, so a task holds about one
+    step; which values are in the middle follows from exact counts.
+    """
+    value = F.col("_value")
+    values = rows.select(F.col(column).alias("_value")).filter(value.isNotNull())
+    shares = [k / steps for k in range(1, steps)]
+    borders = values.agg(F.percentile_approx("_value", shares, 10_000)).scalar()
+    counts = values.groupBy("_value").agg(F.count("*").alias("_n")).withColumn("_borders", borders)
+    counts = counts.withColumn("_step", F.size(F.filter("_borders", lambda b: b < value))).drop("_borders")
+    earlier = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("_step").agg(F.sum("_n").alias("_total"))
+    totals = totals.select(
+        "_step",
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_total").over(Window.partitionBy()).alias("_all"),
+    )
+    upto = Window.partitionBy("_step").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_upto", F.sum("_n").over(upto)).join(totals, "_step")
+    last = F.col("_before") + F.col("_upto")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((last - F.col("_n") < rank) & (rank <= last), value))
+
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
+    return ranked.agg(((at(low) + at(high)) / 2).alias("median"))
+
+
 def overage_ratio(consumption: DataFrame, customers: DataFrame, p: Params) -> DataFrame:
     """Share of overage customers above the threshold over their whole history.
 
-    Observed is the median ratio, taken with a sketch of fixed size.
+    Observed is the exact median ratio.
     """
     used = cohort_usage(consumption, customers, p.overage_cohort).withColumn(
         "ratio", m.ratio(F.col("used"), F.col("capacity"))
     )
     over = F.count_if(F.col("ratio") > p.overage_ratio)
     enough = F.coalesce(m.ratio(over, F.count("*")) > 0.9, F.lit(False))
-    median = F.percentile_approx("ratio", 0.5, 10_000)
-    return evaluate(used, {"dq_overage_ratio": Rule((~enough).cast("long"), median)})
+    with_median = used.withColumn("_median", median(used, "ratio").scalar())
+    rule = Rule((~enough).cast("long"), F.max("_median"))
+    return evaluate(with_median, {"dq_overage_ratio": rule})
 
 
 # Registry
@@ -564,7 +649,7 @@ SINGLE: dict[str, Callable[[Models], DataFrame]] = {
     "dq_gap_not_scored": lambda t: gap_not_scored(t[FACT], t["entitlements"], t.params),
     "dq_spine_unique": lambda t: spine_unique(t["stg_consumption"]),
     "dq_twelve_month_reconcile": lambda t: twelve_month_reconcile(
-        t["stg_consumption"], t["entitlements"], t["products"], t.small("products"), t.params
+        t["stg_consumption"], t["entitlements"], t["products"]
     ),
     "dq_customer_rollup": lambda t: rollup_reconciles(
         t[FACT], t["mart_customer_adoption"], "dq_customer_rollup"
@@ -626,6 +711,7 @@ ON_TABLE = {
     "dq_unlimited_null_amount": "entitlements",
     "dq_non_usd_share": "entitlements",
     "dq_all_usd": "entitlements",
+    "dq_term_order": "entitlements",
 }
 
 NAMES = [*ON_TABLE, *SINGLE]

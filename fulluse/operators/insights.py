@@ -293,6 +293,7 @@ def customer_worklist(
     if segment is not None:
         rows = rows.filter(F.col("segment") == segment)
     rows = rows.select(
+        "cust_id",
         "cust_name",
         status(params).alias("status"),
         "segment",
@@ -306,7 +307,7 @@ def customer_worklist(
     )
     if needs_attention:
         rows = rows.filter(~F.col("status").isin(HEALTHY, TOO_NEW))
-    return rows.orderBy(F.desc_nulls_last("var_usd"), "cust_name")
+    return rows.orderBy(F.desc_nulls_last("var_usd"), "cust_name", "cust_id")
 
 
 def worklist_display(worklist: DataFrame) -> DataFrame:
@@ -333,27 +334,26 @@ def worklist_headline(worklist: DataFrame) -> DataFrame:
 def unused_features(
     activity: DataFrame,
     entitlements: DataFrame,
-    customers: DataFrame,
-    cust_name: Column,
+    cust_id: Column,
     month: Column,
-    top: int = 40,
+    top: int | None = 40,
 ) -> DataFrame:
-    """Entitled features one customer left idle in a month, most valuable first."""
-    chosen = customers.filter(F.col("cust_name") == cust_name).agg(F.min("cust_id")).scalar()
+    """Entitled features one customer left idle in a month, most valuable first; all of them without ``top``."""
     names = entitlements.select("product_id", "product_name").distinct()
-    return (
+    idle = (
         activity.filter(
-            (F.col("month") == month) & (F.col("cust_id") == chosen) & ~F.col("is_active")
+            (F.col("month") == month) & (F.col("cust_id") == cust_id) & ~F.col("is_active")
         )
         .select("product_id", "feature_id", "feature_name", "feature_tier", "feature_value_weight")
         .join(names, "product_id")
-        .orderBy(F.desc("feature_value_weight"), "feature_id", "product_name")
-        .limit(top)
-        .select("feature_name", "feature_tier", "product_name")
     )
+    if top is not None:
+        idle = idle.orderBy(F.desc("feature_value_weight"), "feature_id", "product_name").limit(top)
+    return idle.select("feature_name", "feature_tier", "product_name")
 
 
 def unused_summary(unused: DataFrame) -> DataFrame:
+    """Counts of all idle features of an account, so give it the list without a cut."""
     return unused.agg(
         F.count("*").alias("features"),
         F.count_if(F.col("feature_tier") == "Core").alias("core_features"),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fulluse.functions import dates as d
 from fulluse.functions import metrics as m
 from fulluse.operators import staging
-from fulluse.plans.joins import lookup
 from fulluse.plans.params import Params
 
 KEY = ["cust_id", "product_id", "month"]
@@ -35,8 +34,6 @@ def feature_coverage(
     spine: DataFrame,
     hits: DataFrame,
     features: DataFrame,
-    few_features: bool,
-    params: Params,
 ) -> DataFrame:
     """Breadth factor: weight of active over weight of entitled features.
 
@@ -56,7 +53,7 @@ def feature_coverage(
     weight = F.col("feature_value_weight")
     extra = F.col("records") - 1
     touched = (
-        lookup(hits, weights, ["product_id", "feature_id"], few_features, params)
+        hits.join(weights, ["product_id", "feature_id"])
         .groupBy(*KEY)
         .agg(
             F.sum(F.col("active_records") * weight).alias("_active_weight"),
@@ -69,9 +66,7 @@ def feature_coverage(
     active_weight = F.coalesce("_active_weight", zero)
     entitled_weight = F.col("_contracts") * F.col("_sku_weight") + F.coalesce("_extra_weight", zero)
     entitled = F.col("_contracts") * F.col("_sku_features") + F.coalesce("_extra", zero)
-    return lookup(
-        contracts.join(touched, KEY, "left"), catalogue, ["product_id"], few_features, params
-    ).select(
+    return contracts.join(touched, KEY, "left").join(catalogue, "product_id").select(
         *KEY,
         active_weight.alias("active_weight"),
         entitled_weight.alias("entitled_weight"),

@@ -9,7 +9,6 @@ from fulluse.functions import dates as d
 from fulluse.functions import metrics as m
 from fulluse.operators.intermediate import FLAGS, KEY, add_flags
 from fulluse.operators.staging import PRODUCT_DIMS
-from fulluse.plans.joins import lookup
 from fulluse.plans.params import Params
 
 CUSTOMER_DIMS = ("cust_name", "segment", "region", "industry", "account_owner")
@@ -23,8 +22,6 @@ def customer_sku_month(
     customers: DataFrame,
     products: DataFrame,
     latest: Column,
-    few_customers: bool,
-    few_products: bool,
     params: Params,
 ) -> DataFrame:
     """The base fact: factors, flags, score and its dollar split per customer x SKU x month.
@@ -36,13 +33,7 @@ def customer_sku_month(
     flagged = add_flags(factors, latest, params)
     who = customers.select("cust_id", *CUSTOMER_DIMS, "behaviour_cohort")
     what = products.select("product_id", *PRODUCT_DIMS).distinct()
-    named = lookup(
-        lookup(flagged, who, ["cust_id"], few_customers, params),
-        what,
-        ["product_id"],
-        few_products,
-        params,
-    )
+    named = flagged.join(who, "cust_id").join(what, "product_id")
     score = m.vrr(
         F.col("flag_deploying"),
         F.col("flag_unlimited"),
@@ -129,8 +120,6 @@ def feature_adoption(
     hits: DataFrame,
     spine: DataFrame,
     features: DataFrame,
-    few_features: bool,
-    params: Params,
 ) -> DataFrame:
     """Customers entitled to and active on each feature, and its usage, per month.
 
@@ -149,7 +138,7 @@ def feature_adoption(
     zero = F.lit(0).cast("long")
     active = F.coalesce("_active", zero)
     return (
-        lookup(entitled, catalogue, ["product_id"], few_features, params)
+        entitled.join(catalogue, "product_id")
         .join(used, ["product_id", "feature_id", "month"], "left")
         .select(
             *dims,

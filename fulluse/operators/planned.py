@@ -9,7 +9,6 @@ from fulluse.functions import dates as d
 from fulluse.functions import metrics as m
 from fulluse.operators.insights import latest_complete_month
 from fulluse.operators.intermediate import KEY, PAIR
-from fulluse.plans.joins import lookup
 from fulluse.plans.params import Params
 
 
@@ -174,9 +173,7 @@ def activation_survival(activity: DataFrame, months: int = 3) -> DataFrame:
     )
 
 
-def feature_value_share(
-    fact: DataFrame, features: DataFrame, few_features: bool, params: Params
-) -> DataFrame:
+def feature_value_share(fact: DataFrame, features: DataFrame) -> DataFrame:
     """Monthly contract value of a pair split over its SKU's features by weight."""
     totals = features.groupBy("product_id").agg(F.sum("feature_value_weight").alias("_all"))
     weights = (
@@ -189,9 +186,11 @@ def feature_value_share(
         )
     )
     value = F.col("licensed_value_usd") * F.col("weight_share")
-    return lookup(
-        fact.select(*KEY, "licensed_value_usd"), weights, ["product_id"], few_features, params
-    ).select(*KEY, "feature_id", "weight_share", value.alias("feature_value_usd"))
+    return (
+        fact.select(*KEY, "licensed_value_usd")
+        .join(weights, "product_id")
+        .select(*KEY, "feature_id", "weight_share", value.alias("feature_value_usd"))
+    )
 
 
 def coverage_unweighted(coverage: DataFrame) -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulluse.functions import metrics as m
-from fulluse.plans.joins import lookup
-from fulluse.plans.params import Params
 
 PRODUCT_DIMS = ("product_name", "product_platform", "sku_tier", "consumption_model")
 
@@ -33,15 +31,10 @@ def entitlements(
     raw_entitlements: DataFrame,
     products: DataFrame,
     kept_customers: DataFrame,
-    few_products: bool,
-    few_customers: bool,
-    params: Params,
 ) -> DataFrame:
     """Contracts of kept customers with product attributes and the unit price in USD."""
-    paying = lookup(
-        raw_entitlements, kept_customers.select("cust_id"), ["cust_id"], few_customers, params
-    )
-    priced = lookup(paying, products, ["product_id"], few_products, params)
+    paying = raw_entitlements.join(kept_customers.select("cust_id"), "cust_id")
+    priced = paying.join(products, "product_id")
     return priced.select(
         "entitlement_id",
         "cust_id",
@@ -189,14 +182,14 @@ def feature_activity(
     window: MonthWindow,
     features: DataFrame,
     raw_activity: DataFrame,
-    few_features: bool,
-    params: Params,
 ) -> DataFrame:
     """Every entitled feature of every contract-month; inactive unless a record says otherwise.
 
-    A repeated activity record is kept as its own row. The records are one side
-    of an inner join, which lets Spark split a hot contract, and the untouched
-    features come from an anti join against distinct keys. Records on features outside the SKU match nothing and drop.
+    A repeated activity record is kept as its own row. Equal records travel as
+    one row with a count and are spread again after the joins, so a contract
+    that is loaded many times shuffles little. The untouched features come from
+    an anti join against distinct keys. Records on features outside the SKU
+    match nothing and drop.
     """
     seats = spine.select("entitlement_id", "cust_id", "product_id", "month")
     catalogue = features.select(
@@ -215,20 +208,20 @@ def feature_activity(
         "feature_tier",
         "feature_value_weight",
     ]
-    used = lookup(
-        booked(records, contracts, window),
-        catalogue,
-        ["product_id", "feature_id"],
-        few_features,
-        params,
-    ).select(
-        *columns,
-        F.coalesce("is_active", F.lit(False)).alias("is_active"),
-        F.coalesce("usage_events", F.lit(0)).alias("usage_events"),
+    counted = records.groupBy(*records.columns).agg(F.count("*").alias("_copies"))
+    used = (
+        booked(counted, contracts, window)
+        .join(catalogue, ["product_id", "feature_id"])
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .select(
+            *columns,
+            F.coalesce("is_active", F.lit(False)).alias("is_active"),
+            F.coalesce("usage_events", F.lit(0)).alias("usage_events"),
+        )
     )
     key = ["entitlement_id", "month", "feature_id"]
     unused = (
-        lookup(seats, catalogue, ["product_id"], few_features, params)
+        seats.join(catalogue, "product_id")
         .join(records.select(*key).distinct(), key, "left_anti")
         .select(
             *columns,

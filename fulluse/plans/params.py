@@ -41,8 +41,3 @@ class Params:
     spike_cohort: str = "spike_drop"
     overage_cohort: str = "overage"
     shelfware_cohort: str = "shelfware"
-
-    # A dimension is broadcast only when a count proves it has at most this many rows.
-    broadcast_rows: int = 200_000
-    # Otherwise the join is shuffled with every key split this many ways.
-    join_salts: int = 32

@@ -5,14 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulluse.operators import audit, intermediate, marts, staging
 from fulluse.plans import storage
-from fulluse.plans.joins import is_small
 from fulluse.plans.params import Params
 from fulluse.sources.adapter import AdaptedTables
 from fulluse.sources.schemas import raw_tables
@@ -50,15 +49,6 @@ SHARED = (
 MONTH_ORDERED = ("stg_feature_activity", "mart_customer_sku_month")
 
 
-ROLLUPS = (
-    "mart_customer_adoption",
-    "mart_product_adoption",
-    "mart_feature_adoption",
-    "mart_owner_recovery",
-    "mart_exec_summary",
-)
-
-
 class Models:
     """Raw tables and models by name, each built on first use.
 
@@ -79,7 +69,6 @@ class Models:
         self.params = params
         self._keep = keep
         self._built: dict[str, DataFrame] = {}
-        self._small: dict[str, bool] = {}
         self._window: staging.MonthWindow | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -96,11 +85,6 @@ class Models:
         """Let later models read ``df`` as the named model."""
         self._built[name] = df
 
-    def small(self, raw_name: str) -> bool:
-        if raw_name not in self._small:
-            self._small[raw_name] = is_small(self.raw[raw_name], self.params)
-        return self._small[raw_name]
-
     def window(self) -> staging.MonthWindow:
         if self._window is None:
             self._window = staging.data_window(self["consumption_monthly"])
@@ -122,9 +106,6 @@ class Models:
             self["entitlements"],
             self["products"],
             self["stg_customers"],
-            self.small("products"),
-            self.small("customers"),
-            self.params,
         )
 
     def _stg_entitlement_month(self) -> DataFrame:
@@ -140,8 +121,6 @@ class Models:
             self.window(),
             self["features"],
             self["feature_adoption_monthly"],
-            self.small("features"),
-            self.params,
         )
 
     def _int_consumption_rate(self) -> DataFrame:
@@ -152,8 +131,6 @@ class Models:
             self["stg_entitlement_month"],
             self.feature_hits(),
             self["features"],
-            self.small("features"),
-            self.params,
         )
 
     def _int_deployment(self) -> DataFrame:
@@ -177,8 +154,6 @@ class Models:
             self["stg_customers"],
             self["products"],
             self.latest_month(),
-            self.small("customers"),
-            self.small("products"),
             self.params,
         )
 
@@ -193,8 +168,6 @@ class Models:
             self.feature_hits(),
             self["stg_entitlement_month"],
             self["features"],
-            self.small("features"),
-            self.params,
         )
 
     def _mart_owner_recovery(self) -> DataFrame:
@@ -204,24 +177,23 @@ class Models:
         return marts.exec_summary(self["mart_customer_sku_month"])
 
 
-def refresh(
-    raw: Mapping[str, DataFrame], folder: str, since: date, params: Params = Params()
-) -> None:
-    """Bring the marts of an earlier :func:`run` in ``folder`` up to date from month ``since`` on.
+def refresh(raw: Mapping[str, DataFrame], folder: str, params: Params = Params()) -> None:
+    """Bring every model of an earlier :func:`run` in ``folder`` to what a full run over ``raw`` would write.
 
-    Only those months of the two month-foldered tables are written, and the
-    rollups are rebuilt from them. Flags look back and ahead over a pair's
-    months, so the base fact is planned over the whole history. Staging and
-    intermediate tables wait for the next full run.
+    Added, changed and removed input reaches back: flags look over all months
+    of a pair, and the month that was last before is no longer incomplete. So
+    all models are planned over the whole history; the large month-foldered
+    tables are written only in the months that differ.
     """
     models = Models(raw, params)
-    for name in MONTH_ORDERED:
-        path = f"{folder}/{name}"
+    for name in MODELS:
         df = models[name]
-        storage.refresh_months(df.filter(F.col("month") >= F.lit(since)), path)
-        models.put(name, storage.read_written(df.sparkSession, path, df))
-    for name in ROLLUPS:
-        write_model(models[name], name, folder)
+        if name in MONTH_ORDERED:
+            path = f"{folder}/{name}"
+            storage.replace_changed_months(df, path)
+            models.put(name, storage.read_written(df.sparkSession, path, df))
+        else:
+            models.put(name, write_model(df, name, folder))
 
 
 @dataclass(frozen=True)

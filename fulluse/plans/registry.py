@@ -148,13 +148,11 @@ def worklist(t: Models, **choice: object) -> DataFrame:
     return insights.customer_worklist(t[BY_CUSTOMER], month, t.params, **choice)
 
 
-def unused(t: Models) -> DataFrame:
+def unused(t: Models, **cut: int | None) -> DataFrame:
     """Idle features of the account at the top of the worklist."""
-    top = worklist(t).select("cust_name").limit(1).scalar()
+    first = worklist(t).select("cust_id").limit(1).scalar()
     month = insights.latest_complete_month(t[FACT])
-    return insights.unused_features(
-        t[ACTIVITY], t["stg_entitlements"], t["stg_customers"], top, month
-    )
+    return insights.unused_features(t[ACTIVITY], t["stg_entitlements"], first, month, **cut)
 
 
 INSIGHTS: dict[str, Query] = {
@@ -178,7 +176,7 @@ INSIGHTS: dict[str, Query] = {
     "worklist_display": lambda t: insights.worklist_display(worklist(t)),
     "worklist_headline": lambda t: insights.worklist_headline(worklist(t)),
     "unused_features": unused,
-    "unused_summary": lambda t: insights.unused_summary(unused(t)),
+    "unused_summary": lambda t: insights.unused_summary(unused(t, top=None)),
     "platform_risk": lambda t: insights.platform_risk(
         t[BY_PRODUCT], insights.latest_complete_month(t[FACT])
     ),
@@ -216,7 +214,7 @@ PLANNED: dict[str, Query] = {
     "guard_metrics": lambda t: planned.guard_metrics(t[BY_CUSTOMER], t.params),
     "activation_survival": lambda t: planned.activation_survival(t[ACTIVITY]),
     "feature_value_share": lambda t: planned.feature_value_share(
-        t[FACT], t["features"], t.small("features"), t.params
+        t[FACT], t["features"]
     ),
     "coverage_unweighted": lambda t: planned.coverage_unweighted(t["int_feature_coverage"]),
 }

@@ -76,6 +76,36 @@ def refresh_months(df: DataFrame, path: str) -> None:
     )
 
 
+def month_digests(df: DataFrame, name: str) -> DataFrame:
+    """One row per month that changes when any of its rows does, whatever their order."""
+    total = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))
+    return df.groupBy("month").agg(F.struct(F.count("*"), total).alias(name))
+
+
+def replace_changed_months(df: DataFrame, path: str) -> None:
+    """Make the month-foldered table at ``path`` equal to ``df``, writing only months in which any row differs.
+
+    Folders of months that ``df`` no longer has are removed. The driver sees
+    one row per month that changed.
+    """
+    spark = df.sparkSession
+    stored = month_digests(read_written(spark, path, df), "stored")
+    differing = (
+        month_digests(df, "wanted")
+        .join(stored, "month", "full")
+        .filter(~F.col("wanted").eqNullSafe(F.col("stored")))
+        .select("month", F.col("wanted").isNull().alias("gone"))
+        .collect()
+    )
+    written = [row["month"] for row in differing if not row["gone"]]
+    if written:
+        refresh_months(df.filter(F.col("month").isin(written)), path)
+    for row in differing:
+        if row["gone"]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month={row['month']}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

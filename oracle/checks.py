@@ -27,7 +27,7 @@ MOVED = "abs(opening_var_usd - closing_var_usd - value_recovered_usd)"
 OVERLAP = """(select 1 from entitlements as a, entitlements as b
  where a.cust_id = b.cust_id and a.product_id = b.product_id
    and a.entitlement_id <> b.entitlement_id
-   and greatest(a.start_date, b.start_date) <= least(a.end_date, b.end_date))"""
+   and a.start_date <= b.end_date and b.start_date <= a.end_date)"""
 PARTED = """(select 1 from entitlements as a, entitlements as b
  where a.cust_id = b.cust_id and a.product_id = b.product_id and b.start_date - a.end_date > 31)"""
 STRAY = f"""(select 1 from {FACT} as f
@@ -164,6 +164,9 @@ CHECKS = {
         tally("fx_rate_to_usd is null or fx_rate_to_usd <= 0 or (currency = 'USD') <> (fx_rate_to_usd = 1)"),
         "count(*)", "entitlements",
     ),
+    "dq_term_order": row(
+        "dq_term_order", tally("start_date > end_date"), "count(*)", "entitlements"
+    ),
     "dq_shelfware_scores_zero": row(
         "dq_shelfware_scores_zero", tally("score is distinct from 0"), tally("flagged"),
         f"(select avg(vrr) as score, bool_or(flag_shelfware) as flagged from {FACT} where {IDLE} "
@@ -260,7 +263,7 @@ CHECKS = {
     ),
     "dq_overage_ratio": row(
         "dq_overage_ratio", "(not ifnull(avg((ratio > 1.2)::int) > 0.9, false))::int",
-        "quantile_disc(ratio, 0.5)",
+        "median(ratio)",
         "(select ifnull(sum(consumed_units) / nullif(sum(licensed_amount_month), 0), null) as ratio "
         "from consumption_monthly inner join customers using (cust_id) "
         "where behaviour_cohort = 'unlabelled' group by cust_id)",

@@ -36,19 +36,16 @@ select *, case when skus_held = skus_deploying then 'Too new to score'
             else 'Healthy' end as status
 from {BY_CUSTOMER}""",
     "worklist": f"""
-select cust_name, status, segment, region, account_owner, vrr_value_weighted as vrr,
+select cust_id, cust_name, status, segment, region, account_owner, vrr_value_weighted as vrr,
        consumption_rate, feature_coverage, 12 * licensed_value_usd as book_usd,
        12 * value_at_risk_usd as var_usd, skus_held
 from stated where month = {NOW}""",
     "idle": f"""
-select a.feature_name, a.feature_tier, p.product_name
+select a.feature_name, a.feature_tier, p.product_name, a.feature_value_weight, a.feature_id
 from stg_feature_activity as a
-inner join stg_customers as c using (cust_id)
 inner join products as p on p.product_id = a.product_id
 where a.month = {NOW} and not a.is_active
-  and c.cust_name = (select cust_name from worklist order by var_usd desc, cust_name limit 1)
-order by a.feature_value_weight desc, a.feature_id, p.product_name
-limit 40""",
+  and a.cust_id = (select cust_id from worklist order by var_usd desc, cust_name, cust_id limit 1)""",
     "settled": f"""
 select cust_id, account_owner, month, round(vrr_value_weighted, 12) as vrr_value_weighted
 from {BY_CUSTOMER}""",
@@ -157,7 +154,11 @@ where product_name = 'PROMO SKU' group by all""",
         "select count(*) as accounts, fsum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
         ["var_usd", "vrr_mean"],
     ),
-    "unused_features": ("select * from idle", []),
+    "unused_features": (
+        "select feature_name, feature_tier, product_name from idle "
+        "order by feature_value_weight desc, feature_id, product_name limit 40",
+        [],
+    ),
     "unused_summary": (
         "select count(*) as features, count(*) filter (where feature_tier = 'Core') "
         "as core_features from idle",

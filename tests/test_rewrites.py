@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import itertools
 import random
+import statistics
 from dataclasses import replace
 
 import pytest
 
 from conftest import Book, months
 from fulluse.operators import checks
-from fulluse.plans.joins import is_small, lookup
 from fulluse.plans.params import Params
 from fulluse.plans.pipeline import Models
 from fulluse.plans.storage import WorkFolder
 from pyspark.sql import functions as F
 
-SHUFFLED = replace(Params(), broadcast_rows=0, join_salts=3)
-
 
 def random_book(spark, seed: int) -> Book:
     """Hot contracts, repeats, overlaps, gaps, foreign features and open amounts."""
@@ -69,7 +69,9 @@ def same(left, right):
 @pytest.fixture(scope="module", params=[1, 2])
 def models(request, spark):
     raw = random_book(spark, request.param).raw()
-    return Models(raw, SHUFFLED, WorkFolder(spark, "test").keep)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield Models(raw, Params(), WorkFolder(spark, "test").keep)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def naive_activity(models):
@@ -183,17 +185,39 @@ def test_all_checks_in_one_frame_equal_the_single_ones(models):
     assert named == set(checks.NAMES)
 
 
-def test_salted_lookup_equals_a_plain_join_for_a_hot_key(spark):
-    facts = spark.range(500).select(
-        F.when(F.col("id") % 3 != 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+def test_terms_that_end_before_they_start_are_counted(spark):
+    rng = random.Random(7)
+    base = dt.date(2024, 1, 1)
+    rows = [
+        (f"E{n % 40}", rng.choice(["C1", "C2"]), "S", *(base + dt.timedelta(rng.randint(0, 30)) for _ in "se"))
+        for n in range(60)
+    ] + [("E99", "C1", "S", None, base)]
+    contracts = spark.createDataFrame(
+        rows, "entitlement_id string, cust_id string, product_id string, start_date date, end_date date"
     )
-    dim = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    salted = lookup(facts, dim, ["k"], False, SHUFFLED)
-    same(salted, facts.join(dim, ["k"]))
-    plan = salted._jdf.queryExecution().analyzed().toString()
-    assert "_salt" in plan and "broadcast" not in plan.lower()
+    whole = [r for r in rows if r[3] is not None]
+    pairs = [(a, b) for a in whole for b in whole if a[1] == b[1]]
+    meeting = sum(a[3] <= b[4] and b[3] <= a[4] for a, b in pairs if a[0] != b[0])
+    apart = sum((b[3] - a[4]).days > 3 for a, b in pairs)
+    assert checks.overlaps_exist(contracts).collect()[0]["observed"] == meeting
+    short = replace(Params(), gap_days=3)
+    assert checks.renewal_gaps(contracts, short).collect()[0]["observed"] == apart
+    overlaps = gaps = 0
+    for cust in ("C1", "C2"):
+        terms = sorted(r[3:] for r in whole if r[1] == cust)
+        for (_, end), (start, _) in itertools.pairwise(terms):
+            overlaps += start <= end
+            gaps += (start - end).days > 1
+    found = {r["check_name"]: r["observed"] for r in checks.adjacent_contracts(contracts).collect()}
+    assert found == {
+        "dq_adjacent_overlap_gap:overlaps": overlaps, "dq_adjacent_overlap_gap:gaps": gaps
+    }
 
 
-def test_size_check_has_a_bound(spark):
-    assert is_small(spark.range(5), replace(Params(), broadcast_rows=5))
-    assert not is_small(spark.range(6), replace(Params(), broadcast_rows=5))
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 1000])
+def test_median_is_exact(spark, count):
+    rng = random.Random(count)
+    values = [rng.choice([1.5, 1.5, rng.random() * 9, rng.random() ** 9]) for _ in range(count)]
+    rows = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+    expected = statistics.median(values) if values else None
+    assert checks.median(rows, "x", steps=5).collect()[0][0] == expected
