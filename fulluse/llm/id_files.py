@@ -13,12 +13,14 @@ a hash of the text and each keeps its own place; an empty table has no chunk and
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from fulluse.llm.common import Scratch, keyed, shown_id
 
 MAGIC = b"IDP1"
-BLOCK = 65_536
+BLOCK, TEXT_BYTES = 65_536, 1 << 24
 TOGETHER, MARK = 64, "<|endoftext|>"
 CHUNKS = (
     "shard int, chunk int, first_id long, n_ids int, first_row long, doc_ids array<long>, doc_n array<int>,"
@@ -66,26 +68,48 @@ def unpack(payload: bytes) -> np.ndarray:
 
 
 _known: dict[str, bytes] = {}
+#: Letters below U+0250 that no normal form changes, between ASCII marks which the pre-tokenizer keeps together.
+PLAIN = re.compile(r"""([!"#$%&()*+,\-./:;=>?@[\\\]^`{|}~]*)([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!"#$%&()*+,\-./:;=>?@[\\\]^`{|}~]*)""")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves, all others
+    follow from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*shown}))}
 
 
 def encoder(tokenizer_file: str, width: int, keep: int = 1_200_000):
-    """texts -> ids as packed little-endian numbers.
+    """An Arrow array of texts -> ids of all texts after one another, and where each text's ids start and end.
 
     Blanks and newlines always end a pre-token of this tokenizer and case is ignored, so each distinct run between them
-    is encoded once, many in one call, and a bounded table answers the repeats. What may hold a special token is
-    encoded by itself, as it stands.
+    is encoded once in a batch, and a bounded table answers the repeats of later batches. A run of plain letters between
+    marks is known by its parts, which are pre-tokens as they stand. Other runs take the whole tokenizer, many in one
+    call; what may hold a special token is encoded by itself.
     """
     from tokenizers import Tokenizer
 
     tokenizer, kind = Tokenizer.from_file(tokenizer_file), f"<u{width}"
-    mark = tokenizer.token_to_id(MARK)
+    mark, model, letters = tokenizer.token_to_id(MARK), tokenizer.model, byte_letters()
+    packed = [k.to_bytes(width, "little") for k in range(tokenizer.get_vocab_size())]
+
+    def part(word: str) -> bytes:
+        """Ids of one pre-token, kept if it is met again."""
+        if (ids := _known.get(word)) is None:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+            ids = _known[word] = b"".join([packed[t.id] for t in model.tokenize(shown)]) if word else b""
+        return ids
 
     def learn(words: list[str]) -> None:
+        others = []
         for w in words:
             if "<|" in w:
                 _known[w] = np.array(tokenizer.encode(w, add_special_tokens=False).ids, kind).tobytes()
-        plain = [w for w in words if "<|" not in w]
-        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+            elif found := PLAIN.fullmatch(w):
+                _known[w] = b"".join(map(part, found.groups()))
+            else:
+                others.append(w)
+        groups = [others[k : k + TOGETHER] for k in range(0, len(others), TOGETHER)]
         # A special token between runs shows in the ids where one ends.
         for group, e in zip(groups, tokenizer.encode_batch_fast([MARK.join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, kind)
@@ -95,19 +119,22 @@ def encoder(tokenizer_file: str, width: int, keep: int = 1_200_000):
                 _known[w] = raw[first * width : end * width]
                 first = end + 1
 
-    def runs(text: str) -> list[str]:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        return text.replace("\n", " ").split(" ")
-
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [runs(t) for t in texts]
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.split_pattern(pc.replace_substring(lowered, "\n", " "), " ")
+        runs = split.values.dictionary_encode()
+        words = runs.dictionary.to_pylist()
         if len(_known) > keep:
             _known.clear()
-        new = [w for w in set().union(*split) if w not in _known]
-        if new:
+        if new := [w for w in words if w not in _known]:
             learn(new)
-        return [b"".join(map(_known.__getitem__, words)) for words in split]
+        own = [_known[w] for w in words]
+        # Each run's ids stand once in ``flat``; the batch is gathered from there.
+        sizes = np.array([len(x) // width for x in own], np.int64)
+        flat, firsts, at = np.frombuffer(b"".join(own), kind), np.cumsum(sizes) - sizes, runs.indices.to_numpy()
+        upto = np.concatenate(([0], np.cumsum(sizes[at])))
+        ids = flat[np.repeat(firsts[at] - upto[:-1], sizes[at]) + np.arange(upto[-1])]
+        return ids, upto[split.offsets.to_numpy()]
 
     return encode
 
@@ -140,9 +167,10 @@ def write(docs: DataFrame, scratch: Scratch, name: str, tokenizer_file: str, end
             )
 
         for whole in batches:
-            for batch in pieces(whole):
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
-                    ids += end
+            for batch in pieces(whole, TEXT_BYTES):
+                found, cuts = encode(batch.column("text"))
+                for k, doc in enumerate(batch.column("doc_id").to_pylist()):
+                    ids = found[cuts[k] : cuts[k + 1]].tobytes() + end
                     at = 0
                     while at < len(ids):
                         part = ids[at : at + (block - size) * width]
