@@ -41,11 +41,11 @@ def pack(ids: np.ndarray, planes: str = "bit", level: int = 3) -> bytes:
     """One chunk: magic, id width in bytes, plane kind, count, plane lengths, planes."""
     width = ids.dtype.itemsize
     data = np.ascontiguousarray(ids, ids.dtype.newbyteorder("<")).view(np.uint8).reshape(len(ids), width)
+    rows = [np.ascontiguousarray(data[:, k]) for k in range(width)]
     if planes == "bit":
-        rows = np.packbits(np.unpackbits(data, axis=1, bitorder="little").T, axis=1, bitorder="little")
-    else:
-        rows = np.ascontiguousarray(data.T)
-    frames = [zstandard.ZstdCompressor(level=level).compress(r.tobytes()) for r in rows]
+        rows = [np.packbits(r & np.uint8(1 << k), bitorder="little") for r in rows for k in range(8)]
+    press = zstandard.ZstdCompressor(level=level)
+    frames = [press.compress(r.tobytes()) for r in rows]
     head = struct.pack("<4sBBHI", MAGIC, width, planes == "bit", len(frames), len(ids))
     return head + struct.pack(f"<{len(frames)}I", *map(len, frames)) + b"".join(frames)
 
@@ -55,16 +55,17 @@ def unpack(payload: bytes) -> np.ndarray:
     if magic != MAGIC:
         raise ValueError("not a chunk of ids")
     lengths = struct.unpack_from(f"<{count}I", payload, 12)
-    at, rows = 12 + 4 * count, []
+    at, rows, unpress = 12 + 4 * count, [], zstandard.ZstdDecompressor()
     for length in lengths:
-        rows.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[at : at + length]), np.uint8))
+        rows.append(np.frombuffer(unpress.decompress(payload[at : at + length]), np.uint8))
         at += length
-    planes = np.stack(rows)
-    if bit:
-        planes = np.packbits(np.unpackbits(planes, axis=1, bitorder="little")[:, :n].T, axis=1, bitorder="little")
-    else:
-        planes = planes.T
-    return np.ascontiguousarray(planes).reshape(-1).view(f"<u{width}")
+    data = np.zeros((n, width), np.uint8)
+    for k, row in enumerate(rows):
+        if bit:
+            data[:, k // 8] |= np.unpackbits(row, count=n, bitorder="little") << np.uint8(k % 8)
+        else:
+            data[:, k] = row
+    return data.reshape(-1).view(f"<u{width}")
 
 
 _known: dict[str, bytes] = {}
