@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fulluse.llm.common import Scratch, keyed, shown_id
 
 MAGIC = b"IDP1"
-BLOCK, TEXT_BYTES = 65_536, 1 << 24
+BLOCK, TEXT_BYTES = 65_536, 1 << 22
 TOGETHER, MARK = 64, "<|endoftext|>"
 CHUNKS = (
     "shard int, chunk int, first_id long, n_ids int, first_row long, doc_ids array<long>, doc_n array<int>,"
@@ -80,7 +80,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*shown}))}
 
 
-def encoder(tokenizer_file: str, width: int, keep: int = 1_200_000):
+def encoder(tokenizer_file: str, width: int, keep: int = 500_000):
     """An Arrow array of texts -> ids of all texts after one another, and where each text's ids start and end.
 
     Blanks and newlines always end a pre-token of this tokenizer and case is ignored, so each distinct run between them
