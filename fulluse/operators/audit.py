@@ -224,10 +224,15 @@ def full(
     return models_built(models, names, seconds).unionByName(cleaning(models))
 
 
+def run_id(run_ts: datetime) -> str:
+    """The UTC second of the run."""
+    return f"{run_ts:%Y%m%d%H%M%S}"
+
+
 def stamp(rows: DataFrame, run_ts: datetime) -> DataFrame:
-    """Add the run columns; the run id is the UTC second of the run."""
+    """Add the run columns."""
     return rows.select(
-        F.lit(f"{run_ts:%Y%m%d%H%M%S}").alias("run_id"),
+        F.lit(run_id(run_ts)).alias("run_id"),
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         *COLUMNS,
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import UTC, datetime
 
@@ -102,8 +103,8 @@ AUDIT: dict[str, Query] = {
     "audit_gap_months": audit_part("gap_months"),
     "audit_incomplete": audit_part("flags", audit.MARK_INCOMPLETE),
     "audit_flags": audit_part("flags", audit.FLAG_RAISED),
-    "audit_cleaning_view": lambda t: audit.cleaning_view(audit.full(t, MODELS)),
-    "audit_built_view": lambda t: audit.built_view(audit.full(t, MODELS)).drop("runtime"),
+    "audit_cleaning_view": lambda t: audit.cleaning_view(audit.cleaning(t)),
+    "audit_built_view": lambda t: audit.built_view(audit.models_built(t, MODELS)).drop("runtime"),
 }
 
 SOURCES: dict[str, Query] = {
@@ -112,14 +113,27 @@ SOURCES: dict[str, Query] = {
     "load_parity": load_parity,
 }
 
-def publish(t: Models) -> DataFrame:
-    """Append one run to the audit history and read the history back."""
+
+#: When the registered runs took place; a caller's own runs have the time they started.
+RUNS = tuple(datetime(2002, 1, day, 6, tzinfo=UTC) for day in (1, 2))
+
+
+def publish(t: Models, runs: Sequence[datetime] = RUNS) -> DataFrame:
+    """Append the whole audit once for each run time to a new history and read the history back."""
     if t.folder is None:
         raise ValueError("these models keep no history")
-    rows = audit.stamp(audit.cleaning(t), datetime.now(UTC))
-    path = f"{t.folder}/pipeline_audit"
-    storage.append_table(rows, path)
-    return storage.read_written(rows.sparkSession, path, rows)
+    path = f"{t.folder}/pipeline_audit-{uuid.uuid4().hex}"
+    rows = audit.full(t, MODELS)
+    storage.append_table(audit.stamp(rows, runs[0]), path)
+    first = storage.read_written(rows.sparkSession, path, audit.stamp(rows, runs[0]))
+    for run_ts in runs[1:]:
+        storage.append_table(audit.stamp(first.filter(F.col("run_id") == audit.run_id(runs[0])), run_ts), path)
+    return storage.read_written(rows.sparkSession, path, first)
+
+
+def published(log: DataFrame) -> DataFrame:
+    """Run times as seconds, which read alike in every time zone."""
+    return log.select("run_id", F.unix_seconds("run_ts").alias("run_epoch"), *log.columns[2:])
 
 
 EXEC = "mart_exec_summary"
@@ -191,8 +205,8 @@ INSIGHTS: dict[str, Query] = {
     ),
     "owner_board": lambda t: insights.owner_board(t["mart_owner_recovery"]),
     "owner_board_latest": lambda t: insights.owner_board_latest(t["mart_owner_recovery"]),
-    "audit_publish": publish,
-    "run_history": lambda t: audit.run_history(publish(t)),
+    "audit_publish": lambda t: published(publish(t)),
+    "run_history": lambda t: published(audit.run_history(publish(t))),
     "scored_trend": lambda t: insights.scored_trend(t[EXEC]),
     "value_trend": lambda t: insights.value_trend(t[EXEC]),
     "complete_months": lambda t: insights.complete_months(t[FACT]),

@@ -108,6 +108,18 @@ BUILT = "\nunion all\n".join(
 )
 
 
+COLUMNS = "layer, model, action, rows_in, rows_out, rows_removed, note"
+AUDIT = "\nunion all\n".join(
+    [
+        "select layer, model, action, null::bigint as rows_in, rows_out, null::bigint as rows_removed, "
+        f"null::varchar as note from (\n{BUILT}\n)",
+        *(f"select {COLUMNS} from (\n{sql}\n)" for sql in STEPS.values()),
+    ]
+)
+#: The two registered runs: id, and seconds since 1970.
+RUNS = "(values ('20020101060000', 1009864800::bigint), ('20020102060000', 1009951200::bigint)) as r(run_id, run_epoch)"
+
+
 def fact(*columns: str, doubles: list[str] | None = None) -> tuple[str, list[str]]:
     sql = f"select cust_id, product_id, month, {', '.join(columns)} from mart_customer_sku_month"
     return sql, list(columns) if doubles is None else doubles
@@ -160,6 +172,8 @@ QUERIES: dict[str, tuple[str, list[str]]] = {
     "audit_model_built": (BUILT, []),
     **{name: (sql, []) for name, sql in STEPS.items()},
     "audit_cleaning_view": ("\nunion all\n".join(f"({sql})" for sql in STEPS.values()), []),
+    "audit_publish": (f"select run_id, run_epoch, {COLUMNS} from {RUNS}, (\n{AUDIT}\n)", []),
+    "run_history": (f"select run_id, run_epoch from {RUNS} order by run_id desc limit 20", []),
     "audit_built_view": (
         f"select layer, model, rows_out as row_count from (\n{BUILT}\n)",
         [],
