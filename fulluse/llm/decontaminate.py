@@ -24,62 +24,95 @@ UNITS = "km|cm|mm|kg|mg|ml|kwh|mph|hours?|minutes?|seconds?|days?|weeks?|months?
 
 
 def marked(text: Column) -> Column:
-    """The text with placeholders; places of white space stay."""
-    out = F.regexp_replace(text, rf"(?i)(?<=\d ?)(?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}])", UNIT)
-    out = F.regexp_replace(out, r"\d+(?:[.,]\d+)*", NUM)
-    return F.regexp_replace(out, r"(?<=[^.!?\s]\s)\p{Lu}[\p{L}'’-]*", NAME)
+    """The text with marks before numbers, units and names; places of white space stay."""
+    out = F.translate(text, "‹›", "")
+    out = F.regexp_replace(out, rf"(?i)(?<=\d ?)(?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}])", "‹u›$0")
+    out = F.regexp_replace(out, r"\d+(?:[.,]\d+)*", "‹d›$0")
+    out = F.regexp_replace(out, r"(?<=[^.!?\s]\s)\p{Lu}[\p{L}'’-]*", "‹m›$0")
+    return F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}\s‹›.,]+|(?<!\d)[.,]|[.,](?!\d)", "")
 
 
-def template(text: Column) -> Column:
-    """The template's words."""
-    out = F.regexp_replace(F.lower(marked(text)), r"[^\p{L}\p{N}\s‹›]+", "")
-    return F.split(F.trim(F.regexp_replace(out, r"\s+", " ")), " ")
+def tokens(text: Column) -> Column:
+    """The text's words: lower-cased, without punctuation, with marks."""
+    return F.split(F.trim(F.regexp_replace(marked(text), r"\s+", " ")), " ")
+
+
+def reading(word: Column, names: str) -> Column:
+    """A marked word with placeholders for numbers and units; ``names`` are the marks of words that are names here."""
+    out = F.regexp_replace(word, f"‹[{names}]›[^‹]*", NAME) if names else word
+    out = F.regexp_replace(F.regexp_replace(out, r"‹d›[^‹\p{L}]*", NUM), r"‹u›[^‹]*", UNIT)
+    return F.when(word.contains("‹"), F.regexp_replace(out, "‹[ms]›", "")).otherwise(word)
+
+
+def template(word: Column) -> Column:
+    return reading(word, "m")
+
+
+def plainly(word: Column) -> Column:
+    """Names stay words, so that their case does not matter."""
+    return reading(word, "")
+
+
+def value(word: Column) -> Column:
+    """What the word stands for."""
+    return F.when(word.contains("‹"), F.regexp_replace(word, "‹[dums]›", "")).otherwise(word)
 
 
 def slots(text: Column) -> Column:
     """The template's words with what they stand for: word, value."""
-    def clean(c: Column) -> Column:
-        return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}‹›]+", "")
+    return F.transform(tokens(text), lambda w: F.struct(template(w).alias("word"), value(w).alias("value")))
 
-    pairs = F.arrays_zip(F.split(marked(text), r"\s+").alias("word"), F.split(text, r"\s+").alias("value"))
-    pairs = F.transform(pairs, lambda x: F.struct(clean(x["word"]).alias("word"), clean(x["value"]).alias("value")))
-    return F.filter(pairs, lambda x: x["word"] != "")
 
+#: A window agrees when it does so in one reading.
+READINGS = {"template": template, "plainly": plainly}
 
-def windows(words: Column) -> list[tuple[str, Column]]:
-    """Columns to add one after another; the last, ``h8``, has a hash of each run of eight words and after them others
-    that reach over the end."""
-    def twice(name: str, step: int) -> Column:
-        return F.zip_with(name, F.slice(F.col(name), F.lit(step + 1), F.greatest(F.size(name), F.lit(1))), lambda a, b: F.xxhash64(a, b))
 
-    return [
-        ("h1", F.transform(words, lambda w: F.xxhash64(w))),
-        ("h2", twice("h1", 1)), ("h4", twice("h2", 2)), ("h8", twice("h4", 4)),
-    ]
+def run_hash(words: Column) -> Column:
+    """The hash that ``hashed`` gives a window of these words."""
+    level = [F.xxhash64(F.element_at(words, k + 1)) for k in range(WINDOW)]
+    while len(level) > 1:
+        level = [F.xxhash64(a, b) for a, b in zip(level[::2], level[1::2])]
+    return level[0]
 
 
 def hashed(rows: DataFrame, *keep: str) -> DataFrame:
-    """keep..., at, h: the windows of rows with words."""
+    """keep..., at, h: the windows of rows with words, each with the different hashes of its readings."""
+    def twice(name: str, step: int) -> Column:
+        return F.zip_with(name, F.slice(F.col(name), F.lit(step + 1), F.greatest(F.size(name), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+
     out = rows.filter(F.size("words") >= WINDOW)
-    for name, column in windows(F.col("words")):
-        out = out.withColumn(name, column)
-    own = F.slice("h8", F.lit(1), F.size("words") - (WINDOW - 1))
-    return out.select(*keep, F.posexplode(own).alias("at", "h"))
+    for name, read in READINGS.items():
+        out = out.withColumn(f"{name}1", F.transform("words", lambda w: F.xxhash64(read(w))))
+    for step in (1, 2, 4):
+        out = out.select(*keep, "words", *(twice(f"{name}{step}", step).alias(f"{name}{2 * step}") for name in READINGS))
+    own = [F.slice(f"{name}{WINDOW}", F.lit(1), F.size("words") - (WINDOW - 1)).alias(name) for name in READINGS]
+    out = out.select(*keep, F.posexplode(F.arrays_zip(*own)).alias("at", "w"))
+    return out.select(*keep, "at", F.explode(F.array_distinct(F.array(*(f"w.{name}" for name in READINGS)))).alias("h"))
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """item_id, item_tag, q, h: the windows of items with enough words outside placeholders."""
+    out = items.filter(F.size("words") >= WINDOW)
+    at = F.explode(F.sequence(F.lit(0), F.size("words") - WINDOW))
+    out = out.select("item_id", F.xxhash64("text").alias("item_tag"), "words", at.alias("q"))
+    window = F.slice("words", F.col("q") + 1, WINDOW)
+    found = []
+    for read in READINGS.values():
+        words = F.transform(window, lambda w: read(w))
+        plain = F.size(F.filter(words, lambda w: ~w.startswith("‹")))
+        found.append(F.when(plain >= PLAIN, run_hash(words)))
+    return out.select("item_id", "item_tag", "q", F.explode(F.array_compact(F.array_distinct(F.array(*found)))).alias("h"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, run: int = RUN) -> DataFrame:
     """doc_id, item_id, first_word and last_word in the item, n_windows, n_slots, reparameterised: consistent matches."""
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).distinct().withColumn("words", template(F.col("text")))
-    plain = F.filter(F.slice("words", F.col("at") + 1, WINDOW), lambda w: ~w.startswith("‹"))
-    wanted = hashed(items, "item_id", "words", "text").filter(F.size(plain) >= PLAIN)
-    wanted = scratch.save(
-        wanted.select("item_id", F.xxhash64("text").alias("item_tag"), F.col("at").alias("q"), "h"), "item_windows"
-    )
-    need = wanted.groupBy("item_id", "item_tag").agg(F.least(F.count(F.lit(1)), F.lit(run)).alias("need"))
+    ).distinct().withColumn("words", tokens(F.col("text")))
+    wanted = scratch.save(item_windows(items), "item_windows")
+    need = wanted.groupBy("item_id", "item_tag").agg(F.least(F.countDistinct("q"), F.lit(run)).alias("need"))
     rows = keyed(docs)
-    found = hashed(rows.withColumn("words", template(F.col("text"))), "doc_id", "tag").join(wanted, "h")
+    found = hashed(rows.withColumn("words", tokens(F.col("text"))), "doc_id", "tag").join(wanted, "h")
     runs = (
         found.groupBy("doc_id", "tag", "item_id", "item_tag", (F.col("at") - F.col("q")).alias("shift"))
         .agg(F.countDistinct("q").alias("n_windows"), F.min("q").alias("first"), (F.max("q") + WINDOW - 1).alias("last"))

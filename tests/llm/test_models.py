@@ -137,3 +137,14 @@ def test_templates_of_nothing(spark, scratch):
     assert decontaminate.matches(none, items, scratch).count() == 0
     assert decontaminate.matches(docs, items, scratch).count() == 0
     assert decontaminate.clean_rows(docs, items, scratch).count() == 1
+
+
+def leaks(spark, scratch, text, *items):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return decontaminate.matches(docs, table, scratch).collect()
+
+
+@pytest.mark.parametrize("text", [ITEM.upper(), ITEM.lower(), OTHER.upper().replace("ROME", "PARIS")])
+def test_items_in_other_case(spark, scratch, text):
+    assert len(leaks(spark, scratch, f"Some words before. {text}", ITEM)) == 1
