@@ -29,6 +29,8 @@ def marked(text: Column) -> Column:
     out = F.regexp_replace(out, rf"(?i)(?<=\d ?)(?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}])", "‹u›$0")
     out = F.regexp_replace(out, r"\d+(?:[.,]\d+)*", "‹d›$0")
     out = F.regexp_replace(out, r"(?<=[^.!?\s]\s)\p{Lu}[\p{L}'’-]*", "‹m›$0")
+    # The first word of a sentence may be a name.
+    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}›'’-])\p{Lu}[\p{L}'’-]*", "‹s›$0")
     return F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}\s‹›.,]+|(?<!\d)[.,]|[.,](?!\d)", "")
 
 
@@ -48,6 +50,11 @@ def template(word: Column) -> Column:
     return reading(word, "m")
 
 
+def named(word: Column) -> Column:
+    """First words of sentences are names too, so that it does not matter what stands before them."""
+    return reading(word, "ms")
+
+
 def plainly(word: Column) -> Column:
     """Names stay words, so that their case does not matter."""
     return reading(word, "")
@@ -59,12 +66,12 @@ def value(word: Column) -> Column:
 
 
 def slots(text: Column) -> Column:
-    """The template's words with what they stand for: word, value."""
-    return F.transform(tokens(text), lambda w: F.struct(template(w).alias("word"), value(w).alias("value")))
+    """The template's words, those with more names, and what they stand for: word, named, value."""
+    return F.transform(tokens(text), lambda w: F.struct(template(w).alias("word"), named(w).alias("named"), value(w).alias("value")))
 
 
 #: A window agrees when it does so in one reading.
-READINGS = {"template": template, "plainly": plainly}
+READINGS = {"template": template, "named": named, "plainly": plainly}
 
 
 def run_hash(words: Column) -> Column:
@@ -110,34 +117,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, run: int =
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).distinct().withColumn("words", tokens(F.col("text")))
     wanted = scratch.save(item_windows(items), "item_windows")
-    need = wanted.groupBy("item_id", "item_tag").agg(F.least(F.countDistinct("q"), F.lit(run)).alias("need"))
+    # The first word may be another one: an item of few windows matches with those that are not over it.
+    rest = F.countDistinct(F.when(F.col("q") > 0, F.col("q")))
+    need = wanted.groupBy("item_id", "item_tag").agg(
+        F.least(F.countDistinct("q"), F.lit(run)).alias("need"), F.least(rest, F.lit(run)).alias("need_rest")
+    )
     rows = keyed(docs)
     found = hashed(rows.withColumn("words", tokens(F.col("text"))), "doc_id", "tag").join(wanted, "h")
     runs = (
         found.groupBy("doc_id", "tag", "item_id", "item_tag", (F.col("at") - F.col("q")).alias("shift"))
-        .agg(F.countDistinct("q").alias("n_windows"), F.min("q").alias("first"), (F.max("q") + WINDOW - 1).alias("last"))
+        .agg(F.countDistinct("q").alias("n_windows"), rest.alias("n_rest"), F.collect_set("q").alias("qs"), F.min("q").alias("first"), (F.max("q") + WINDOW - 1).alias("last"))
         .join(need, ["item_id", "item_tag"])
-        .filter("n_windows >= need")
+        .filter("n_windows >= need or need_rest > 0 and n_rest >= need_rest")
     )
     runs = scratch.save(runs, "runs")
     # Only matched documents and items are read again, with their values.
     doc_words = rows.join(runs.select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi").dropDuplicates(
         ["doc_id", "tag"]
     ).select("doc_id", "tag", slots(F.col("text")).alias("doc_words"))
-    item_slots = items.select(
-        "item_id", F.xxhash64("text").alias("item_tag"), F.posexplode(slots(F.col("text"))).alias("q", "s")
-    ).filter(F.col("s.word").startswith("‹"))
+    known = F.transform(F.filter("item_words", lambda w: w["word"].startswith(NAME)), lambda w: w["value"])
+    item_slots = items.select("item_id", F.xxhash64("text").alias("item_tag"), slots(F.col("text")).alias("item_words")).select(
+        "item_id", "item_tag", known.alias("known"), F.posexplode("item_words").alias("q", "s")
+    ).filter(F.col("s.named").startswith("‹"))
     at = F.col("q") + F.col("shift") + 1
+    covered = F.exists("qs", lambda x: (x <= F.col("q")) & (F.col("q") < x + WINDOW))
     pairs = (
         runs.join(item_slots, ["item_id", "item_tag"])
         .filter("q between first and last")
         .join(doc_words, ["doc_id", "tag"])
         .select(
-            "doc_id", "tag", "item_id", "item_tag", "shift", F.col("s.word").alias("kind"),
+            "doc_id", "tag", "item_id", "item_tag", "shift", "s.word", F.col("s.named").alias("kind"), "known", covered.alias("covered"),
             F.col("s.value").alias("item_value"), F.element_at("doc_words", at.cast("int")).alias("d"),
         )
-        # A slot in a gap between matched windows need not be one in the document.
-        .filter(F.col("d.word") == F.col("kind"))
+        # A slot in a gap between matched windows need not be one in the document. The first word of a sentence is one
+        # if it is another there, or a name elsewhere in the item.
+        .filter(F.col("d.named") == F.col("kind"))
+        .filter(
+            (F.col("word") == F.col("kind")) & (F.col("d.word") == F.col("kind"))
+            | F.col("covered") & ((F.col("item_value") != F.col("d.value")) | F.array_contains("known", F.col("item_value")))
+        )
     )
     key = ["doc_id", "tag", "item_id", "item_tag", "shift"]
     theirs = F.struct("kind", "d.value")

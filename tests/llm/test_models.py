@@ -148,3 +148,16 @@ def leaks(spark, scratch, text, *items):
 @pytest.mark.parametrize("text", [ITEM.upper(), ITEM.lower(), OTHER.upper().replace("ROME", "PARIS")])
 def test_items_in_other_case(spark, scratch, text):
     assert len(leaks(spark, scratch, f"Some words before. {text}", ITEM)) == 1
+
+
+PLANET = "What is the largest planet that orbits around the sun?"
+APPLES = "Tom has 3 red apples and buys 4 more apples at the market"
+
+
+@pytest.mark.parametrize("text,item", [
+    (f"Question: {PLANET}", PLANET), (f"A heading\n{PLANET}", PLANET), (PLANET.replace("What", "Which"), PLANET),
+    (APPLES.replace("Tom", "Ann").replace("3", "5").replace("4", "9"), APPLES),
+    ("So " + APPLES.replace("Tom", "Ann").replace("3", "5"), APPLES),
+])
+def test_first_words(spark, scratch, text, item):
+    assert len(leaks(spark, scratch, text, item)) == 1
