@@ -20,6 +20,7 @@ from fulluse.llm.common import Scratch, keyed, shown_id
 
 WINDOW, PLAIN, RUN = 8, 5, 6
 NUM, UNIT, NAME = "‹num›", "‹unit›", "‹name›"
+SIGNS = r"\-+*/×÷^=<>−–$€£%"
 UNITS = "km|cm|mm|kg|mg|ml|kwh|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|grams?|dollars?|euros?|percent"
 
 
@@ -31,7 +32,11 @@ def marked(text: Column) -> Column:
     out = F.regexp_replace(out, r"(?<=[^.!?\s]\s)\p{Lu}[\p{L}'’-]*", "‹m›$0")
     # The first word of a sentence may be a name.
     out = F.regexp_replace(out, r"(?<![\p{L}\p{N}›'’-])\p{Lu}[\p{L}'’-]*", "‹s›$0")
-    return F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}\s‹›.,]+|(?<!\d)[.,]|[.,](?!\d)", "")
+    # Signs stay beside numbers: what is 3 + 4 is not what is 3 * 4.
+    out = F.regexp_replace(out, rf"(?<=\d)\s+([{SIGNS}])\s+(?=‹d›)", " $1")
+    return F.regexp_replace(
+        F.lower(out), rf"[^\p{{L}}\p{{N}}\s‹›.,{SIGNS}]+|(?<!\d)[.,]|[.,](?!\d)|(?<!‹u›)[{SIGNS}](?!‹d›)", ""
+    )
 
 
 def tokens(text: Column) -> Column:
@@ -42,7 +47,7 @@ def tokens(text: Column) -> Column:
 def reading(word: Column, names: str) -> Column:
     """A marked word with placeholders for numbers and units; ``names`` are the marks of words that are names here."""
     out = F.regexp_replace(word, f"‹[{names}]›[^‹]*", NAME) if names else word
-    out = F.regexp_replace(F.regexp_replace(out, r"‹d›[^‹\p{L}]*", NUM), r"‹u›[^‹]*", UNIT)
+    out = F.regexp_replace(F.regexp_replace(out, rf"[{SIGNS}]*‹d›[^‹\p{{L}}{SIGNS}]*", NUM), r"‹u›[^‹]*", UNIT)
     return F.when(word.contains("‹"), F.regexp_replace(out, "‹[ms]›", "")).otherwise(word)
 
 
@@ -71,44 +76,81 @@ def slots(text: Column) -> Column:
 
 
 #: A window agrees when it does so in one reading.
-READINGS = {"template": template, "named": named, "plainly": plainly}
+READINGS = {"template": template, "named": named, "plainly": plainly, "value": value}
+
+
+def steps(length: int) -> list[tuple[int, int]]:
+    """Powers of two that sum up to the length, with where they begin."""
+    parts = [k for k in (8, 4, 2, 1) if length & k]
+    return [(k, sum(parts[:i])) for i, k in enumerate(parts)]
+
+
+def run_hash(words: Column, length: int = WINDOW) -> Column:
+    """The hash that ``hashed`` gives a run of these words."""
+    def whole(k: int, at: int) -> Column:
+        if k == 1:
+            return F.xxhash64(F.element_at(words, at + 1))
+        return F.xxhash64(whole(k // 2, at), whole(k // 2, at + k // 2))
 
+    first, *rest = (whole(*step) for step in steps(length))
+    for part in rest:
+        first = F.xxhash64(first, part)
+    return first
 
-def run_hash(words: Column) -> Column:
-    """The hash that ``hashed`` gives a window of these words."""
-    level = [F.xxhash64(F.element_at(words, k + 1)) for k in range(WINDOW)]
-    while len(level) > 1:
-        level = [F.xxhash64(a, b) for a, b in zip(level[::2], level[1::2])]
-    return level[0]
 
+def hashed(rows: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+    """keep..., at, h: the windows of rows with words, each with the different hashes of its readings, and runs of other
+    ``lengths`` with their values."""
+    def joined(a: str, b: str, step: int) -> Column:
+        return F.zip_with(a, F.slice(F.col(b), F.lit(step + 1), F.greatest(F.size(b), F.lit(1))), lambda x, y: F.xxhash64(x, y))
 
-def hashed(rows: DataFrame, *keep: str) -> DataFrame:
-    """keep..., at, h: the windows of rows with words, each with the different hashes of its readings."""
-    def twice(name: str, step: int) -> Column:
-        return F.zip_with(name, F.slice(F.col(name), F.lit(step + 1), F.greatest(F.size(name), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+    def own(name: str, length: int) -> Column:
+        return F.slice(name, F.lit(1), F.greatest(F.size("words") - (length - 1), F.lit(0)))
 
-    out = rows.filter(F.size("words") >= WINDOW)
+    out = rows.filter(F.size("words") >= min([WINDOW, *lengths]))
     for name, read in READINGS.items():
         out = out.withColumn(f"{name}1", F.transform("words", lambda w: F.xxhash64(read(w))))
+    kept = ["value1", "value2", "value4"] if lengths else []
     for step in (1, 2, 4):
-        out = out.select(*keep, "words", *(twice(f"{name}{step}", step).alias(f"{name}{2 * step}") for name in READINGS))
-    own = [F.slice(f"{name}{WINDOW}", F.lit(1), F.size("words") - (WINDOW - 1)).alias(name) for name in READINGS]
-    out = out.select(*keep, F.posexplode(F.arrays_zip(*own)).alias("at", "w"))
-    return out.select(*keep, "at", F.explode(F.array_distinct(F.array(*(f"w.{name}" for name in READINGS)))).alias("h"))
+        chain = (joined(f"{name}{step}", f"{name}{step}", step).alias(f"{name}{2 * step}") for name in READINGS)
+        out = out.select(*keep, "words", *(c for c in kept if c in out.columns), *(F.col(f"{n}{step}") for n in READINGS if f"{n}{step}" not in kept), *chain)
+    found = F.transform(
+        F.arrays_zip(*(own(f"{name}{WINDOW}", WINDOW).alias(name) for name in READINGS)),
+        lambda w, i: F.struct(i.alias("at"), F.array_distinct(F.array(*(w[name] for name in READINGS))).alias("hs")),
+    )
+    for length in lengths:
+        (first, _), *rest = steps(length)
+        out = out.withColumn(f"run{length}", F.col(f"value{first}"))
+        for k, at in rest:
+            out = out.withColumn(f"run{length}", joined(f"run{length}", f"value{k}", at))
+        run = F.transform(own(f"run{length}", length), lambda h, i: F.struct(i.alias("at"), F.array(h).alias("hs")))
+        found = F.concat(found, run)
+    return out.select(*keep, F.inline(found)).select(*keep, "at", F.explode("hs").alias("h"))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, item_tag, q, h: the windows of items with enough words outside placeholders."""
-    out = items.filter(F.size("words") >= WINDOW)
-    at = F.explode(F.sequence(F.lit(0), F.size("words") - WINDOW))
-    out = out.select("item_id", F.xxhash64("text").alias("item_tag"), "words", at.alias("q"))
+    """item_id, item_tag, q, span, h, firm, exact: the windows of items, or a shorter item as a whole. In readings with
+    placeholders only those with enough words outside; ``firm``: so in the template; ``exact``: with the values."""
+    rows = items.filter(F.element_at("words", 1) != "").select("item_id", F.xxhash64("text").alias("item_tag"), "words")
+    out = rows.filter(F.size("words") >= WINDOW).withColumn("q", F.explode(F.sequence(F.lit(0), F.size("words") - WINDOW)))
     window = F.slice("words", F.col("q") + 1, WINDOW)
-    found = []
-    for read in READINGS.values():
+    found = {}
+    for name, read in READINGS.items():
         words = F.transform(window, lambda w: read(w))
         plain = F.size(F.filter(words, lambda w: ~w.startswith("‹")))
-        found.append(F.when(plain >= PLAIN, run_hash(words)))
-    return out.select("item_id", "item_tag", "q", F.explode(F.array_compact(F.array_distinct(F.array(*found)))).alias("h"))
+        found[name] = F.when((plain >= PLAIN) | F.lit(name == "value"), run_hash(words))
+    out = out.select(
+        "item_id", "item_tag", "q", F.lit(WINDOW).alias("span"), F.explode(F.array_compact(F.array_distinct(F.array(*found.values())))).alias("h"),
+        found["template"].isNotNull().alias("firm"), found["value"].alias("own"),
+    )
+    words = F.transform("words", lambda w: value(w))
+    whole = F.when(F.size("words") == 1, run_hash(words, 1))
+    for length in range(2, WINDOW):
+        whole = whole.when(F.size("words") == length, run_hash(words, length))
+    short = rows.filter(F.size("words") < WINDOW).select(
+        "item_id", "item_tag", F.lit(0).alias("q"), F.size("words").alias("span"), whole.alias("h"), F.lit(False).alias("firm"), whole.alias("own")
+    )
+    return out.union(short).withColumn("exact", F.col("h") == F.col("own")).drop("own")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, run: int = RUN) -> DataFrame:
@@ -117,18 +159,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, run: int =
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).distinct().withColumn("words", tokens(F.col("text")))
     wanted = scratch.save(item_windows(items), "item_windows")
-    # The first word may be another one: an item of few windows matches with those that are not over it.
-    rest = F.countDistinct(F.when(F.col("q") > 0, F.col("q")))
+    # Windows of the template, or all of them, must agree. The first word may be another one: an item of few windows
+    # matches with those that are not over it.
+    rest = F.when(F.col("q") > 0, F.col("q"))
+    counted = {
+        "all": F.col("q"), "rest": rest, "firm": F.when(F.col("firm"), F.col("q")), "firm_rest": F.when(F.col("firm"), rest),
+    }
     need = wanted.groupBy("item_id", "item_tag").agg(
-        F.least(F.countDistinct("q"), F.lit(run)).alias("need"), F.least(rest, F.lit(run)).alias("need_rest")
+        *(F.least(F.countDistinct(c), F.lit(run)).alias(f"need_{name}") for name, c in counted.items())
     )
+    lengths = sorted(r["span"] for r in wanted.select("span").distinct().collect() if r["span"] < WINDOW)
     rows = keyed(docs)
-    found = hashed(rows.withColumn("words", tokens(F.col("text"))), "doc_id", "tag").join(wanted, "h")
+    found = hashed(rows.withColumn("words", tokens(F.col("text"))), lengths, "doc_id", "tag").join(wanted, "h")
     runs = (
         found.groupBy("doc_id", "tag", "item_id", "item_tag", (F.col("at") - F.col("q")).alias("shift"))
-        .agg(F.countDistinct("q").alias("n_windows"), rest.alias("n_rest"), F.collect_set("q").alias("qs"), F.min("q").alias("first"), (F.max("q") + WINDOW - 1).alias("last"))
+        .agg(
+            *(F.size(F.collect_set(c)).alias(f"n_{name}") for name, c in counted.items()), F.collect_set("q").alias("qs"),
+            F.size(F.collect_set(F.when(F.col("exact"), F.col("q")))).alias("n_exact"),
+            F.min("q").alias("first"), (F.max(F.col("q") + F.col("span")) - 1).alias("last"),
+        )
         .join(need, ["item_id", "item_tag"])
-        .filter("n_windows >= need or need_rest > 0 and n_rest >= need_rest")
+        .filter(" or ".join(f"need_{name} > 0 and n_{name} >= need_{name}" for name in counted))
+        .withColumnRenamed("n_all", "n_windows")
     )
     runs = scratch.save(runs, "runs")
     # Only matched documents and items are read again, with their values.

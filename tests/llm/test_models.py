@@ -161,3 +161,18 @@ APPLES = "Tom has 3 red apples and buys 4 more apples at the market"
 ])
 def test_first_words(spark, scratch, text, item):
     assert len(leaks(spark, scratch, text, item)) == 1
+
+
+SUM = "What is 3 + 4?"
+NUMBERS = "List: 2, 3, 5, 7, 11, 13, 17, 19, 23"
+PEOPLE = "We met Anna, Bob, Carl, Dora, Emil, Fritz and Greta, 9 times"
+
+
+@pytest.mark.parametrize("text,item,hit", [
+    (f"Now say: {SUM} Well.", SUM, True), ("Now say: what is 3 * 4?", SUM, False), ("What is 3 + 5?", SUM, False),
+    (f"Before. {NUMBERS}, and more", NUMBERS, True), (NUMBERS.replace("7", "8"), NUMBERS, False),
+    (f"Before. {PEOPLE}, and more", PEOPLE, True), ("name one red fruit", "Name one red fruit now", False),
+    ("so name one red fruit now and", "Name one red fruit now", True), ("... a", "...", False),
+])
+def test_short_and_dense_items(spark, scratch, text, item, hit):
+    assert len(leaks(spark, scratch, text, item)) == hit
