@@ -176,3 +176,15 @@ PEOPLE = "We met Anna, Bob, Carl, Dora, Emil, Fritz and Greta, 9 times"
 ])
 def test_short_and_dense_items(spark, scratch, text, item, hit):
     assert len(leaks(spark, scratch, text, item)) == hit
+
+
+LONG = f"{ITEM}, while a second driver in Paris waits for the mail and reads about the weather of the coming week in a newspaper"
+
+
+@pytest.mark.parametrize("text,item", [
+    (APPLES.replace("3", "5").replace("4", "5"), APPLES),  # two values become one
+    (LONG.replace("driver in Paris", "driver in Oslo"), LONG),  # one of three mentions edited
+    (LONG.replace("40", "3"), LONG),  # one value becomes another of the item's
+])
+def test_edited_copies(spark, scratch, text, item):
+    assert len(leaks(spark, scratch, text, item)) == 1
