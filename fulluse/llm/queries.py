@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulluse.llm import (
-    bpe, decontaminate, exact_dedup, id_files, jaccard, language, lengths, line_dedup, quality, suffixes,
+    bpe, decontaminate, exact_dedup, id_files, jaccard, language, lengths, line_dedup, negatives, packing, quality,
+    ranked, suffixes,
 )
 from fulluse.llm.common import Scratch, documents
 
@@ -77,11 +78,26 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tag", "shift")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf_dir), Scratch(spark), _tokenizer("word_bpe_49k.json"))
+    return packing.digests(packed)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Scratch(spark))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", label)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, Scratch(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_id_files, op2_byte_bpe, op3_suffix_dedup, op4_jaccard_join, op5_language, op6_line_dedup, op7_lengths,
-        op8_quality, op9_exact_dedup, op10_decontaminate,
+        op8_quality, op9_exact_dedup, op10_decontaminate, op11_packing, op12_ranked_search, op13_hard_negatives,
     )
 }
 
@@ -116,4 +132,56 @@ SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)
     """,
+    "op12_ranked_search": r"""
+        WITH terms AS (
+            SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), sums AS (
+            SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS total FROM terms WHERE len(words) > 0
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+            FROM benchmark
+        ), held AS (
+            SELECT row, doc_id, n, word, count(*) AS tf
+            FROM (SELECT row, doc_id, len(words) AS n, unnest(words) AS word FROM terms)
+            WHERE word IN (SELECT word FROM wanted) GROUP BY row, doc_id, n, word
+        ), weights AS (
+            SELECT word, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT word, count(*) AS df FROM held GROUP BY word), sums
+        ), scored AS (
+            SELECT item_id, row, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // total)))))::BIGINT AS score
+            FROM wanted JOIN held USING (word) JOIN weights USING (word), sums GROUP BY item_id, row, doc_id
+        ), placed AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 50
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   list_inner_product(a.e, b.e)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+    """,
 }
