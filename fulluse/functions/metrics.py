@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTHS_PER_YEAR = 12
+MILLIONTHS = 1_000_000
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -13,6 +14,15 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
+def exact_sum(value: Column) -> Column:
+    """A sum of money in whole millionths, cast back once: the same in every order of rows and partitions.
+
+    A row counts to the nearest millionth and may hold up to nine trillion.
+    """
+    units = F.floor(value * MILLIONTHS + 0.5).cast("decimal(20,0)")
+    return F.sum(units).cast("double") / MILLIONTHS
+
+
 def settled(value: Column) -> Column:
     """A mean or share without the last-digit noise of its summation order.
 
@@ -65,7 +75,7 @@ def at_risk(value: Column, score: Column) -> Column:
 
 def weighted_vrr(score: Column, value: Column) -> Column:
     """Value-weighted mean; unscored rows leave both the numerator and the denominator."""
-    return ratio(F.sum(score * value), F.sum(F.when(score.isNotNull(), value)))
+    return ratio(exact_sum(score * value), exact_sum(F.when(score.isNotNull(), value)))
 
 
 def is_shelfware(consumed: Column, days: Column, deploy_days: int) -> Column:

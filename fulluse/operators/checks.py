@@ -207,8 +207,8 @@ def gap_not_scored(fact: DataFrame, entitlements: DataFrame, p: Params) -> DataF
 
 
 def rollup_reconciles(fact: DataFrame, rollup: DataFrame, name: str) -> DataFrame:
-    base = fact.groupBy("month").agg(F.sum("value_at_risk_usd").alias("base"))
-    rolled = rollup.groupBy("month").agg(F.sum("value_at_risk_usd").alias("rolled"))
+    base = fact.groupBy("month").agg(m.exact_sum(F.col("value_at_risk_usd")).alias("base"))
+    rolled = rollup.groupBy("month").agg(m.exact_sum(F.col("value_at_risk_usd")).alias("rolled"))
     error = F.abs(F.col("base") - F.col("rolled"))
     rule = Rule(F.count_if(error >= CENT), F.max(error), lambda v, o: o < CENT)
     return evaluate(base.join(rolled, "month"), {name: rule})
@@ -216,7 +216,7 @@ def rollup_reconciles(fact: DataFrame, rollup: DataFrame, name: str) -> DataFram
 
 def portfolio_plausible(fact: DataFrame, p: Params) -> DataFrame:
     latest = fact.agg(F.max("month")).scalar()
-    book = m.annualized(F.sum("licensed_value_usd"))
+    book = m.annualized(m.exact_sum(F.col("licensed_value_usd")))
     low, high = p.portfolio_bounds
     fits = F.coalesce((book > low) & (book < high), F.lit(False))
     return evaluate(
@@ -242,7 +242,7 @@ def twelve_month_reconcile(
     """Contracts with exactly twelve months: their monthly values add up to the yearly value."""
     summed = (
         stg_consumption.groupBy("entitlement_id")
-        .agg(F.count("*").alias("months"), F.sum("contract_value_month").alias("summed"))
+        .agg(F.count("*").alias("months"), m.exact_sum(F.col("contract_value_month")).alias("summed"))
         .filter(F.col("months") == 12)
     )
     annual = F.col("units_purchased") * F.col("list_price_per_unit") * F.col("fx_rate_to_usd")

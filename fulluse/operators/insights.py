@@ -107,7 +107,7 @@ def segment_risk(customer_adoption: DataFrame) -> DataFrame:
         customer_adoption.filter(F.col("month") == month)
         .groupBy("segment")
         .agg(
-            m.annualized(F.sum("value_at_risk_usd")).alias("var_usd"),
+            m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("var_usd"),
             F.count("*").alias("customers"),
         )
         .orderBy(F.desc_nulls_last("var_usd"), "segment")
@@ -173,7 +173,7 @@ def quadrant_summary(accounts: DataFrame) -> DataFrame:
         ]
     )
     totals = accounts.groupBy("quadrant").agg(
-        F.count("*").alias("accounts"), F.sum("var_usd").alias("var_usd")
+        F.count("*").alias("accounts"), m.exact_sum(F.col("var_usd")).alias("var_usd")
     )
     return (
         spark.range(1)
@@ -326,7 +326,7 @@ def worklist_display(worklist: DataFrame) -> DataFrame:
 def worklist_headline(worklist: DataFrame) -> DataFrame:
     return worklist.agg(
         F.count("*").alias("accounts"),
-        F.sum("var_usd").alias("var_usd"),
+        m.exact_sum(F.col("var_usd")).alias("var_usd"),
         F.avg("vrr").alias("vrr_mean"),
     )
 
@@ -370,9 +370,9 @@ def platform_risk(product_adoption: DataFrame, month: Column) -> DataFrame:
         product_adoption.filter(F.col("month") == month)
         .groupBy("product_platform")
         .agg(
-            m.annualized(F.sum(value)).alias("book_usd"),
-            m.annualized(F.sum("value_at_risk_usd")).alias("var_usd"),
-            m.ratio(F.sum(F.col("vrr_value_weighted") * value), F.sum(value)).alias("vrr"),
+            m.annualized(m.exact_sum(value)).alias("book_usd"),
+            m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("var_usd"),
+            m.ratio(m.exact_sum(F.col("vrr_value_weighted") * value), m.exact_sum(value)).alias("vrr"),
         )
         .orderBy(F.desc_nulls_last("var_usd"), "product_platform")
     )

@@ -21,7 +21,7 @@ def consumption_rate(stg_consumption: DataFrame) -> DataFrame:
         F.sum("licensed_amount_month").alias("licensed_amount_month"),
         F.bool_or("is_unlimited").alias("is_unlimited"),
         F.max("price_per_unit_usd").alias("price_per_unit_usd"),
-        F.sum("contract_value_month").alias("contract_value_month"),
+        m.exact_sum(F.col("contract_value_month")).alias("contract_value_month"),
         F.bool_and("was_zero_filled").alias("all_months_zero_filled"),
     )
     basis = (F.col("consumed_units"), F.col("licensed_amount_month"), F.col("is_unlimited"))
@@ -31,7 +31,8 @@ def consumption_rate(stg_consumption: DataFrame) -> DataFrame:
 
 
 def feature_coverage(
-    spine: DataFrame,
+    contracts: DataFrame,
+    window: staging.MonthWindow,
     hits: DataFrame,
     features: DataFrame,
 ) -> DataFrame:
@@ -44,11 +45,17 @@ def feature_coverage(
     never built. A repeated record adds its feature's weight once more to both
     sides, as it does when the grid is joined row by row.
     """
-    contracts = spine.groupBy(*KEY).agg(F.count("*").alias("_contracts"))
     catalogue = features.groupBy("product_id").agg(
         F.sum("feature_value_weight").alias("_sku_weight"),
         F.count("*").alias("_sku_features"),
     )
+    # The catalogue meets contracts, so that the fact keeps the key it is grouped by.
+    terms = contracts.select(*PAIR, "start_date", "end_date").join(catalogue, "product_id")
+    seats = staging.spread_months(terms, window).groupBy(*KEY).agg(
+        F.count("*").alias("_contracts"),
+        F.max("_sku_weight").alias("_sku_weight"),
+        F.max("_sku_features").alias("_sku_features"),
+    )
     weights = features.select("product_id", "feature_id", "feature_value_weight")
     weight = F.col("feature_value_weight")
     extra = F.col("records") - 1
@@ -66,7 +73,7 @@ def feature_coverage(
     active_weight = F.coalesce("_active_weight", zero)
     entitled_weight = F.col("_contracts") * F.col("_sku_weight") + F.coalesce("_extra_weight", zero)
     entitled = F.col("_contracts") * F.col("_sku_features") + F.coalesce("_extra", zero)
-    return contracts.join(touched, KEY, "left").join(catalogue, "product_id").select(
+    return seats.join(touched, KEY, "left").select(
         *KEY,
         active_weight.alias("active_weight"),
         entitled_weight.alias("entitled_weight"),

@@ -15,6 +15,31 @@ CUSTOMER_DIMS = ("cust_name", "segment", "region", "industry", "account_owner")
 MONEY = ("licensed_value_usd", "realized_value_usd", "value_at_risk_usd")
 
 
+#: What the base fact is made of, and what two of them are called in it.
+FACTORS = (
+    *KEY,
+    "consumed_units",
+    "licensed_amount_month",
+    "is_unlimited",
+    "consumption_rate",
+    "overage_ratio",
+    "feature_coverage",
+    "active_features",
+    "entitled_features",
+    "active_weight",
+    "entitled_weight",
+    "ttfv_days",
+    "days_since_start",
+    "contract_value_month",
+)
+STORED_AS = {"is_unlimited": "flag_unlimited", "contract_value_month": "licensed_value_usd"}
+
+
+def factors(rates: DataFrame, coverage: DataFrame, deployments: DataFrame) -> DataFrame:
+    """The three factor tables share one grouping key, so they join where they are."""
+    return rates.join(coverage, KEY, "left").join(deployments, KEY, "left")
+
+
 def customer_sku_month(
     rates: DataFrame,
     coverage: DataFrame,
@@ -24,13 +49,15 @@ def customer_sku_month(
     latest: Column,
     params: Params,
 ) -> DataFrame:
-    """The base fact: factors, flags, score and its dollar split per customer x SKU x month.
+    """The base fact: factors, flags, score and its dollar split per customer x SKU x month."""
+    return scored(factors(rates, coverage, deployments), customers, products, latest, params)
 
-    The three factor tables share one grouping key, so they join where they
-    are; the flags then take one window pass over the joined rows.
-    """
-    factors = rates.join(coverage, KEY, "left").join(deployments, KEY, "left")
-    flagged = add_flags(factors, latest, params)
+
+def scored(
+    factor_rows: DataFrame, customers: DataFrame, products: DataFrame, latest: Column, params: Params
+) -> DataFrame:
+    """Flags, in one window pass over all months of a pair, score and dollar split of rows with all factors."""
+    flagged = add_flags(factor_rows, latest, params)
     who = customers.select("cust_id", *CUSTOMER_DIMS, "behaviour_cohort")
     what = products.select("product_id", *PRODUCT_DIMS).distinct()
     named = flagged.join(who, "cust_id").join(what, "product_id")
@@ -68,7 +95,7 @@ def customer_sku_month(
 
 
 def money_sums() -> list[Column]:
-    return [F.sum(c).alias(c) for c in MONEY]
+    return [m.exact_sum(F.col(c)).alias(c) for c in MONEY]
 
 
 def score_means() -> list[Column]:
@@ -158,8 +185,8 @@ def owner_quarters(fact: DataFrame) -> DataFrame:
         .withColumn("quarter", d.quarter_start(F.col("month")))
         .groupBy("account_owner", "quarter")
         .agg(
-            m.annualized(F.sum("value_at_risk_usd")).alias("annualized_var_usd"),
-            m.annualized(F.sum("licensed_value_usd")).alias("annualized_book_usd"),
+            m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("annualized_var_usd"),
+            m.annualized(m.exact_sum(F.col("licensed_value_usd"))).alias("annualized_book_usd"),
             F.count_distinct("cust_id").alias("accounts"),
             F.bool_and(~F.col("is_incomplete")).alias("quarter_is_complete"),
         )
@@ -195,7 +222,7 @@ def exec_summary(fact: DataFrame) -> DataFrame:
         F.count_distinct("cust_id").alias("customers"),
         F.count_distinct("product_id").alias("skus"),
         *money_sums(),
-        m.annualized(F.sum("value_at_risk_usd")).alias("annualized_var_usd"),
+        m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("annualized_var_usd"),
         *score_means(),
         *flag_counts(
             n_shelfware="flag_shelfware",

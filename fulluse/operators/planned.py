@@ -85,8 +85,8 @@ def rollup_by(fact: DataFrame, *dims: str) -> DataFrame:
     levels = [["month", *dims[:depth]] for depth in range(len(dims) + 1)]
     return fact.groupingSets(levels, "month", *dims).agg(
         F.grouping_id().cast("long").alias("level"),
-        m.annualized(F.sum("licensed_value_usd")).alias("book_usd"),
-        m.annualized(F.sum("value_at_risk_usd")).alias("var_usd"),
+        m.annualized(m.exact_sum(F.col("licensed_value_usd"))).alias("book_usd"),
+        m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("var_usd"),
         m.weighted_vrr(F.col("vrr"), F.col("licensed_value_usd")).alias("vrr_value_weighted"),
         F.avg("vrr").alias("vrr_unweighted"),
     )

@@ -54,7 +54,7 @@ class Models:
 
     Without ``keep`` every model is one lazy plan over the raw tables. With it,
     the shared ones are written and read back. ``folder`` holds the audit
-    history of such a run.
+    history of such a run. A known ``window`` saves reading it from the usage.
     """
 
     def __init__(
@@ -63,13 +63,14 @@ class Models:
         params: Params = Params(),
         keep: Keep | None = None,
         folder: str | None = None,
+        window: staging.MonthWindow | None = None,
     ) -> None:
         self.raw = raw
         self.folder = folder
         self.params = params
         self._keep = keep
         self._built: dict[str, DataFrame] = {}
-        self._window: staging.MonthWindow | None = None
+        self._window = window
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in raw_tables():
@@ -128,7 +129,8 @@ class Models:
 
     def _int_feature_coverage(self) -> DataFrame:
         return intermediate.feature_coverage(
-            self["stg_entitlement_month"],
+            self["stg_entitlements"],
+            self.window(),
             self.feature_hits(),
             self["features"],
         )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import UTC, datetime
 
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from fulluse.functions import metrics as m
 from fulluse.operators import audit, checks, insights, planned
 from fulluse.operators.intermediate import KEY
-from fulluse.plans import storage
+from fulluse.operators.staging import MonthWindow
+from fulluse.plans import increment, storage
 from fulluse.plans.params import Params
 from fulluse.plans.pipeline import MODELS, Models, session_models
 from fulluse.sources import tables
@@ -131,6 +132,35 @@ def publish(t: Models, runs: Sequence[datetime] = RUNS) -> DataFrame:
     return storage.read_written(rows.sparkSession, path, first)
 
 
+def earlier_book(raw: Mapping[str, DataFrame], window: MonthWindow) -> dict[str, DataFrame]:
+    """The raw tables as they may have been before: the last two months of usage and some contracts are not in yet,
+    some usage is other, some is there that went since, some contracts have other terms."""
+    first, last = window
+    month, part = F.col("month"), increment.bucket("entitlement_id")
+    out = {name: raw[name] for name in raw_tables()}
+    usage = raw["consumption_monthly"].filter(month < F.add_months(last, -1))
+    other = (month == F.add_months(first, 6)) & (part % 16 == 3)
+    usage = usage.withColumn("consumed_units", F.when(other, F.col("consumed_units") + 1).otherwise(F.col("consumed_units")))
+    since_gone = usage.filter((month == F.add_months(first, 9)) & (part % 16 == 5))
+    out["consumption_monthly"] = usage.unionByName(since_gone.withColumn("consumed_units", F.col("consumed_units") * 3))
+    activity = raw["feature_adoption_monthly"].filter(month < F.add_months(last, -1))
+    out["feature_adoption_monthly"] = activity.filter((month != F.add_months(first, 12)) | (part % 16 != 4))
+    terms = raw["entitlements"].filter(part != 7)
+    out["entitlements"] = terms.withColumn("is_unlimited", F.col("is_unlimited") | (part == 9))
+    return out
+
+
+def month_refresh(t: Models) -> DataFrame:
+    """The base fact of an earlier book, brought to the book of today by what differs."""
+    spark = t[FACT].sparkSession
+    work = storage.WorkFolder(spark, "increment")
+    raw = tables.land(t.raw, f"{work.path}/raw")
+    store = increment.Store(spark, f"{work.path}/store", t.params)
+    store.build(earlier_book(raw, t.window()))
+    store.refresh(raw)
+    return store.read(FACT, t[FACT])
+
+
 def published(log: DataFrame) -> DataFrame:
     """Run times as seconds, which read alike in every time zone."""
     return log.select("run_id", F.unix_seconds("run_ts").alias("run_epoch"), *log.columns[2:])
@@ -230,6 +260,7 @@ PLANNED: dict[str, Query] = {
     "feature_value_share": lambda t: planned.feature_value_share(
         t[FACT], t["features"]
     ),
+    "incremental_month_refresh": month_refresh,
     "coverage_unweighted": lambda t: planned.coverage_unweighted(t["int_feature_coverage"]),
 }
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def read_written(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(path)
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
 class WorkFolder:
@@ -89,21 +90,33 @@ def replace_changed_months(df: DataFrame, path: str) -> None:
     one row per month that changed.
     """
     spark = df.sparkSession
-    stored = month_digests(read_written(spark, path, df), "stored")
-    differing = (
-        month_digests(df, "wanted")
-        .join(stored, "month", "full")
+    differing = _differing(df, read_written(spark, path, df))
+    written = [month for month, gone in differing if not gone]
+    if written:
+        refresh_months(df.filter(F.col("month").isin(written)), path)
+    drop_months(spark, path, [month for month, gone in differing if gone])
+
+
+def _differing(wanted: DataFrame, stored: DataFrame) -> list[tuple[date, bool]]:
+    rows = (
+        month_digests(wanted, "wanted")
+        .join(month_digests(stored.select(*wanted.columns), "stored"), "month", "full")
         .filter(~F.col("wanted").eqNullSafe(F.col("stored")))
         .select("month", F.col("wanted").isNull().alias("gone"))
-        .collect()
     )
-    written = [row["month"] for row in differing if not row["gone"]]
-    if written:
-        refresh_months(df.filter(F.col("month").isin(written)), path)
-    for row in differing:
-        if row["gone"]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month={row['month']}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return [tuple(row) for row in rows.collect()]
+
+
+def differing_months(wanted: DataFrame, stored: DataFrame) -> list[date]:
+    """Months in which the two tables do not hold the same rows."""
+    return sorted(month for month, _ in _differing(wanted, stored))
+
+
+def drop_months(spark: SparkSession, path: str, months: Iterable[date]) -> None:
+    """Remove month folders."""
+    for month in months:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def append_table(df: DataFrame, path: str) -> None:

@@ -34,9 +34,13 @@ def read_all(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, Da
 
 
 def land(source: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Replace every landed table; the two monthly facts are clustered by customer and SKU."""
+    """Replace every landed table; the two monthly facts are in month folders, sorted by customer and SKU."""
     return {
-        table: storage.replace_table(df, f"{folder}/{table}", CLUSTERED.get(table, ()))
+        table: storage.replace_table(
+            df, f"{folder}/{table}", storage.BY_MONTH, CLUSTERED[table], month_folders=True
+        )
+        if table in CLUSTERED
+        else storage.replace_table(df, f"{folder}/{table}")
         for table, df in source.items()
     }
 

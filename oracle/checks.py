@@ -48,8 +48,8 @@ def rollup(name: str, mart: str) -> str:
         tally("gap >= 0.01"),
         "max(gap)",
         f"""(select abs(x.v - y.v) as gap
- from (select month, fsum(value_at_risk_usd) as v from {FACT} group by month) as x
- inner join (select month, fsum(value_at_risk_usd) as v from {mart} group by month) as y
+ from (select month, money_sum(value_at_risk_usd) as v from {FACT} group by month) as x
+ inner join (select month, money_sum(value_at_risk_usd) as v from {mart} group by month) as y
  using (month))""",
         "observed < 0.01",
     )
@@ -204,7 +204,7 @@ CHECKS = {
         "dq_twelve_month_reconcile", tally("miss >= 0.001"), "max(miss)",
         """(select abs(total - e.units_purchased * p.list_price_per_unit * e.fx_rate_to_usd)
    / (e.units_purchased * p.list_price_per_unit * e.fx_rate_to_usd) as miss
- from (select entitlement_id, sum(contract_value_month) as total from stg_consumption
+ from (select entitlement_id, money_sum(contract_value_month) as total from stg_consumption
        group by entitlement_id having count(*) = 12)
  inner join entitlements as e using (entitlement_id) inner join products as p using (product_id))""",
         "ifnull(observed < 0.001, true)",
@@ -213,8 +213,8 @@ CHECKS = {
     "dq_product_rollup": rollup("dq_product_rollup", "mart_product_adoption"),
     "dq_portfolio_plausible": row(
         "dq_portfolio_plausible",
-        "(not (12 * fsum(licensed_value_usd) > 1e5 and 12 * fsum(licensed_value_usd) < 1e12))::int",
-        "12 * fsum(licensed_value_usd)",
+        "(not (12 * money_sum(licensed_value_usd) > 1e5 and 12 * money_sum(licensed_value_usd) < 1e12))::int",
+        "12 * money_sum(licensed_value_usd)",
         f"{FACT} where month = (select max(month) from {FACT})",
     ),
     "dq_overlaps_exist": wanted("dq_overlaps_exist", "count(*)", OVERLAP, 2),

@@ -5,9 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from oracle.rounding import digits
+from oracle.rounding import rounded_sql
 
 WORD = re.compile(r"[a-z_][a-z0-9_]*")
+MONEY_SUM = re.compile(r"money_sum\(([^()]*)\)(\s+filter \(where [^()]*\))?")
+
+
+def written_out(sql: str) -> str:
+    """``money_sum(x)``, with its filter, as a sum of whole millionths."""
+    return MONEY_SUM.sub(r"(sum(floor((\1) * 1e6 + 0.5)::bigint)\2::double / 1e6)", sql)
 
 
 class Chain:
@@ -36,7 +42,7 @@ class Chain:
     def statement(self, sql: str, doubles: Iterable[str] = ()) -> str:
         sql = sql.strip()
         ctes = ",\n".join(f"{n} as (\n{self.parts[n]}\n)" for n in self._needed(sql))
-        rounded = ", ".join(f"round({c}, {digits(c)}) as {c}" for c in doubles)
+        rounded = ", ".join(f"{rounded_sql(c)} as {c}" for c in doubles)
         star = f"* replace ({rounded})" if rounded else "*"
         head = f"with {ctes}\n" if ctes else ""
-        return f"{head}select {star} from (\n{sql}\n) as result"
+        return written_out(f"{head}select {star} from (\n{sql}\n) as result")

@@ -1,5 +1,7 @@
 """Analytical and planned queries in SQL."""
 
+from oracle.models import DOUBLES
+
 FACT = "mart_customer_sku_month"
 NOW = f"(select max(month) from {FACT} where not is_incomplete)"
 EXEC = "mart_exec_summary"
@@ -105,14 +107,14 @@ from finished""",
         ["gap"],
     ),
     "segment_risk": (
-        f"""select segment, 12 * fsum(value_at_risk_usd) as var_usd,
+        f"""select segment, 12 * money_sum(value_at_risk_usd) as var_usd,
  count(distinct cust_id) as customers from {FACT} where month = {NOW} group by segment""",
         ["var_usd"],
     ),
     "quadrant_accounts": ("select * from placed", WORK),
     "quadrant_summary": (
         "select box.quadrant, label, count(cust_name) as accounts, "
-        "ifnull(fsum(var_usd), 0) as var_usd, play, owner from (values "
+        "ifnull(money_sum(var_usd), 0) as var_usd, play, owner from (values "
         + ", ".join(f"('{k}', '{a}', '{b}', '{c}')" for k, a, b, c in BOXES)
         + ") as box(quadrant, label, play, owner) left join placed "
         "on placed.quadrant = box.quadrant group by box.quadrant, label, play, owner",
@@ -151,7 +153,7 @@ where product_name = 'PROMO SKU' group by all""",
         ["score_pct", "capacity_pct", "features_pct"],
     ),
     "worklist_headline": (
-        "select count(*) as accounts, fsum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
+        "select count(*) as accounts, money_sum(var_usd) as var_usd, avg(vrr) as vrr_mean from worklist",
         ["var_usd", "vrr_mean"],
     ),
     "unused_features": (
@@ -165,9 +167,9 @@ where product_name = 'PROMO SKU' group by all""",
         [],
     ),
     "platform_risk": (
-        f"""select product_platform, 12 * fsum(licensed_value_usd) as book_usd,
- 12 * fsum(value_at_risk_usd) as var_usd,
- sum(vrr_value_weighted * licensed_value_usd) / nullif(fsum(licensed_value_usd), 0) as vrr
+        f"""select product_platform, 12 * money_sum(licensed_value_usd) as book_usd,
+ 12 * money_sum(value_at_risk_usd) as var_usd,
+ money_sum(vrr_value_weighted * licensed_value_usd) / nullif(money_sum(licensed_value_usd), 0) as vrr
 from {BY_PRODUCT} where month = {NOW} group by product_platform""",
         ["book_usd", "var_usd", "vrr"],
     ),
@@ -238,9 +240,9 @@ group by band""",
     ),
     "rollup_region_segment": (
         f"""select month, region, segment, grouping(month, region, segment)::bigint as level,
- 12 * fsum(licensed_value_usd) as book_usd, 12 * fsum(value_at_risk_usd) as var_usd,
- fsum(realized_value_usd) filter (where vrr is not null)
-   / nullif(fsum(licensed_value_usd) filter (where vrr is not null), 0) as vrr_value_weighted,
+ 12 * money_sum(licensed_value_usd) as book_usd, 12 * money_sum(value_at_risk_usd) as var_usd,
+ money_sum(realized_value_usd) filter (where vrr is not null)
+   / nullif(money_sum(licensed_value_usd) filter (where vrr is not null), 0) as vrr_value_weighted,
  avg(vrr) as vrr_unweighted
 from {FACT} group by grouping sets ((month), (month, region), (month, region, segment))""",
         ["book_usd", "var_usd", "vrr_value_weighted", "vrr_unweighted"],
@@ -295,6 +297,7 @@ from {FACT} as m inner join (select product_id, feature_id, feature_value_weight
 using (product_id)""",
         ["weight_share", "feature_value_usd"],
     ),
+    "incremental_month_refresh": (f"select * from {FACT}", DOUBLES[FACT]),
     "coverage_unweighted": (
         """select cust_id, product_id, month, avg(is_active::int) as coverage_unweighted
 from stg_feature_activity group by all""",

@@ -1,35 +1,17 @@
-"""Decimals at which doubles are compared; both engines use this table.
+"""Decimals at which doubles are compared, and the rounding, which both engines carry out in the same steps.
 
-Sums of doubles differ in their last digits by the order of addition. The
-decimals keep that noise away from rounding ties: monthly dollars here are
-multiples of 1/1680000, which never end in a tie at seven decimals, and yearly
-dollars are multiples of 1/140000, which never do at six.
+Money is summed in whole millionths on both sides, so its sums agree to the last bit and six decimals lose nothing.
+Other doubles are compared at nine.
 """
 
 from __future__ import annotations
 
-YEARLY = {
-    "annualized_book_usd",
-    "annualized_var_usd",
-    "book_usd",
-    "closing_var_usd",
-    "opening_var_usd",
-    "quota_usd",
-    "sustained_recovered_usd",
-    "value_recovered_usd",
-    "var_usd",
-}
 
-MONTHLY = {
-    "contract_value_month",
-    "feature_value_usd",
-    "licensed_value_usd",
-    "realized_value_usd",
-    "value_at_risk_usd",
-}
+def digits(column: str) -> int:
+    money = "usd" in column or column in ("contract_value_month", "observed")
+    return 6 if money else 9
 
 
-def digits(column: str) -> int:
-    if column in YEARLY or column == "observed":
-        return 6
-    return 7 if column in MONTHLY else 9
+def rounded_sql(column: str) -> str:
+    n = digits(column)
+    return f"floor({column} * 1e{n} + 0.5) / 1e{n}"
