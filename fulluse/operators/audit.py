@@ -54,6 +54,34 @@ def entry(
     )
 
 
+#: What is counted of a model, besides its rows.
+MEASURES: dict[str, Callable[[], dict[str, Column]]] = {
+    "stg_consumption": lambda: {"filled": F.count_if("was_zero_filled")},
+    "int_flags": lambda: {
+        "late": F.count_if("is_incomplete"),
+        "last": F.max(F.when(F.col("is_incomplete"), F.col("month"))),
+        **{flag: F.count_if(flag) for flag in RAISED},
+    },
+}
+
+#: Counts of models by name, as taken while they were written.
+Taken = Mapping[str, Mapping[str, object]]
+
+
+def measures(name: str) -> list[Column]:
+    """The counts of one model, for one aggregate over it or to be observed while it is written."""
+    more = MEASURES.get(name, dict)()
+    return [F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in more.items()]]
+
+
+def counted(models: Models, name: str, taken: Taken | None = None) -> DataFrame:
+    """One row with the counts of a model: those taken at its write, else counted now."""
+    if taken is None or name not in taken:
+        return models[name].agg(*measures(name))
+    one = models[name].sparkSession.range(1)
+    return one.select(*[F.lit(value).alias(k) for k, value in taken[name].items()])
+
+
 def entries(counts: DataFrame, *rows: Column) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
@@ -104,10 +132,7 @@ def contracts(entitlements: DataFrame) -> DataFrame:
     )
 
 
-def zero_fill(stg_consumption: DataFrame) -> DataFrame:
-    counts = stg_consumption.agg(
-        F.count("*").alias("n"), F.count_if("was_zero_filled").alias("filled")
-    )
+def zero_fill(counts: DataFrame) -> DataFrame:
     note = F.format_string("%d contract-months without usage set to zero", "filled")
     return entries(
         counts,
@@ -162,15 +187,10 @@ RAISED = {
 }
 
 
-def flags(int_flags: DataFrame) -> DataFrame:
-    """The incomplete month and the four flag counts from one pass."""
-    late = F.col("is_incomplete")
-    counts = int_flags.agg(
-        F.count_if(late).alias("late"),
-        d.month_label(F.max(F.when(late, F.col("month")))).alias("label"),
-        *[F.count_if(flag).alias(flag) for flag in RAISED],
-    )
-    note = F.concat(F.coalesce("label", F.lit("no month")), F.lit(" still loading"))
+def flags(counts: DataFrame) -> DataFrame:
+    """The incomplete month and the four flag counts."""
+    label = d.month_label(F.col("last").cast("date"))
+    note = F.concat(F.coalesce(label, F.lit("no month")), F.lit(" still loading"))
     return entries(
         counts,
         entry("int", "int_flags", MARK_INCOMPLETE, note, removed=F.col("late")),
@@ -188,30 +208,33 @@ def flags(int_flags: DataFrame) -> DataFrame:
 
 
 # One entry per source table; each yields the audit rows that this table answers.
-CLEANING: dict[str, Callable[[Models], DataFrame]] = {
-    "dedupe": lambda t: dedupe(t["consumption_monthly"]),
-    "internal": lambda t: internal_customers(t["customers"]),
-    "contracts": lambda t: contracts(t["entitlements"]),
-    "zero_fill": lambda t: zero_fill(t["stg_consumption"]),
-    "unentitled": lambda t: unentitled(t["feature_adoption_monthly"], t["features"]),
-    "gap_months": lambda t: gap_months(t["stg_entitlement_month"]),
-    "flags": lambda t: flags(t["int_flags"]),
+CLEANING: dict[str, Callable[[Models, Taken | None], DataFrame]] = {
+    "dedupe": lambda t, _: dedupe(t["consumption_monthly"]),
+    "internal": lambda t, _: internal_customers(t["customers"]),
+    "contracts": lambda t, _: contracts(t["entitlements"]),
+    "zero_fill": lambda t, taken: zero_fill(counted(t, "stg_consumption", taken)),
+    "unentitled": lambda t, _: unentitled(t["feature_adoption_monthly"], t["features"]),
+    "gap_months": lambda t, _: gap_months(t["stg_entitlement_month"]),
+    "flags": lambda t, taken: flags(counted(t, "int_flags", taken)),
 }
 
 
-def cleaning(models: Models) -> DataFrame:
-    return union_all([part(models) for part in CLEANING.values()])
+def cleaning(models: Models, taken: Taken | None = None) -> DataFrame:
+    return union_all([part(models, taken) for part in CLEANING.values()])
 
 
 def models_built(
-    models: Models, names: Sequence[str], seconds: Mapping[str, float] | None = None
+    models: Models,
+    names: Sequence[str],
+    seconds: Mapping[str, float] | None = None,
+    taken: Taken | None = None,
 ) -> DataFrame:
     """Rows per model; the note holds the seconds a run took, when known."""
     parts = []
     for name in names:
         spent = (seconds or {}).get(name)
         note = F.lit(None if spent is None else f"{spent:.1f}s").cast("string")
-        counts = models[name].agg(F.count("*").alias("n"))
+        counts = counted(models, name, taken)
         parts.append(
             entries(counts, entry(name.split("_")[0], name, BUILT, note, rows_out=F.col("n")))
         )
@@ -219,9 +242,13 @@ def models_built(
 
 
 def full(
-    models: Models, names: Sequence[str], seconds: Mapping[str, float] | None = None
+    models: Models,
+    names: Sequence[str],
+    seconds: Mapping[str, float] | None = None,
+    taken: Taken | None = None,
 ) -> DataFrame:
-    return models_built(models, names, seconds).unionByName(cleaning(models))
+    """Every entry; counts that were ``taken`` while models were written are not counted again."""
+    return models_built(models, names, seconds, taken).unionByName(cleaning(models, taken))
 
 
 def run_id(run_ts: datetime) -> str:
@@ -254,10 +281,24 @@ def built_view(log: DataFrame) -> DataFrame:
     )
 
 
+#: The column that a history is partitioned by.
+RUN = "run"
+
+
+def run_label(run: str | Column) -> Column:
+    """Not a number, so that it reads back as text from the folder's name."""
+    return F.concat(F.lit("run-"), F.lit(run) if isinstance(run, str) else run)
+
+
 def latest_run(history: DataFrame) -> DataFrame:
-    """Rows of the newest run in an audit history."""
-    newest = history.agg(F.max("run_id")).scalar()
-    return history.filter(F.col("run_id") == newest)
+    """Rows of the newest run in an audit history; only its folder is read."""
+    newest = history.agg(F.max(RUN)).scalar()
+    return history.filter(F.col(RUN) == newest).drop(RUN)
+
+
+def of_run(history: DataFrame, run: str) -> DataFrame:
+    """Rows of a chosen run, by its id."""
+    return history.filter(F.col(RUN) == run_label(run)).drop(RUN)
 
 
 def run_history(history: DataFrame, runs: int = 20) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fulluse.operators import audit, intermediate, marts, staging
 from fulluse.plans import storage
 from fulluse.plans.params import Params
 from fulluse.sources.adapter import AdaptedTables
-from fulluse.sources.schemas import raw_tables
+from fulluse.sources.schemas import AUDIT_COLUMNS, raw_tables
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
@@ -86,6 +86,13 @@ class Models:
         """Let later models read ``df`` as the named model."""
         self._built[name] = df
 
+    def kept(self, name: str, made: Callable[[], DataFrame]) -> DataFrame:
+        """A table beside the models, made on first use and written where these models write."""
+        if name not in self._built:
+            df = made()
+            self._built[name] = self._keep(name, df) if self._keep is not None else df
+        return self._built[name]
+
     def window(self) -> staging.MonthWindow:
         if self._window is None:
             self._window = staging.data_window(self["consumption_monthly"])
@@ -204,13 +211,15 @@ class Run:
     audit: DataFrame
 
 
-def write_model(df: DataFrame, name: str, folder: str) -> DataFrame:
+def write_model(
+    df: DataFrame, name: str, folder: str, watched: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     path = f"{folder}/{name}"
     if name in MONTH_ORDERED:
         return storage.replace_table(
-            df, path, storage.BY_MONTH, storage.IN_MONTH, month_folders=True
+            df, path, storage.BY_MONTH, storage.IN_MONTH, month_folders=True, watched=watched
         )
-    return storage.replace_table(df, path)
+    return storage.replace_table(df, path, watched=watched)
 
 
 def run(
@@ -219,17 +228,34 @@ def run(
     run_ts: datetime,
     params: Params = Params(),
 ) -> Run:
-    """Rebuild every model under ``folder`` and append the run to its audit history."""
+    """Rebuild every model under ``folder`` and publish the run in its audit history.
+
+    Rows and flags are counted while the models are written.
+    """
     models = Models(raw, params)
     seconds: dict[str, float] = {}
+    taken: dict[str, dict[str, object]] = {}
     for name in MODELS:
         started = time.monotonic()
-        models.put(name, write_model(models[name], name, folder))
+        seen = Observation(name)
+        watched = lambda df, seen=seen, name=name: df.observe(seen, *audit.measures(name))
+        models.put(name, write_model(models[name], name, folder, watched))
         seconds[name] = time.monotonic() - started
-    rows = audit.full(models, MODELS, seconds)
+        taken[name] = seen.get
+    rows = audit.full(models, MODELS, seconds, taken)
     stamped = audit.stamp(rows, run_ts)
-    storage.append_table(stamped, f"{folder}/pipeline_audit")
-    return Run(models, stamped)
+    path = f"{folder}/pipeline_audit"
+    publish_audit(stamped, path)
+    return Run(models, audit.of_run(read_history(stamped.sparkSession, path), audit.run_id(run_ts)))
+
+
+def publish_audit(stamped: DataFrame, path: str) -> None:
+    """Put stamped audit rows into the history at ``path``, in the place of the same run."""
+    storage.publish(stamped.withColumn(audit.RUN, audit.run_label(F.col("run_id"))), path, audit.RUN)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{AUDIT_COLUMNS}, {audit.RUN} string").parquet(path)
 
 
 _SESSIONS: dict[tuple[str, str, str], Models] = {}

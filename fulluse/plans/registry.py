@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import UTC, datetime
@@ -16,7 +15,7 @@ from fulluse.operators.intermediate import KEY
 from fulluse.operators.staging import MonthWindow
 from fulluse.plans import increment, storage
 from fulluse.plans.params import Params
-from fulluse.plans.pipeline import MODELS, Models, session_models
+from fulluse.plans.pipeline import MODELS, Models, publish_audit, read_history, session_models
 from fulluse.sources import tables
 from fulluse.sources.schemas import raw_tables
 
@@ -81,31 +80,33 @@ METRICS: dict[str, Query] = {
 }
 
 
-def built_rows(t: Models) -> DataFrame:
-    return audit.models_built(t, MODELS).select("layer", "model", "action", "rows_out")
+def audit_rows(t: Models) -> DataFrame:
+    """The whole audit of these models, counted once and kept beside them."""
+    return t.kept("audit_rows", lambda: audit.full(t, MODELS))
+
 
+def built_rows(t: Models) -> DataFrame:
+    rows = audit_rows(t).filter(F.col("action") == audit.BUILT)
+    return rows.select("layer", "model", "action", "rows_out")
 
-def audit_part(part: str, *actions: str) -> Query:
-    def rows(t: Models) -> DataFrame:
-        df = audit.CLEANING[part](t)
-        return df.filter(F.col("action").isin(*actions)) if actions else df
 
-    return rows
+def audit_part(*actions: str) -> Query:
+    return lambda t: audit_rows(t).filter(F.col("action").isin(*actions))
 
 
 AUDIT: dict[str, Query] = {
     "audit_model_built": built_rows,
-    "audit_dedupe": audit_part("dedupe"),
-    "audit_internal": audit_part("internal"),
-    "audit_currency": audit_part("contracts", audit.CONVERT_CURRENCY),
-    "audit_unlimited": audit_part("contracts", audit.FLAG_UNLIMITED),
-    "audit_zero_fill": audit_part("zero_fill"),
-    "audit_unentitled": audit_part("unentitled"),
-    "audit_gap_months": audit_part("gap_months"),
-    "audit_incomplete": audit_part("flags", audit.MARK_INCOMPLETE),
-    "audit_flags": audit_part("flags", audit.FLAG_RAISED),
-    "audit_cleaning_view": lambda t: audit.cleaning_view(audit.cleaning(t)),
-    "audit_built_view": lambda t: audit.built_view(audit.models_built(t, MODELS)).drop("runtime"),
+    "audit_dedupe": audit_part(audit.DEDUPE),
+    "audit_internal": audit_part(audit.EXCLUDE_INTERNAL),
+    "audit_currency": audit_part(audit.CONVERT_CURRENCY),
+    "audit_unlimited": audit_part(audit.FLAG_UNLIMITED),
+    "audit_zero_fill": audit_part(audit.ZERO_FILL),
+    "audit_unentitled": audit_part(audit.DROP_UNENTITLED),
+    "audit_gap_months": audit_part(audit.EXCLUDE_GAPS),
+    "audit_incomplete": audit_part(audit.MARK_INCOMPLETE),
+    "audit_flags": audit_part(audit.FLAG_RAISED),
+    "audit_cleaning_view": lambda t: audit.cleaning_view(chosen_run(t)),
+    "audit_built_view": lambda t: audit.built_view(chosen_run(t)).drop("runtime"),
 }
 
 SOURCES: dict[str, Query] = {
@@ -120,16 +121,18 @@ RUNS = tuple(datetime(2002, 1, day, 6, tzinfo=UTC) for day in (1, 2))
 
 
 def publish(t: Models, runs: Sequence[datetime] = RUNS) -> DataFrame:
-    """Append the whole audit once for each run time to a new history and read the history back."""
+    """Publish the audit for each run time in the history beside the models and read the history back."""
     if t.folder is None:
         raise ValueError("these models keep no history")
-    path = f"{t.folder}/pipeline_audit-{uuid.uuid4().hex}"
-    rows = audit.full(t, MODELS)
-    storage.append_table(audit.stamp(rows, runs[0]), path)
-    first = storage.read_written(rows.sparkSession, path, audit.stamp(rows, runs[0]))
-    for run_ts in runs[1:]:
-        storage.append_table(audit.stamp(first.filter(F.col("run_id") == audit.run_id(runs[0])), run_ts), path)
-    return storage.read_written(rows.sparkSession, path, first)
+    path, rows = f"{t.folder}/pipeline_audit", audit_rows(t)
+    for run_ts in runs:
+        publish_audit(audit.stamp(rows, run_ts), path)
+    return read_history(rows.sparkSession, path)
+
+
+def chosen_run(t: Models, run_ts: datetime = RUNS[-1]) -> DataFrame:
+    """The audit of one run in the history."""
+    return audit.of_run(publish(t), audit.run_id(run_ts))
 
 
 def earlier_book(raw: Mapping[str, DataFrame], window: MonthWindow) -> dict[str, DataFrame]:
@@ -163,7 +166,8 @@ def month_refresh(t: Models) -> DataFrame:
 
 def published(log: DataFrame) -> DataFrame:
     """Run times as seconds, which read alike in every time zone."""
-    return log.select("run_id", F.unix_seconds("run_ts").alias("run_epoch"), *log.columns[2:])
+    rest = [c for c in log.columns[2:] if c != audit.RUN]
+    return log.select("run_id", F.unix_seconds("run_ts").alias("run_epoch"), *rest)
 
 
 EXEC = "mart_exec_summary"
@@ -173,11 +177,6 @@ ACTIVITY = "stg_feature_activity"
 CHOSEN_SKU = "PROMO SKU"
 
 
-def removals(t: Models) -> DataFrame:
-    parts = ("internal", "dedupe", "unentitled")
-    return tables.union_all([audit.CLEANING[part](t) for part in parts])
-
-
 def depth(t: Models) -> DataFrame:
     return insights.feature_depth(t[ACTIVITY], insights.latest_complete_month(t[FACT]))
 
@@ -200,7 +199,7 @@ def unused(t: Models, **cut: int | None) -> DataFrame:
 
 
 INSIGHTS: dict[str, Query] = {
-    "trust_strip": lambda t: insights.trust_strip(removals(t), t[EXEC]),
+    "trust_strip": lambda t: insights.trust_strip(audit.latest_run(publish(t)), t[EXEC]),
     "overview_kpis": lambda t: insights.overview_kpis(t[EXEC]),
     "weighted_gap": lambda t: insights.weighted_gap(t[EXEC], t.params),
     "segment_risk": lambda t: insights.segment_risk(t[BY_CUSTOMER]),

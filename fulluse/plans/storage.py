@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +52,15 @@ def replace_table(
     together: Sequence[str] = (),
     within: Sequence[str] = (),
     month_folders: bool = False,
+    watched: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Full-refresh write; running it again converges to the same table."""
-    writer = arranged(df, together, within).write.mode("overwrite")
+    """Full-refresh write; running it again converges to the same table.
+
+    ``watched`` may observe the rows as the last stage writes them, where each
+    task counts once however often earlier stages had to run.
+    """
+    rows = arranged(df, together, within)
+    writer = (watched(rows) if watched else rows).write.mode("overwrite")
     if month_folders:
         writer = writer.partitionBy("month")
     writer.parquet(path)
@@ -119,8 +125,14 @@ def drop_months(spark: SparkSession, path: str, months: Iterable[date]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def publish(df: DataFrame, path: str, partition: str) -> None:
+    """Add partitions to a table; one that is there already is replaced, so publishing again adds nothing."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
 
 
 def row_count(df: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from dataclasses import replace
 
 import pytest
 
-from conftest import Book, months
+from conftest import Book, day, months
 from fulluse.operators import checks
 from fulluse.plans.params import Params
 from fulluse.plans.pipeline import Models
@@ -221,3 +221,35 @@ def test_median_is_exact(spark, count):
     rows = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
     expected = statistics.median(values) if values else None
     assert checks.median(rows, "x", steps=5).collect()[0][0] == expected
+
+
+def test_counts_taken_at_the_writes_equal_a_recount(spark, book, tmp_path):
+    """The audit of a run scans no model that it has just written, and publishing a run again adds no rows."""
+    from datetime import datetime
+
+    from fulluse.operators import audit
+    from fulluse.plans import pipeline
+
+    book.customer("C1")
+    book.sku("S")
+    book.contract("E1", "C1", "S", "2024-01-01", "2024-08-15")
+    book.contract("E2", "C1", "S", "2024-02-10", "2024-06-30", licensed=None, unlimited=True)
+    book.window("2024-01-01", 9)
+    book.used("E1", "C1", "S", day("2024-01-01"), 5.0)
+    folder, when = str(tmp_path / "marts"), datetime(2024, 12, 31, 1)
+    run = pipeline.run(book.raw(), folder, when)
+    columns = [c for c in audit.COLUMNS if c != "note"]
+    recount = audit.full(run.models, pipeline.MODELS)
+    assert sorted(map(str, run.audit.select(*columns).collect())) == sorted(map(str, recount.select(*columns).collect()))
+    notes = run.audit.filter(F.col("action") != audit.BUILT).select("note")
+    assert sorted(map(str, notes.collect())) == sorted(map(str, recount.filter(F.col("action") != audit.BUILT).select("note").collect()))
+    taken = {"int_flags": {"n": 1, "late": 1, "last": day("2024-09-01"), **dict.fromkeys(audit.RAISED, 0)}}
+    plan = audit.flags(audit.counted(run.models, "int_flags", taken))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    rows = run.audit.count()
+    pipeline.publish_audit(run.audit, f"{folder}/pipeline_audit")
+    history = pipeline.read_history(spark, f"{folder}/pipeline_audit")
+    assert history.count() == rows == audit.latest_run(history).count()
+    plan = audit.latest_run(history)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan
+    assert audit.of_run(history, "20000101000000").count() == 0
