@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fulluse.llm.common import Scratch, keyed, shown_id
 
-CAPACITY, TEXT_BYTES = 4096, 1 << 22
+CAPACITY, TEXT_BYTES, ROWS = 4096, 1 << 22, 512
 #: Bits for a rank beside its length in one number.
 RANK_BITS = 48
 
@@ -184,7 +184,8 @@ def encoded(docs: DataFrame, scratch: Scratch, tokenizer_file: str, end_id: int,
 def pack(docs: DataFrame, scratch: Scratch, tokenizer_file: str, end_id: int = 2, capacity: int = CAPACITY, width: int = 2) -> DataFrame:
     """doc_id, start, length, doc_tokens, sequence_id, offset, ids: each piece of a document and its place.
 
-    ``ids`` are the piece's ids as little-endian numbers of ``width`` bytes; 2 serves vocabularies under 65,536 ids.
+    ``ids`` are the piece's ids as little-endian 32-bit numbers. Until they are placed they take ``width`` bytes each;
+    2 serves vocabularies under 65,536 ids.
     """
     rows = encoded(docs, scratch, tokenizer_file, end_id, capacity, width)
     counts = scratch.save(rows.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")), "counts")
@@ -197,7 +198,7 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer_file: str, end_id: int = 2
     )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "rank"))
             row = np.arange(batch.num_rows)
             for keys, lots in generations:
@@ -210,7 +211,10 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer_file: str, end_id: int = 2
                     break
                 index = rank[row] - first + skipped
                 found, rows_of = batch.take(pa.array(row)), zip(shift.tolist(), length.tolist(), strict=True)
-                ids = [x[a * width : (a + n) * width] for x, (a, n) in zip(found.column("ids").to_pylist(), rows_of, strict=True)]
+                ids = [
+                    np.frombuffer(x, f"<u{width}", n, a * width).astype("<u4").tobytes()
+                    for x, (a, n) in zip(found.column("ids").to_pylist(), rows_of, strict=True)
+                ]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": found.column("doc_id"), "start": pa.array(found.column("start").to_numpy() + shift),
                     "length": pa.array(length), "doc_tokens": found.column("doc_tokens"),
@@ -235,16 +239,6 @@ def sequences(packed: DataFrame) -> DataFrame:
     )
 
 
-def digests(packed: DataFrame, width: int = 2) -> DataFrame:
-    """The pieces with ids_crc32, of their ids as little-endian 32-bit numbers, instead of the ids."""
-    import zlib
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crcs = [
-                zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()
-            ]
-            yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(crcs, pa.int64()))
-
-    kinds = ", ".join(f"{c} {kind}" for c, kind in packed.dtypes if c != "ids")
-    return packed.mapInArrow(summed, f"{kinds}, ids_crc32 long")
+def digests(packed: DataFrame) -> DataFrame:
+    """The pieces with the crc32 of their ids instead of the ids."""
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -88,8 +88,8 @@ def test_pieces(docs, corpus, scratch, capacity):
         sizes[sum(n for _, n in own)] += 1
     assert all(n == capacity or not n & n - 1 for n in sizes) and max(sizes) <= capacity
     whole = packing.sequences(packed).collect()
-    assert sum(len(r["ids"]) for r in whole) == 2 * sum(n * k for n, k in sizes.items())
-    assert all(len(r["ids"]) == 2 * r["length"] == 2 * r["ends"][-1] for r in whole)
+    assert sum(len(r["ids"]) for r in whole) == 4 * sum(n * k for n, k in sizes.items())
+    assert all(len(r["ids"]) == 4 * r["length"] == 4 * r["ends"][-1] for r in whole)
 
 
 def test_packing_edges(spark, scratch):
