@@ -5,7 +5,9 @@ row has too are hashed whole; all others are alone in their group. Texts are equ
 are lower-cased. DataFrame functions only.
 
 Defined cases: null counts as the empty text; a null doc_id comes before all others; rows that repeat both doc_id and
-text count each in group_size, and of those with the largest doc_id one is kept; an empty table gives no row.
+text count each in group_size, and of those with the largest doc_id one is kept; different texts under one doc_id are
+apart; a text of any length is compared whole; an empty table gives no row; ``kept_rows`` returns all columns whatever
+their names, ``refine`` only its own.
 """
 
 from __future__ import annotations
@@ -37,14 +39,14 @@ def refine(docs: DataFrame, scratch: Scratch, digest_all: bool = False, prefix:
     survivors = scratch.save(pairs.filter("rows > 1").select("n", "p", F.lit(True).alias("more")), "survivors")
     sha = F.sha2(lower_ascii(F.col("text")), 256)
     read = rows.join(survivors, ["n", "p"], "left").select(
-        "doc_id",
+        "doc_id", "n", "p",
         F.when(F.col("more"), sha).alias("full"),
         *([sha.alias("text_sha256")] if digest_all else []),
     )
     if not digest_all:
         read = read.withColumn("text_sha256", F.col("full"))
     # A row that is alone keeps itself. Equal rows of one doc_id are one row with a count until the end.
-    read = scratch.save(read.groupBy("doc_id", "full", "text_sha256").agg(F.count(F.lit(1)).alias("rows")), "read")
+    read = scratch.save(read.groupBy("doc_id", "n", "p", "full", "text_sha256").agg(F.count(F.lit(1)).alias("rows")), "read")
     alone, rest = read.filter("full is null"), read.filter("full is not null")
     groups = rest.groupBy("full").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
     found = rest.join(groups, "full").select("doc_id", "keep_id", "group_size", "rows", "text_sha256").union(
@@ -62,13 +64,16 @@ def refine(docs: DataFrame, scratch: Scratch, digest_all: bool = False, prefix:
 
 def kept_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of equal texts one row of the largest doc_id."""
-    id_of, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.coalesce(docs["text"].cast("string"), F.lit(""))
-    found = scratch.save(refine(docs, scratch, digest_all=True), "found")
-    found = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
-    losing = found.filter("not kept").select("_id").distinct()
+    found = scratch.save(refine(docs, scratch).filter("group_size > 1"), "found")
+    found = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_sha256").alias("sha"), "kept")
+    losing = found.filter("not kept").select("id", "sha").distinct()
+    # The columns travel as one, so that none can have a name used here.
+    text, id_of = F.coalesce(F.col("row.text").cast("string"), F.lit("")), F.col("row.doc_id").cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", F.coalesce(id_of, F.lit(NO_ID)).alias("id"))
+    ids = losing.select("id").distinct()
     # A doc_id that loses one row may keep another one: its rows are looked at by text, equal ones counted down to one.
-    again = docs.join(losing, id_of == F.col("_id"), "left_semi").withColumn("_own", F.sha2(lower_ascii(text), 256))
-    staying = found.filter("kept").join(losing, "_id", "left_semi")
-    again = again.join(staying, (id_of == F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    again = again.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
-    return docs.join(losing, id_of == F.col("_id"), "left_anti").union(again)
+    again = rows.join(ids, "id", "left_semi").withColumn("sha", F.sha2(lower_ascii(text), 256))
+    others = again.join(losing, ["id", "sha"], "left_anti")
+    staying = found.filter("kept").select("id", "sha").join(losing, ["id", "sha"], "left_semi")
+    one = again.join(staying, ["id", "sha"], "left_semi").dropDuplicates(["id", "sha"])
+    return rows.join(ids, "id", "left_anti").select("row.*").union(others.select("row.*")).union(one.select("row.*"))

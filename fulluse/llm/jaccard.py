@@ -8,13 +8,15 @@ The rows of the incidence matrix are documents, its columns n-grams (64-bit hash
    discarded unseen. A block's content is a key; rows meet at the smallest document of each key, never pair by pair.
 3. Rows that hang together by keys are a cluster. In it overlaps are accumulated as a product of blocks of rows, and
    pairs whose overlap is below the bound that their sizes set are discarded. A cluster of more than ``BLOCK`` rows
-   first meets its smallest document alone; after that only rows which did not link to it meet others, block by block.
-   A task emits a spanning forest of the links it finds, not all of them.
+   first meets its smallest document and about ``ANCHORS`` others that a hash picks. What these join is mostly one
+   component; after that only rows outside the largest one meet others, block by block. A task emits a spanning forest
+   of the links it finds, not all of them.
 4. Links become components; a class has the component of its representative.
 
 Defined cases: null and empty texts have no n-gram, size 0 and are linked with nothing; fewer words than ``width`` are
 one n-gram; rows that repeat doc_id and text are copies; rows that repeat doc_id alone are different documents, whose
-component shows the same doc_id; an empty table gives no row.
+component shows the same doc_id; texts of any length are read whole; an empty table gives no row; ``kept_rows`` returns
+all columns whatever their names, ``join`` only its own.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from fulluse.llm.common import LOWER_BYTES, NO_ID, Scratch, components, keyed, mix, pieces, shingle_hashes, shown_id, word_hashes
 
-BLOCK, COLUMNS = 256, 2048
+BLOCK, COLUMNS, ANCHORS = 256, 2048, 16
 
 
 def levels(num: int, den: int, most: int) -> list[int]:
@@ -154,7 +156,7 @@ def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
 
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
     """The product of two blocks of rows: how many columns each x and y share, accumulated over blocks of columns."""
-    total = np.zeros((len(xs), len(ys)), np.float32)
+    total = np.zeros((len(xs), len(ys)))
     rows = np.repeat(np.arange(len(xs) + len(ys)), [len(r) for r in [*xs, *ys]])
     columns, at = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
     x, y = at[rows < len(xs)], at[rows >= len(xs)]
@@ -248,11 +250,13 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     repeated = owners.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     own = owners.join(repeated, "doc_id", "left_semi").join(members, ["doc_id", "tag"], "left_anti")
     members = scratch.save(members.union(own.select("doc_id", "tag", F.col("doc_id").alias("cluster"))), "members")
+    # Documents of a large cluster that meet all others of it: the first one and some that a hash picks.
+    picked = F.pmod(F.xxhash64("doc_id", "tag"), F.greatest(F.ceil(F.col("rows") / ANCHORS), F.lit(1))) == 0
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "tag")).alias("first"))
     text = scratch.save(
         keyed(docs).join(members.join(sizes, "cluster"), ["doc_id", "tag"]).select(
-            "cluster", "rows", "first", "doc_id", "tag", "text",
-            (F.struct("doc_id", "tag") == F.col("first")).alias("is_first"),
+            "cluster", "rows", "doc_id", "tag", "text",
+            ((F.struct("doc_id", "tag") == F.col("first")) | picked).alias("is_anchor"),
         ), "texts",
     )
 
@@ -267,15 +271,23 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
 
     zero = F.lit(0)
     small, large = text.filter(F.col("rows") <= block), text.filter(F.col("rows") > block)
-    # The first document goes to each block of its cluster, so no task holds a cluster.
-    ahead = large.filter("is_first").withColumn("i", every(F.col("rows")))
-    first = side(ahead, 0, F.col("i"), F.lit(-1)).union(side(large.filter("not is_first"), 1, dealt(F.col("rows")), F.lit(-1)))
-    found = scratch.save(product(side(small, 0, zero, zero).union(first), width, num, den), "links")
-    # Rows of large clusters that did not link to the first one meet all others, in pairs of blocks.
+    # The anchors go to each block of their cluster, so no task holds a cluster.
+    ahead = large.filter("is_anchor").withColumn("i", every(F.col("rows")))
+    met = side(ahead, 0, F.col("i"), F.lit(-1)).union(side(large, 1, dealt(F.col("rows")), F.lit(-1)))
+    found = scratch.save(product(side(small, 0, zero, zero), width, num, den), "links")
+    with_anchors = scratch.save(product(met, width, num, den), "with_anchors")
+    found = found.union(with_anchors)
+    # What the anchors joined is one component of most large clusters. Rows outside the largest one meet all others, in
+    # pairs of blocks; rows within it are known to belong together.
     node = F.struct("doc_id", "tag")
-    joined = found.select(F.col("b").alias("node")).distinct().withColumn("linked", F.lit(True))
-    rest = large.filter("not is_first").withColumn("node", node).join(joined, "node", "left")
-    rest = rest.withColumn("linked", F.coalesce("linked", F.lit(False))).drop("node")
+    named = components(with_anchors, scratch, "ahead")
+    own = large.select("cluster", node.alias("node")).join(named, "node", "left")
+    own = scratch.save(own.select("cluster", "node", F.coalesce("root", "node").alias("root")), "own")
+    main = own.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("cluster").agg(
+        F.max(F.struct("k", "root")).alias("most")
+    )
+    linked = own.join(main, "cluster").select("cluster", "node.*", (F.col("root") == F.col("most.root")).alias("linked"))
+    rest = large.filter("not is_anchor").join(linked, ["cluster", "doc_id", "tag"])
     counts = rest.groupBy("cluster").agg(
         F.sum(F.when(~F.col("linked"), 1).otherwise(0)).alias("loose"), F.sum(F.when(F.col("linked"), 1).otherwise(0)).alias("firm")
     ).filter("loose > 0")
@@ -307,12 +319,16 @@ def kept_rows(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80,
     """The rows of ``docs`` that stay: of each component the row with the smallest doc_id, once."""
     found = join(docs, scratch, width, num, den)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tag") == F.col("root_tag")))
-    stay = stay.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.count(F.lit(1)).alias("_rows"))
-    stay = scratch.save(stay, "stay")
-    tag = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    stay = scratch.save(stay.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("copies")), "stay")
+    # The columns travel as one, so that none can have a name used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("tag"),
+    )
 
-    def rows(which: DataFrame) -> DataFrame:
-        return docs.join(which, docs["doc_id"].eqNullSafe(which["_id"]) & (tag == which["_tag"]), "left_semi")
+    def of(which: DataFrame) -> DataFrame:
+        same = rows["doc_id"].eqNullSafe(which["doc_id"]) & (rows["tag"] == which["tag"])
+        return rows.join(which, same, "left_semi")
 
-    again = rows(stay.filter("_rows > 1")).withColumn("_tag", tag).dropDuplicates(["doc_id", "_tag"])
-    return rows(stay.filter("_rows = 1")).union(again.select(*docs.columns))
+    again = of(stay.filter("copies > 1")).dropDuplicates(["doc_id", "tag"])
+    return of(stay.filter("copies = 1")).union(again).select("row.*")

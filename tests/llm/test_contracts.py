@@ -108,8 +108,9 @@ def test_equal_classes(strings, groups):
             assert (found[a] == found[b]) == (raw[a] == raw[b] and of[a] == of[b])
 
 
-@pytest.mark.parametrize("width,num,den,block", [(3, 90, 100, 256), (5, 80, 100, 3), (2, 60, 100, 4)])
-def test_jaccard(docs, corpus, scratch, width, num, den, block):
+@pytest.mark.parametrize("width,num,den,block,anchors", [(3, 90, 100, 256, 16), (5, 80, 100, 3, 1), (2, 60, 100, 4, 5)])
+def test_jaccard(docs, corpus, scratch, monkeypatch, width, num, den, block, anchors):
+    monkeypatch.setattr(jaccard, "ANCHORS", anchors)
     found = by_id(jaccard.join(docs, scratch, width, num, den, block=block), "n_shingles", "component_id")
     assert found == brute.jaccard(corpus, width, num, den)
     kept = jaccard.kept_rows(docs, scratch, width, num, den)
