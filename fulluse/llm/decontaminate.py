@@ -15,6 +15,10 @@ fewer than ``plain`` words outside placeholders count only where they agree word
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +27,24 @@ from fulluse.llm.common import Scratch, keyed, shown_id
 WINDOW, PLAIN, RUN = 8, 5, 6
 NUM, UNIT, NAME = "‹num›", "‹unit›", "‹name›"
 SIGNS = r"\-+*/×÷^=<>−–$€£%"
+#: Nothing that is marked or dropped begins with these; looking first makes most places cheap.
+RARE = r"(?=[^a-z \n])"
 UNITS = "km|cm|mm|kg|mg|ml|kwh|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|grams?|dollars?|euros?|percent"
 
 
 def marked(text: Column) -> Column:
     """The text with marks before numbers, units and names; places of white space stay."""
-    out = F.translate(text, "‹›", "")
+    out = F.replace(F.replace(text, F.lit("‹"), F.lit("")), F.lit("›"), F.lit(""))
     out = F.regexp_replace(out, rf"(?i)(?<=\d ?)(?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}])", "‹u›$0")
-    out = F.regexp_replace(out, r"\d+(?:[.,]\d+)*", "‹d›$0")
-    out = F.regexp_replace(out, r"(?<=[^.!?\s]\s)\p{Lu}[\p{L}'’-]*", "‹m›$0")
+    # Possessive repetition: a long list of numbers takes no stack.
+    out = F.regexp_replace(out, r"\d++(?:[.,]\d++)*+", "‹d›$0")
+    out = F.regexp_replace(out, rf"{RARE}(?<=[^.!?\s]\s)\p{{Lu}}[\p{{L}}'’-]*+", "‹m›$0")
     # The first word of a sentence may be a name.
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}›'’-])\p{Lu}[\p{L}'’-]*", "‹s›$0")
+    out = F.regexp_replace(out, rf"{RARE}(?<![\p{{L}}\p{{N}}›'’-])\p{{Lu}}[\p{{L}}'’-]*+", "‹s›$0")
     # Signs stay beside numbers: what is 3 + 4 is not what is 3 * 4.
     out = F.regexp_replace(out, rf"(?<=\d)\s+([{SIGNS}])\s+(?=‹d›)", " $1")
     return F.regexp_replace(
-        F.lower(out), rf"[^\p{{L}}\p{{N}}\s‹›.,{SIGNS}]+|(?<!\d)[.,]|[.,](?!\d)|(?<!‹u›)[{SIGNS}](?!‹d›)", ""
+        F.lower(out), rf"{RARE}(?:[^\p{{L}}\p{{N}}\s‹›.,{SIGNS}]+|(?<!\d)[.,]|[.,](?!\d)|(?<!‹u›)[{SIGNS}](?!‹d›))", ""
     )
 
 
@@ -81,53 +88,42 @@ def slots(text: Column) -> Column:
 READINGS = {"template": template, "named": named, "plainly": plainly, "value": value}
 
 
-def steps(length: int) -> list[tuple[int, int]]:
-    """Powers of two that sum up to the length, with where they begin."""
-    parts = [k for k in (8, 4, 2, 1) if length & k]
-    return [(k, sum(parts[:i])) for i, k in enumerate(parts)]
-
-
 def run_hash(words: Column, length: int = WINDOW) -> Column:
     """The hash that ``hashed`` gives a run of these words."""
-    def whole(k: int, at: int) -> Column:
-        if k == 1:
-            return F.xxhash64(F.element_at(words, at + 1))
-        return F.xxhash64(whole(k // 2, at), whole(k // 2, at + k // 2))
-
-    first, *rest = (whole(*step) for step in steps(length))
-    for part in rest:
-        first = F.xxhash64(first, part)
-    return first
+    return F.xxhash64(*(F.xxhash64(F.element_at(words, k + 1)) for k in range(length)))
 
 
 def hashed(rows: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
     """keep..., at, h: the windows of rows with words, each with the different hashes of its readings, and runs of other
-    ``lengths`` with their values."""
-    def joined(a: str, b: str, step: int) -> Column:
-        return F.zip_with(a, F.slice(F.col(b), F.lit(step + 1), F.greatest(F.size(b), F.lit(1))), lambda x, y: F.xxhash64(x, y))
+    ``lengths`` with their values.
 
-    def own(name: str, length: int) -> Column:
-        return F.slice(name, F.lit(1), F.greatest(F.size("words") - (length - 1), F.lit(0)))
+    Words are hashed once in each reading, and a window's hash is taken from the hashes of its words.
+    """
+    def starts(length: int) -> Column:
+        n = F.size("words")
+        return F.slice(F.sequence(F.lit(0), F.greatest(n - length, F.lit(0))), F.lit(1), F.greatest(n - (length - 1), F.lit(0)))
 
-    out = rows.filter(F.size("words") >= min([WINDOW, *lengths]))
-    for name, read in READINGS.items():
-        out = out.withColumn(f"{name}1", F.transform("words", lambda w: F.xxhash64(read(w))))
-    kept = ["value1", "value2", "value4"] if lengths else []
-    for step in (1, 2, 4):
-        chain = (joined(f"{name}{step}", f"{name}{step}", step).alias(f"{name}{2 * step}") for name in READINGS)
-        out = out.select(*keep, "words", *(c for c in kept if c in out.columns), *(F.col(f"{n}{step}") for n in READINGS if f"{n}{step}" not in kept), *chain)
-    found = F.transform(
-        F.arrays_zip(*(own(f"{name}{WINDOW}", WINDOW).alias(name) for name in READINGS)),
-        lambda w, i: F.struct(i.alias("at"), F.array_distinct(F.array(*(w[name] for name in READINGS))).alias("hs")),
-    )
+    def runs(length: int, names: dict[str, str]) -> Column:
+        """at and the hash in each reading; ``names`` are the readings that they are taken from."""
+        def cut(at: Column, name: str) -> Column:
+            return F.xxhash64(*(F.get(F.col(f"_{name}"), at + k) for k in range(length)))
+
+        return F.transform(starts(length), lambda at: F.struct(at.alias("at"), *(cut(at, own).alias(name) for name, own in names.items())))
+
+    def first(read: Callable[[Column], Column]) -> Column:
+        return F.transform("words", lambda w: F.xxhash64(read(w)))
+
+    # No filter on the number of words: it would split each text twice. Short texts have no window.
+    words = rows.select(*keep, "words").select("*", *(first(read).alias(f"_{name}") for name, read in READINGS.items()))
+    windows = runs(WINDOW, {name: name for name in READINGS})
     for length in lengths:
-        (first, _), *rest = steps(length)
-        out = out.withColumn(f"run{length}", F.col(f"value{first}"))
-        for k, at in rest:
-            out = out.withColumn(f"run{length}", joined(f"run{length}", f"value{k}", at))
-        run = F.transform(own(f"run{length}", length), lambda h, i: F.struct(i.alias("at"), F.array(h).alias("hs")))
-        found = F.concat(found, run)
-    return out.select(*keep, F.inline(found)).select(*keep, "at", F.explode("hs").alias("h"))
+        windows = F.concat(windows, runs(length, dict.fromkeys(READINGS, "value")))
+    found = words.select(*keep, F.inline_outer(windows)).filter("at is not null")
+    one, *others = (F.col(name) for name in READINGS)
+    same = reduce(and_, (one == other for other in others))
+    # Mostly all readings of a window are the same.
+    hashes = F.when(same, F.array(one)).otherwise(F.array_distinct(F.array(one, *others)))
+    return found.select(*keep, "at", F.explode_outer(hashes).alias("h"))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
