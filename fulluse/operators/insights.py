@@ -254,6 +254,22 @@ def feature_depth_pivot(depth: DataFrame) -> DataFrame:
 
 # Customers
 
+
+def account_detail(
+    accounts: DataFrame, exec_summary: DataFrame, month: Column, cust_id: Column
+) -> DataFrame:
+    """One account of a worklist with its factors, and its score against that of the whole book."""
+    book = exec_summary.filter(F.col("month") == month).agg(F.max("vrr_value_weighted")).scalar()
+    return accounts.filter(F.col("cust_id") == cust_id).select(
+        "cust_id",
+        "cust_name",
+        "vrr",
+        (F.col("vrr") - book).alias("vrr_gap"),
+        "consumption_rate",
+        "feature_coverage",
+    )
+
+
 # Status names, in order of priority.
 TOO_NEW = "Too new to score"
 NOT_USING = "Paying, not using"

@@ -70,7 +70,7 @@ METRICS: dict[str, Query] = {
     .agg(m.weighted_vrr(F.col("vrr"), F.col("licensed_value_usd")).alias("vrr_value_weighted")),
     "annualize": lambda t: t[FACT]
     .groupBy("month")
-    .agg(m.annualized(F.sum("value_at_risk_usd")).alias("annualized_var_usd")),
+    .agg(m.annualized(m.exact_sum(F.col("value_at_risk_usd"))).alias("annualized_var_usd")),
     "currency_normalize": lambda t: t["stg_entitlements"].select(
         "entitlement_id", "currency", "price_per_unit_usd"
     ),
@@ -198,6 +198,13 @@ def unused(t: Models, **cut: int | None) -> DataFrame:
     return insights.unused_features(t[ACTIVITY], t["stg_entitlements"], first, month, **cut)
 
 
+def account(t: Models) -> DataFrame:
+    """The account at the top of the worklist."""
+    first = worklist(t).select("cust_id").limit(1).scalar()
+    month = insights.latest_complete_month(t[FACT])
+    return insights.account_detail(worklist(t), t[EXEC], month, first)
+
+
 INSIGHTS: dict[str, Query] = {
     "trust_strip": lambda t: insights.trust_strip(audit.latest_run(publish(t)), t[EXEC]),
     "overview_kpis": lambda t: insights.overview_kpis(t[EXEC]),
@@ -211,6 +218,8 @@ INSIGHTS: dict[str, Query] = {
     "feature_depth_kpis": lambda t: insights.feature_depth_kpis(depth(t)),
     "feature_depth_pivot": lambda t: insights.feature_depth_pivot(depth(t)),
     "feature_depth_product": sku_depth,
+    "sku_depth_kpis": lambda t: insights.feature_depth_kpis(sku_depth(t)),
+    "account_detail": account,
     "customer_status": lambda t: insights.customer_status(t[BY_CUSTOMER], t.params),
     "customer_worklist": worklist,
     "customer_worklist_filtered": lambda t: worklist(

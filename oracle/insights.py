@@ -138,6 +138,20 @@ from (select *, max(features_used) over () as deepest from used_features)""",
 where product_name = 'PROMO SKU' group by all""",
         [],
     ),
+    "sku_depth_kpis": (
+        """select count(*) as relationships, count(*) filter (where features_used < 2) as shallow,
+ avg((features_used < 2)::int) as shallow_share, avg((not uses_core)::int) as no_core_share,
+ avg((features_used = deepest)::int) as full_share
+from (select *, max(features_used) over () as deepest from used_features
+      where product_name = 'PROMO SKU')""",
+        ["shallow_share", "no_core_share", "full_share"],
+    ),
+    "account_detail": (
+        f"""select cust_id, cust_name, vrr, vrr - (select vrr_value_weighted from {EXEC} where month = {NOW}) as vrr_gap,
+ consumption_rate, feature_coverage
+from worklist order by var_usd desc, cust_name, cust_id limit 1""",
+        ["vrr", "vrr_gap", "consumption_rate", "feature_coverage"],
+    ),
     "customer_status": ("select cust_id, month, status from stated", []),
     "customer_worklist": ("select * from worklist", WORK),
     "customer_worklist_filtered": (
