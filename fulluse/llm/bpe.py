@@ -1,12 +1,13 @@
 """Byte-level BPE by overlapping chunks, and decoding by concatenation of bytes.
 
-A text of up to ``chunk`` characters is one chunk. A longer one is cut into chunks that overlap, which are pre-tokenised
-and encoded apart. Whether a pre-token starts at a place depends only on the text from there on, so once the scan of a
+A text of up to ``chunk`` characters is one chunk, scanned and stitched where it is read. A longer one is cut into chunks
+that overlap, which are dealt over all tasks, pre-tokenised and encoded apart. Whether a pre-token starts at a place depends only on the text from there on, so once the scan of a
 chunk and that of the next one share a boundary in the overlap, both go on alike. The chunks are cut there. Where an
 overlap has no common boundary (one pre-token longer than it), the earlier scan goes on into the next chunk until they
 meet.
 
-Defined cases: null and empty texts have no ids; repeated rows are encoded each; an empty table gives an empty result.
+Defined cases: null and empty texts have no ids; a text of any length is encoded whole; repeated rows are encoded each;
+an empty table gives an empty result; other columns are left behind.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fulluse.llm.common import keyed, pieces, shown_id
 
-CHUNK, OVERLAP = 32_768, 512
+CHUNK, OVERLAP, KNOWN = 32_768, 512, 200_000
 #: A scan of a cut text is not trusted this near its end: the longest fixed pre-token of the pattern, with room.
 MARGIN = 8
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
@@ -63,9 +64,11 @@ def ends(text: str, start: int = 0) -> Iterator[int]:
         yield found.end()
 
 
-def encode_chunk(text: str, rank_file: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ends of the pre-tokens in the chunk, ids up to each end, ids."""
-    encoding, known = load(rank_file), {}
+def encode_chunk(text: str, rank_file: str, known: dict[str, list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends of the pre-tokens in the chunk, ids up to each end, ids. ``known`` keeps the ids of pre-tokens, some at most."""
+    encoding, known = load(rank_file), {} if known is None else known
+    if len(known) > KNOWN:
+        known.clear()
     places, upto, ids, start = [], [], [], 0
     for end in ends(text):
         piece = text[start:end]
@@ -126,11 +129,11 @@ def encode(docs: DataFrame, rank_file: str, with_ids: bool = False, chunk: int =
         }
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load(rank_file)
+        known: dict[str, list[int]] = {}
         for whole in batches:
             for batch in pieces(whole):
                 rows = [
-                    (d, encoding.encode_ordinary(t))
+                    (d, stitch([t], [encode_chunk(t, rank_file, known)], chunk, rank_file))
                     for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_pydict(result(rows), schema)
@@ -145,9 +148,10 @@ def encode(docs: DataFrame, rank_file: str, with_ids: bool = False, chunk: int =
                 }, pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("i", pa.int32()), ("text", pa.string())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
         for whole in batches:
             for batch in pieces(whole):
-                found = [[x.tobytes() for x in encode_chunk(t, rank_file)] for t in batch.column("text").to_pylist()]
+                found = [[x.tobytes() for x in encode_chunk(t, rank_file, known)] for t in batch.column("text").to_pylist()]
                 for name, values in zip(("places", "upto", "ids"), zip(*found, strict=True), strict=True):
                     batch = batch.append_column(name, pa.array(values, pa.binary()))
                 yield batch

@@ -43,10 +43,12 @@ def dedup(docs: DataFrame, scratch: Scratch, min_chars: int = 40, min_docs: int
         .filter(F.struct("doc_id", "tag") != F.col("last"))
         .groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("lost"))
     )
-    found = rows.join(lost, ["doc_id", "tag"], "left")
-    split = F.split("text", "\n", -1)
+    found = rows.join(lost, ["doc_id", "tag"], "left").withColumn("split", F.split("text", "\n", -1))
+    split = F.col("split")
+    # Positions that stay, by one pass over a set of those that go, and their lines in order.
+    staying = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "lost")
     kept = F.when(F.col("lost").isNull(), F.col("text")).otherwise(
-        F.array_join(F.filter(split, lambda _, i: ~F.array_contains("lost", i)), "\n")
+        F.array_join(F.transform(staying, lambda i: F.get(split, i)), "\n")
     )
     return found.select(
         shown_id(),
