@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fulluse.llm.common import Scratch, keyed, shown_id
 
-WINDOW, PLAIN, RUN = 8, 5, 6
+WINDOW, PLAIN, RUN, MOST_BITS = 8, 5, 6, 1 << 20
 NUM, UNIT, NAME = "‹num›", "‹unit›", "‹name›"
 SIGNS = r"\-+*/×÷^=<>−–$€£%"
 #: Nothing that is marked or dropped begins with these; looking first makes most places cheap.
@@ -93,31 +93,61 @@ def run_hash(words: Column, length: int = WINDOW) -> Column:
     return F.xxhash64(*(F.xxhash64(F.element_at(words, k + 1)) for k in range(length)))
 
 
-def hashed(rows: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+def sieve(items: DataFrame) -> tuple[Column, int]:
+    """Bits of the hashes of the words that items have, as an array of longs, and how many bits there are.
+
+    About sixteen bits for each word, and at most ``MOST_BITS`` whatever the benchmark; more words only sieve less.
+    """
+    hashes = items.select(F.explode("words").alias("w")).select(F.xxhash64(value(F.col("w"))).alias("h")).distinct()
+    bits = min(max(1 << (16 * hashes.count()).bit_length(), 64), MOST_BITS)
+    place = F.pmod("h", F.lit(bits))
+    longs = hashes.groupBy(F.shiftright(place, 6).cast("int").alias("k")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {bits}L) & 63L as int))")).alias("bits")
+    )
+    held = {r["k"]: r["bits"] for r in longs.collect()}
+    # The smallest long cannot be written as a literal of its own.
+    shown = (f"{x}L" if (x := held.get(k, 0)) > -(2**63) else "shiftleft(1L, 63)" for k in range(bits // 64))
+    return F.expr(f"array({', '.join(shown)})"), bits
+
+
+def hashed(rows: DataFrame, lengths: list[int], sifted: tuple[Column, int], *keep: str) -> DataFrame:
     """keep..., at, h: the windows of rows with words, each with the different hashes of its readings, and runs of other
     ``lengths`` with their values.
 
-    Words are hashed once in each reading, and a window's hash is taken from the hashes of its words.
+    A word without a mark reads alike everywhere, so a window that has one which no item has agrees with none. Windows
+    are hashed only where every word is marked or passes the sieve of item words.
     """
+    known, bits = sifted
+
     def starts(length: int) -> Column:
         n = F.size("words")
-        return F.slice(F.sequence(F.lit(0), F.greatest(n - length, F.lit(0))), F.lit(1), F.greatest(n - (length - 1), F.lit(0)))
+        every = F.slice(F.sequence(F.lit(0), F.greatest(n - length, F.lit(0))), F.lit(1), F.greatest(n - (length - 1), F.lit(0)))
+        if length == WINDOW:
+            return F.filter(every, lambda at: F.coalesce(F.get(F.col("_8"), at), F.lit(False)))
+        return F.filter(every, lambda at: reduce(and_, (F.get(F.col("_1"), at + k) for k in range(length))))
+
+    def runs(length: int, readings: dict[str, Callable[[Column], Column]]) -> Column:
+        """at and the hash in each reading."""
+        def cut(at: Column, read: Callable[[Column], Column]) -> Column:
+            return F.xxhash64(*(F.xxhash64(read(F.get(F.col("words"), at + k))) for k in range(length)))
 
-    def runs(length: int, names: dict[str, str]) -> Column:
-        """at and the hash in each reading; ``names`` are the readings that they are taken from."""
-        def cut(at: Column, name: str) -> Column:
-            return F.xxhash64(*(F.get(F.col(f"_{name}"), at + k) for k in range(length)))
+        return F.transform(starts(length), lambda at: F.struct(at.alias("at"), *(cut(at, read).alias(name) for name, read in readings.items())))
 
-        return F.transform(starts(length), lambda at: F.struct(at.alias("at"), *(cut(at, own).alias(name) for name, own in names.items())))
+    def passes(place: Column) -> Column:
+        return (place < 0) | (F.getbit(F.get(known, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1)
 
-    def first(read: Callable[[Column], Column]) -> Column:
-        return F.transform("words", lambda w: F.xxhash64(read(w)))
+    def both(of: str, step: int) -> Column:
+        rest = F.slice(of, F.lit(step + 1), F.greatest(F.size(of), F.lit(1)))
+        return F.zip_with(of, rest, lambda x, y: x & y)
 
     # No filter on the number of words: it would split each text twice. Short texts have no window.
-    words = rows.select(*keep, "words").select("*", *(first(read).alias(f"_{name}") for name, read in READINGS.items()))
-    windows = runs(WINDOW, {name: name for name in READINGS})
+    place = F.transform("words", lambda w: F.when(w.contains("‹"), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(w), F.lit(bits))))
+    words = rows.select(*keep, "words").select("*", place.alias("_place")).select(*keep, "words", F.transform("_place", passes).alias("_1"))
+    for step in (1, 2, 4):
+        words = words.withColumn(f"_{2 * step}", both(f"_{step}", step))
+    windows = runs(WINDOW, READINGS)
     for length in lengths:
-        windows = F.concat(windows, runs(length, dict.fromkeys(READINGS, "value")))
+        windows = F.concat(windows, runs(length, dict.fromkeys(READINGS, value)))
     found = words.select(*keep, F.inline_outer(windows)).filter("at is not null")
     one, *others = (F.col(name) for name in READINGS)
     same = reduce(and_, (one == other for other in others))
@@ -168,7 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, run: int =
     )
     lengths = sorted(r["span"] for r in wanted.select("span").distinct().collect() if r["span"] < WINDOW)
     rows = keyed(docs)
-    found = hashed(rows.withColumn("words", tokens(F.col("text"))), lengths, "doc_id", "tag").join(wanted, "h")
+    found = hashed(rows.withColumn("words", tokens(F.col("text"))), lengths, sieve(items), "doc_id", "tag").join(wanted, "h")
     runs = (
         found.groupBy("doc_id", "tag", "item_id", "item_tag", (F.col("at") - F.col("q")).alias("shift"))
         .agg(

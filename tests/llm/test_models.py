@@ -188,3 +188,11 @@ LONG = f"{ITEM}, while a second driver in Paris waits for the mail and reads abo
 ])
 def test_edited_copies(spark, scratch, text, item):
     assert len(leaks(spark, scratch, text, item)) == 1
+
+
+def test_long_monotonous_texts(spark, scratch):
+    """A megabyte of numbers, capitals, signs or marks takes no stack, and an item behind it is found."""
+    texts = [part * 200_000 + f" . {ITEM}" for part in ("1,", "1.5 ", "A", "Aa ", "+", "3 + ", "‹›", ",.", "$ ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.matches(docs, items, scratch).collect()} == set(range(len(texts)))
