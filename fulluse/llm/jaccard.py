@@ -6,12 +6,14 @@ The rows of the incidence matrix are documents, its columns n-grams (64-bit hash
 2. Columns are dealt by hash into so many blocks that two rows over the threshold differ in fewer columns than there are
    blocks: the number follows from the sizes. Such rows agree in one of their fullest blocks whole; all other pairs are
    discarded unseen. A block's content is a key; rows meet at the smallest document of each key, never pair by pair.
-3. Rows that hang together by keys are a cluster. In it overlaps are accumulated as a product of blocks of rows, and
-   pairs whose overlap is below the bound that their sizes set are discarded. A cluster of more than ``BLOCK`` rows
-   first meets its smallest document and about ``ANCHORS`` others that a hash picks. What these join is mostly one
-   component; after that only rows outside the largest one meet others, block by block. A task emits a spanning forest
-   of the links it finds, not all of them.
-4. Links become components; a class has the component of its representative.
+3. Rows that hang together by keys are a cluster. In one of more than ``BLOCK`` rows the keys are counted (in ``SLOTS``
+   sums) and chosen anew, the rarest first: any order that all rows follow keeps a common key, and passages that many
+   documents share then hold no rows together. What still hangs together are the clusters of such rows.
+4. In a cluster overlaps are accumulated as a product of blocks of rows, and pairs whose overlap is below the bound that
+   their sizes set are discarded. A cluster of more than ``BLOCK`` rows first meets its smallest document and about
+   ``ANCHORS`` others that a hash picks. What these join is mostly one component; after that only rows outside the
+   largest one meet others, block by block. A task emits a spanning forest of the links it finds, not all of them.
+5. Links become components; a class has the component of its representative.
 
 Defined cases: null and empty texts have no n-gram, size 0 and are linked with nothing; fewer words than ``width`` are
 one n-gram; rows that repeat doc_id and text are copies; rows that repeat doc_id alone are different documents, whose
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fulluse.llm.common import LOWER_BYTES, NO_ID, Scratch, components, keyed, mix, pieces, shingle_hashes, shown_id, word_hashes
 
-BLOCK, COLUMNS, ANCHORS = 256, 2048, 16
+BLOCK, COLUMNS, ANCHORS, SLOTS = 256, 2048, 16, 1 << 20
 
 
 def levels(num: int, den: int, most: int) -> list[int]:
@@ -42,11 +44,10 @@ def levels(num: int, den: int, most: int) -> list[int]:
     return [*out, max(out[-1] + 1, out[-1] * den // num)]
 
 
-def block_keys(columns: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of the column blocks of a row, at its own level and the next."""
+def level_keys(columns: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For a row's own level and the next: keys of its column blocks, columns in each, and how many keys may differ."""
     tops = levels(num, den, len(columns))
     own = int(np.searchsorted(tops, len(columns)))
-    out = []
     for level in (own, own + 1):
         # Two sizes up to top with the wanted similarity differ in at most so many columns, so in no more blocks.
         most = 2 * tops[level] * (den - num) // (den + num)
@@ -56,23 +57,38 @@ def block_keys(columns: np.ndarray, num: int, den: int) -> np.ndarray:
         sums = np.zeros(blocks, np.uint64)
         np.add.at(sums, at, mix(spread))
         place = np.arange(blocks, dtype=np.uint64) + np.uint64((level + 1) << 40)
-        keys = mix(sums + mix(place))
+        yield mix(sums + mix(place)), np.bincount(at, minlength=blocks), most
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    return (keys % np.uint64(SLOTS)).astype(np.int64)
+
+
+def block_keys(columns: np.ndarray, num: int, den: int, seen: np.ndarray | None = None) -> np.ndarray:
+    """The keys of a row, at its own level and the next; ``seen`` says how frequent the keys of each slot are."""
+    out = []
+    for keys, filled, most in level_keys(columns, num, den):
         # At most ``most`` of a row's keys are not the other row's. In any order that both rows follow, their first
-        # most + 1 keys so have one in common; full blocks first, which rows rarely share by chance.
-        out.append(keys[np.lexsort((keys, -np.bincount(at, minlength=blocks)))[: most + 1]])
+        # most + 1 keys so have one in common. Full blocks, which rows rarely share by chance, go first, and before
+        # that rare keys where they are counted.
+        order = (keys, -filled) if seen is None else (keys, -filled, seen[slots(keys)])
+        out.append(keys[np.lexsort(order)[: most + 1]])
     return np.concatenate(out)
 
 
+def rows_of(texts: list[str], width: int) -> list[np.ndarray]:
+    """The rows of the incidence matrix: each text's distinct n-grams."""
+    words, bounds = word_hashes([t.encode().translate(LOWER_BYTES) for t in texts])
+    return [shingle_hashes(words[a:b], width) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def incidence(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """doc_id, tag, n, s1, s2 (hash of the whole set), keys."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole):
-                texts = [t.encode().translate(LOWER_BYTES) for t in batch.column("text").to_pylist()]
-                words, bounds = word_hashes(texts)
                 n, s1, s2, keys = [], [], [], []
-                for k in range(len(texts)):
-                    found = shingle_hashes(words[bounds[k] : bounds[k + 1]], width)
+                for found in rows_of(batch.column("text").to_pylist(), width):
                     place = np.arange(len(found), dtype=np.uint64)
                     n.append(len(found))
                     for out, salt in ((s1, 1), (s2, 2)):
@@ -86,6 +102,41 @@ def incidence(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return keyed(docs).mapInArrow(rows, "doc_id long, tag long, n long, s1 long, s2 long, keys binary")
 
 
+def frequencies(rows: DataFrame, width: int, num: int, den: int) -> np.ndarray:
+    """How many keys of all rows fall into each slot, as eighths of a power of two at most 255: always SLOTS bytes."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for whole in batches:
+            for batch in pieces(whole):
+                for found in rows_of(batch.column("text").to_pylist(), width):
+                    if len(found):
+                        for keys, _, _ in level_keys(found, num, den):
+                            np.add.at(total, slots(keys), 1)
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"slot": slot, "n": total[slot]})
+
+    sums = rows.select("text").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    steps = F.least(F.floor(8 * F.log2("n")), F.lit(255)).cast("int")
+    got = sums.select(F.col("slot").cast("int"), steps.alias("step")).toArrow()
+    out = np.zeros(SLOTS, np.uint8)
+    out[got.column("slot").to_numpy()] = got.column("step").to_numpy()
+    return out
+
+
+def rarest_keys(rows: DataFrame, seen: np.ndarray, width: int, num: int, den: int) -> DataFrame:
+    """doc_id, keys: the rarest keys of each row."""
+    shared = rows.sparkSession.sparkContext.broadcast(seen)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole):
+                found = rows_of(batch.column("text").to_pylist(), width)
+                keys = [block_keys(f, num, den, shared.value).astype("<i8").tobytes() if len(f) else b"" for f in found]
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "keys": pa.array(keys, pa.binary())})
+
+    return rows.select("doc_id", "text").mapInArrow(chosen, "doc_id long, keys binary")
+
+
 def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
     """rows: doc_id, keys. Edges a, b: each row to the smallest doc_id that has one of its keys, over one step more.
 
@@ -178,8 +229,7 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
 def links(xs: list, ys: list, width: int, num: int, den: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between rows of xs and ys, or among xs if there is no y; places in xs + ys."""
     everyone = [*xs, *ys]
-    words, bounds = word_hashes([t.encode().translate(LOWER_BYTES) for t in everyone])
-    sets = [shingle_hashes(words[a:b], width) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    sets = rows_of(everyone, width)
     x, y = sets[: len(xs)], sets[len(xs) :] or sets
     sizes = np.array([len(s) for s in sets])
     left, right = sizes[: len(xs), None], (sizes[None, len(xs) :] if ys else sizes[None, :])
@@ -236,6 +286,16 @@ def product(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(found, f"a {both}, b {both}")
 
 
+def clustered(owners: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """doc_id, tag, cluster of the owners that edges between documents hold together with others."""
+    # doc_id alone names a row here: one that repeats with other texts makes its cluster larger, which the product mends.
+    clusters = components(edges.distinct(), scratch, name)
+    members = owners.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("root", "cluster")
+    repeated = owners.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    own = owners.join(repeated, "doc_id", "left_semi").join(members, ["doc_id", "tag"], "left_anti")
+    return scratch.save(members.union(own.select("doc_id", "tag", F.col("doc_id").alias("cluster"))), f"{name}-members")
+
+
 def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den: int = 100, block: int = BLOCK) -> DataFrame:
     """doc_id, tag, n_shingles, component_id, root_tag: documents link when den * intersection >= num * union."""
     sets = scratch.save(incidence(docs, width, num, den), "sets")
@@ -243,21 +303,21 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     classes = scratch.save(classes, "classes")
     buckets = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     owners = classes.select("node.doc_id", "node.tag")
-    edges = shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets)
-    # doc_id alone names a row here: one that repeats with other texts makes its cluster larger, which the product mends.
-    clusters = components(edges.distinct(), scratch, "clusters")
-    members = owners.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("root", "cluster")
-    repeated = owners.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    own = owners.join(repeated, "doc_id", "left_semi").join(members, ["doc_id", "tag"], "left_anti")
-    members = scratch.save(members.union(own.select("doc_id", "tag", F.col("doc_id").alias("cluster"))), "members")
+    members = clustered(owners, shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets), scratch, "clusters")
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
+    text = keyed(docs).join(members.join(sizes, "cluster"), ["doc_id", "tag"])
+    text = scratch.save(text.select("cluster", "rows", "doc_id", "tag", "text"), "texts")
+    small, wide = text.filter(F.col("rows") <= block), text.filter(F.col("rows") > block)
+    keys = rarest_keys(wide, frequencies(wide, width, num, den), width, num, den)
+    members = clustered(wide.select("doc_id", "tag").distinct(), shared_keys(keys, buckets), scratch, "rarest")
     # Documents of a large cluster that meet all others of it: the first one and some that a hash picks.
     picked = F.pmod(F.xxhash64("doc_id", "tag"), F.greatest(F.ceil(F.col("rows") / ANCHORS), F.lit(1))) == 0
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "tag")).alias("first"))
     text = scratch.save(
-        keyed(docs).join(members.join(sizes, "cluster"), ["doc_id", "tag"]).select(
+        wide.select("doc_id", "tag", "text").join(members.join(sizes, "cluster"), ["doc_id", "tag"]).select(
             "cluster", "rows", "doc_id", "tag", "text",
             ((F.struct("doc_id", "tag") == F.col("first")) | picked).alias("is_anchor"),
-        ), "texts",
+        ), "wide",
     )
 
     def side(rows: DataFrame, which: int, i, j) -> DataFrame:
@@ -270,7 +330,8 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
         return F.explode(F.sequence(F.lit(0), (F.ceil(count / block) - 1).cast("int")))
 
     zero = F.lit(0)
-    small, large = text.filter(F.col("rows") <= block), text.filter(F.col("rows") > block)
+    small = small.union(text.filter(F.col("rows") <= block).select(*small.columns))
+    large = text.filter(F.col("rows") > block)
     # The anchors go to each block of their cluster, so no task holds a cluster.
     ahead = large.filter("is_anchor").withColumn("i", every(F.col("rows")))
     met = side(ahead, 0, F.col("i"), F.lit(-1)).union(side(large, 1, dealt(F.col("rows")), F.lit(-1)))

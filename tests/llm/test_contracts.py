@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import random
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -118,6 +121,22 @@ def test_jaccard(docs, corpus, scratch, monkeypatch, width, num, den, block, anc
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, (_, c) in found.items() if c == d)
 
 
+def test_a_passage_of_many_documents_holds_no_cluster_together(spark, scratch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    rows = [(k, passage + " " + " ".join(rng.choice(words) for _ in range(80))) for k in range(300)]
+    rows += [(1000 + k, text + " one word more") for k, text in rows[:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = by_id(jaccard.join(docs, scratch, block=32), "component_id")
+    assert {d: c for d, (c,) in found.items()} == {d: d % 1000 for d, _ in rows}
+    folders = sorted(Path(unquote(urlparse(scratch.folder).path)).iterdir())
+    held, left = (next(f for f in folders if f.name.startswith(f"{name}-")) for name in ("texts", "wide"))
+    assert spark.read.parquet(str(held)).filter("rows > 32").count() > 250
+    assert spark.read.parquet(str(left)).filter("rows > 32").count() == 0
+
+
+
 def test_lines(docs, corpus, scratch):
     found = line_dedup.dedup(docs, scratch)
     rows = {d: (n, k, brute.sha(t)) for d, (n, k, t) in by_id(found, "n_lines", "n_dropped", "text").items()}
