@@ -5,7 +5,7 @@ Months are first-of-month dates throughout.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulluse.functions import metrics as m
@@ -176,6 +176,19 @@ def booked(
     )
 
 
+def feature_places(catalogue: DataFrame) -> DataFrame:
+    """The catalogue with each feature's place in its SKU's bitmap: a word of 64 bits and the bit in it.
+
+    Rows that repeat a feature share its place.
+    """
+    place = F.dense_rank().over(Window.partitionBy("product_id").orderBy("feature_id")) - 1
+    return catalogue.withColumn("_place", place).select(
+        *catalogue.columns,
+        F.floor(F.col("_place") / 64).cast("int").alias("_word"),
+        (F.col("_place") % 64).alias("_bit"),
+    )
+
+
 def feature_activity(
     spine: DataFrame,
     contracts: DataFrame,
@@ -187,9 +200,11 @@ def feature_activity(
 
     A repeated activity record is kept as its own row. Equal records travel as
     one row with a count and are spread again after the joins, so a contract
-    that is loaded many times shuffles little. The untouched features come from
-    an anti join against distinct keys. Records on features outside the SKU
-    match nothing and drop.
+    that is loaded many times shuffles little. The untouched features are what
+    the SKU's catalogue has beyond a bitmap of the recorded ones: a contract-month
+    travels as one row for each 64 features, and becomes a row for each feature
+    only after the last exchange. Records on features outside the SKU match
+    nothing and drop.
     """
     seats = spine.select("entitlement_id", "cust_id", "product_id", "month")
     catalogue = features.select(
@@ -209,9 +224,9 @@ def feature_activity(
         "feature_value_weight",
     ]
     counted = records.groupBy(*records.columns).agg(F.count("*").alias("_copies"))
+    recorded = booked(counted, contracts, window)
     used = (
-        booked(counted, contracts, window)
-        .join(catalogue, ["product_id", "feature_id"])
+        recorded.join(catalogue, ["product_id", "feature_id"])
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
         .select(
             *columns,
@@ -219,10 +234,32 @@ def feature_activity(
             F.coalesce("usage_events", F.lit(0)).alias("usage_events"),
         )
     )
-    key = ["entitlement_id", "month", "feature_id"]
+    places = feature_places(catalogue)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))
+    seat = ["entitlement_id", "product_id", "month", "_word"]
+    taken = (
+        recorded.join(
+            places.select("product_id", "feature_id", "_word", "_bit").distinct(),
+            ["product_id", "feature_id"],
+        )
+        .groupBy(*seat)
+        .agg(F.bit_or(bit).alias("_taken"))
+    )
+    words = places.groupBy("product_id").agg(F.collect_set("_word").alias("_words"))
+    entry = F.struct("_bit", "feature_id", "feature_name", "feature_tier", "feature_value_weight")
+    entries = places.groupBy("product_id", "_word").agg(F.collect_list(entry).alias("_entries"))
+    idle = F.filter(
+        "_entries",
+        lambda e: F.call_function("bit_get", F.coalesce("_taken", F.lit(0).cast("long")), e["_bit"]) == 0,
+    )
     unused = (
-        seats.join(catalogue, "product_id")
-        .join(records.select(*key).distinct(), key, "left_anti")
+        seats.join(words, "product_id")
+        .withColumn("_word", F.explode("_words"))
+        .drop("_words")
+        .join(taken, seat, "left")
+        .join(entries, ["product_id", "_word"])
+        .select("entitlement_id", "cust_id", "product_id", "month", F.explode(idle).alias("_entry"))
+        .select("entitlement_id", "cust_id", "product_id", "month", "_entry.*")
         .select(
             *columns,
             F.lit(False).alias("is_active"),

@@ -91,6 +91,45 @@ def test_feature_activity_is_the_filled_grid(models):
     same(models["stg_feature_activity"], naive_activity(models))
 
 
+@pytest.mark.parametrize("features", [3, 64, 150])
+def test_feature_activity_of_a_wide_catalogue(spark, features):
+    """Several words of a SKU's bitmap, a repeated catalogue row, a contract loaded twice and one without records."""
+    book = Book(spark)
+    book.window("2024-01-01", 2)
+    book.sku("S1", price=7.0, weights=(1,) * features)
+    book.customer("C1", internal=False, owner="A")
+    for contract in ("E1", "E1", "E2"):
+        book.contract(contract, "C1", "S1", "2024-01-01", "2024-02-20", 5, 60.0, False)
+    for n in {0, 1, features // 2, 63 % features, features - 1}:
+        book.active("E1", "C1", "S1", f"S1-F{n}", day("2024-01-01"), True, 2)
+    raw = book.raw()
+    raw["features"] = raw["features"].union(raw["features"].filter("feature_id = 'S1-F1'"))
+    models = Models(raw, Params())
+    spine = models["stg_entitlement_month"].select("entitlement_id", "cust_id", "product_id", "month")
+    records = raw["feature_adoption_monthly"].select("entitlement_id", "month", "feature_id", "is_active", "usage_events")
+    grid = spine.join(raw["features"].drop("feature_description"), "product_id")
+    key = ["entitlement_id", "month", "feature_id"]
+    idle = grid.join(records, key, "left_anti")
+    found = models["stg_feature_activity"]
+    assert found.filter("not is_active").count() == idle.count()
+    same(found.filter("not is_active").select(*key), idle.select(*key))
+    assert found.count() == grid.join(records, key, "left").count()
+
+
+def test_grid_rows_appear_after_the_last_exchange(models):
+    text = Models(models.raw, Params(), window=models.window())["stg_feature_activity"]
+    lines = text._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    spread = [i for i, line in enumerate(lines) if "Generate explode(filter(" in line]
+    assert len(spread) == 1
+    above, level = [], depth[spread[0]]
+    for i in range(spread[0] - 1, -1, -1):
+        if depth[i] < level:
+            above, level = [*above, lines[i]], depth[i]
+    assert above and not [line for line in above if "Exchange" in line]
+    assert not [line for line in lines if "LeftAnti" in line]
+
+
 def test_coverage_equals_the_sums_over_the_grid(models):
     weight = F.col("feature_value_weight")
     active = F.sum(F.when(F.col("is_active"), weight).otherwise(0))
