@@ -37,8 +37,8 @@ def _in(values: list[str]) -> Column:
 class AdaptedTables(Mapping[str, DataFrame]):
     """Lazy mapping of raw table name to DataFrame.
 
-    ``keep`` stores a table that several others read (usage, contracts and the
-    usage facts), so that one run derives it once.
+    ``keep`` stores each table, and the usage that several are made of, so that
+    one run derives it once and plans know how small the catalogue is.
     """
 
     def __init__(self, spark: SparkSession, folder: str, keep: Keep | None = None) -> None:
@@ -56,7 +56,7 @@ class AdaptedTables(Mapping[str, DataFrame]):
     def __getitem__(self, table: str) -> DataFrame:
         if table not in raw_tables():
             raise KeyError(table)
-        return self._memo(table, kept=table not in ("customers", "products", "features"))
+        return self._memo(table, kept=True)
 
     def source(self, table: str) -> DataFrame:
         """The derivation itself, without storing its result."""
@@ -165,18 +165,28 @@ class AdaptedTables(Mapping[str, DataFrame]):
         parts = self._read("part").select(
             "p_partkey",
             F.col("p_type").alias("product_id"),
-            F.concat_ws("-", "p_type", F.col("p_size") % 4).alias("feature_id"),
-            (F.col("p_size") % 4 == 0).alias("is_core"),
+            (F.col("p_size") % 4).alias("size_class"),
         )
+        size_class = F.col("size_class")
         return (
             items.join(parts, "p_partkey")
-            .groupBy("cust", "product_id", "feature_id", "is_core", "day")
+            .groupBy("cust", "product_id", "size_class", "day")
             .agg(
                 F.count("*").alias("records"),
                 F.sum("quantity").alias("units"),
                 F.max("quantity").alias("peak"),
             )
-            .withColumn("month", F.trunc("day", "month"))
+            .select(
+                "cust",
+                "product_id",
+                F.concat_ws("-", "product_id", size_class).alias("feature_id"),
+                (size_class == 0).alias("is_core"),
+                "day",
+                "records",
+                "units",
+                "peak",
+                F.trunc("day", "month").alias("month"),
+            )
         )
 
     def usage(self) -> DataFrame:
@@ -257,77 +267,109 @@ class AdaptedTables(Mapping[str, DataFrame]):
         )
         return _typed(grown, "entitlements").unionByName(_typed(idle, "entitlements"))
 
-    def _contract_months(self) -> DataFrame:
-        months = F.expr("sequence(trunc(start_date, 'month'), end_date, interval 1 month)")
-        return self["entitlements"].withColumn("month", F.explode(months))
-
-    def _holders(self) -> DataFrame:
-        """The contract that usage of a customer, SKU and month is booked on."""
-        contract = F.struct("entitlement_id", "licensed_amount")
-        return (
-            self._contract_months()
-            .groupBy("cust_id", "product_id", "month")
-            .agg(F.max(contract).alias("held"))
-            .select("cust_id", "product_id", "month", "held.*")
-        )
-
     # Facts
 
     def _phase(self) -> Column:
         return F.col("cust") + F.month("month") + F.year("month")
 
-    def _booked(self, usage: DataFrame) -> DataFrame:
-        keyed = usage.withColumn("cust_id", F.col("cust").cast("string"))
-        return keyed.join(self._holders(), ["cust_id", "product_id", "month"])
+    def _booked(self) -> DataFrame:
+        """Monthly usage by feature with the contract it is booked on: the last by id of those active in the month.
 
-    def _consumption_monthly(self) -> DataFrame:
+        Contracts and usage meet in one exchange by customer and SKU, and contracts get their months after it, so the
+        contract-months never travel. A pair's usage has a row for each month and feature; ``consumed_units`` is that of
+        all features, and one row of a month is its first.
+        """
+        pair, key = ["cust_id", "product_id"], ["cust_id", "product_id", "month"]
+        held = Window.partitionBy(*key)
         monthly = (
             self.usage()
-            .groupBy("cust", "product_id", "month")
-            .agg(F.sum("units").alias("consumed_units"))
+            .filter(F.col("cust").isNotNull() & F.col("product_id").isNotNull() & F.col("month").isNotNull())
+            .groupBy("cust", "product_id", "feature_id", "month")
+            .agg(F.sum("records").alias("usage_events"), F.sum("units").alias("_units"))
+            .select("*", F.col("cust").cast("string").alias("cust_id"))
+        )
+        contracts = self["entitlements"].select(
+            *pair, "start_date", "end_date", F.struct("entitlement_id", "licensed_amount").alias("_contract")
         )
+        active = F.expr("sequence(trunc(start_date, 'month'), end_date, interval 1 month)")
+        months = F.when(F.col("_contract").isNotNull(), active).otherwise(F.array("_used"))
+        return (
+            contracts.unionByName(monthly.withColumnRenamed("month", "_used"), allowMissingColumns=True)
+            .repartition(*pair)
+            .withColumn("month", F.explode(months))
+            .withColumns(
+                {
+                    "_held": F.max("_contract").over(held),
+                    "consumed_units": F.sum("_units").over(held),
+                    "is_first": F.col("feature_id") == F.min("feature_id").over(held),
+                }
+            )
+            .filter(F.col("_contract").isNull() & F.col("_held").isNotNull())
+            .select("cust", *key, "feature_id", "usage_events", "consumed_units", "is_first", "_held.*")
+        )
+
+    def booked(self) -> DataFrame:
+        return self._memo("booked", kept=True)
+
+    def _consumption_monthly(self) -> DataFrame:
         sent = F.when(self._phase() % 50 == 0, 2).otherwise(1)
         df = (
-            self._booked(monthly)
+            self.booked()
+            .filter("is_first")
             .withColumn("licensed_amount_month", F.col("licensed_amount") / 12.0)
             .withColumn("_sent", F.explode(F.sequence(F.lit(1), sent)))
         )
         return _typed(df, "consumption_monthly")
 
     def _feature_adoption_monthly(self) -> DataFrame:
-        monthly = (
-            self.usage()
-            .groupBy("cust", "product_id", "feature_id", "month")
-            .agg(F.sum("records").alias("usage_events"))
-        )
         foreign = F.when(F.col("product_id") == "PROMO", "SMALL-0").otherwise("PROMO-0")
         seen = F.when(self._phase() % 37 == 0, F.array("feature_id", foreign)).otherwise(
             F.array("feature_id")
         )
         df = (
-            self._booked(monthly)
+            self.booked()
             .withColumn("feature_id", F.explode(seen))
             .withColumns({"is_active": F.lit(True), "active_users": F.col("usage_events")})
         )
         return _typed(df, "feature_adoption_monthly")
 
     def _deployment_events(self) -> DataFrame:
+        """Each contract's start, and the first strong and the first Core day of its term.
+
+        Contracts and days meet in one exchange by customer and SKU, in the order of days; no months are spread.
+        """
+        pair = ["cust_id", "product_id"]
         strong = F.col("peak") >= STRONG_QUANTITY
         days = (
             self.usage()
             .filter(strong | F.col("is_core"))
-            .groupBy(F.col("cust").cast("string").alias("cust_id"), "product_id", "month", "day")
+            .filter(F.col("cust").isNotNull() & F.col("product_id").isNotNull() & F.col("day").isNotNull())
+            .groupBy(F.col("cust").cast("string").alias("cust_id"), "product_id", "day")
             .agg(F.bool_or(strong).alias("strong"), F.bool_or("is_core").alias("core"))
         )
+        terms = self["entitlements"].select("entitlement_id", *pair, "start_date", "end_date")
+        # A contract sorts behind the days from its start on; what was seen last there is the first such day.
+        order = Window.partitionBy(*pair).orderBy(F.desc("day"), "_is_contract")
         reached = (
-            self._contract_months()
-            .select("entitlement_id", "cust_id", "product_id", "month", "start_date", "end_date")
-            .join(days, ["cust_id", "product_id", "month"])
-            .filter(F.col("day").between(F.col("start_date"), F.col("end_date")))
-            .groupBy("entitlement_id", "cust_id", "product_id")
+            terms.withColumn("day", F.col("start_date"))
+            .filter(F.col("day").isNotNull() & F.col("end_date").isNotNull())
+            .withColumn("_is_contract", F.lit(True))
+            .unionByName(days.withColumn("_is_contract", F.lit(False)), allowMissingColumns=True)
+            .withColumns(
+                {
+                    step: F.last(F.when(F.col(mark), F.col("day")), ignorenulls=True).over(
+                        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                    )
+                    for step, mark in (("first_value", "strong"), ("core_complete", "core"))
+                }
+            )
+            .filter("_is_contract")
+            .groupBy("entitlement_id", *pair)
             .agg(
-                F.min(F.when(F.col("strong"), F.col("day"))).alias("first_value"),
-                F.min(F.when(F.col("core"), F.col("day"))).alias("core_complete"),
+                *[
+                    F.min(F.when(F.col(step) <= F.col("end_date"), F.col(step))).alias(step)
+                    for step in ("first_value", "core_complete")
+                ]
             )
         )
         steps = F.array(
