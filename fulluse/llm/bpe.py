@@ -16,6 +16,7 @@ import base64
 import functools
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,34 +56,35 @@ def _written(n: int) -> list[str]:
 
 def digest(ids: list[int]) -> str:
     text = _written(1 << 16)
-    return hashlib.sha256("".join([text[i] for i in ids])[:-1].encode()).hexdigest()
+    return hashlib.sha256("".join(map(text.__getitem__, ids))[:-1].encode()).hexdigest()
 
 
-def ends(text: str, start: int = 0) -> Iterator[int]:
-    """The ends of the pre-tokens from ``start`` on."""
-    for found in _pattern().finditer(text, start):
-        yield found.end()
+class Known(dict):
+    """The ids of pre-tokens, made where one is first met."""
 
+    def __init__(self, rank_file: str):
+        self.encode = load(rank_file).encode_ordinary
 
-def encode_chunk(text: str, rank_file: str, known: dict[str, list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __missing__(self, piece: str) -> list[int]:
+        own = self[piece] = self.encode(piece)
+        return own
+
+
+def encode_chunk(text: str, rank_file: str, known: Known | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ends of the pre-tokens in the chunk, ids up to each end, ids. ``known`` keeps the ids of pre-tokens, some at most."""
-    encoding, known = load(rank_file), {} if known is None else known
+    known = Known(rank_file) if known is None else known
     if len(known) > KNOWN:
         known.clear()
-    places, upto, ids, start = [], [], [], 0
-    for end in ends(text):
-        piece = text[start:end]
-        if (own := known.get(piece)) is None:
-            own = known[piece] = encoding.encode_ordinary(piece)
-        ids += own
-        places.append(end)
-        upto.append(len(ids))
-        start = end
-    return np.array(places, "<i4"), np.array(upto, "<i4"), np.array(ids, "<u4")
+    found = _pattern().findall(text)  # every character is in one of them
+    own = list(map(known.__getitem__, found))
+    places, upto = (np.cumsum(np.fromiter(map(len, x), "<i4", len(x)), dtype="<i4") for x in (found, own))
+    return places, upto, np.array(list(chain.from_iterable(own)), "<u4")
 
 
 def stitch(texts: list[str], scans: list[tuple[np.ndarray, np.ndarray, np.ndarray]], chunk: int, rank_file: str) -> list[int]:
     """Ids of the whole text, of its chunks in order (chunk k starts at k * chunk) and their scans."""
+    if len(scans) == 1:
+        return scans[0][2].tolist()
     whole = "".join([t[:chunk] for t in texts[:-1]] + texts[-1:])
     out: list[int] = []
     at = 0  # a true boundary; the ids of all text before it are out
@@ -129,7 +131,7 @@ def encode(docs: DataFrame, rank_file: str, with_ids: bool = False, chunk: int =
         }
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known = Known(rank_file)
         for whole in batches:
             for batch in pieces(whole):
                 rows = [
@@ -148,7 +150,7 @@ def encode(docs: DataFrame, rank_file: str, with_ids: bool = False, chunk: int =
                 }, pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("i", pa.int32()), ("text", pa.string())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known = Known(rank_file)
         for whole in batches:
             for batch in pieces(whole):
                 found = [[x.tobytes() for x in encode_chunk(t, rank_file, known)] for t in batch.column("text").to_pylist()]

@@ -227,3 +227,16 @@ def test_components(spark):
         for a, b in edges:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert all(root.get(k, k) == p for k, p in parent.items())
+
+
+def test_pre_tokens_are_encoded_once(monkeypatch):
+    """A pre-token that is known is looked up, and a text of one chunk is not searched for common boundaries."""
+    known, asked = bpe.Known(RANKS), []
+    encode = known.encode
+    known.encode = lambda piece: asked.append(piece) or encode(piece)
+    text = "it's one, one  one 12 12\n" * 3
+    scan = bpe.encode_chunk(text, RANKS, known)
+    bpe.encode_chunk(text, RANKS, known)
+    assert sorted(asked) == sorted(set(bpe._pattern().findall(text)))
+    monkeypatch.setattr(bpe.np, "searchsorted", None)
+    assert bpe.stitch([text], [scan], bpe.CHUNK, RANKS) == bpe.load(RANKS).encode_ordinary(text)
