@@ -61,6 +61,25 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a sieve of keys, whatever the tables: 2 MB, or 2^18 longs by their places.
+SIEVE = 1 << 24
+
+
+def sifted(rows: DataFrame, wanted: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that may have a partner in ``wanted`` by these keys, never null, and the rows that have none.
+
+    The hash of a key is one bit of a bitmap that is broadcast. An exact join of the first follows, so that only few rows
+    without a partner travel for it; more keys than bits only sieve less.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(SIEVE))
+    word, bit = F.shiftright(place, 6).cast("int"), place.bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = wanted.groupBy(word.alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    met = rows.select("*", word.alias("_word"), bit.alias("_bit")).join(F.broadcast(bits), "_word", "left")
+    hit = F.coalesce(F.getbit("_bits", "_bit") == 1, F.lit(False))
+    return met.filter(hit).select(*rows.columns), met.filter(~hit).select(*rows.columns)
+
+
 # Hashing of words in whole batches -------------------------------------------------------------------------------
 
 _RNG = np.random.default_rng(20240501)

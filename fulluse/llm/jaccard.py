@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulluse.llm.common import LOWER_BYTES, NO_ID, Scratch, components, keyed, mix, pieces, shingle_hashes, shown_id, word_hashes
+from fulluse.llm.common import LOWER_BYTES, NO_ID, Scratch, components, keyed, mix, pieces, shingle_hashes, shown_id, sifted, word_hashes
 
 BLOCK, COLUMNS, ANCHORS, SLOTS = 256, 2048, 16, 1 << 20
 
@@ -305,7 +305,9 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     owners = classes.select("node.doc_id", "node.tag")
     members = clustered(owners, shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets), scratch, "clusters")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
-    text = keyed(docs).join(members.join(sizes, "cluster"), ["doc_id", "tag"])
+    # Most documents are in no cluster; their texts stay where they are.
+    inside, _ = sifted(keyed(docs), members, ["doc_id", "tag"])
+    text = inside.join(members.join(sizes, "cluster"), ["doc_id", "tag"])
     text = scratch.save(text.select("cluster", "rows", "doc_id", "tag", "text"), "texts")
     small, wide = text.filter(F.col("rows") <= block), text.filter(F.col("rows") > block)
     keys = rarest_keys(wide, frequencies(wide, width, num, den), width, num, den)
@@ -379,17 +381,20 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
 def kept_rows(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest doc_id, once."""
     found = join(docs, scratch, width, num, den)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tag") == F.col("root_tag")))
-    stay = scratch.save(stay.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("copies")), "stay")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tag") == F.col("root_tag"))
+    key = ["doc_id", "tag"]
+    # Rows that repeat a document share its component, so all of them stay or none.
+    touched = found.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "tag").agg(
+        F.bool_and(stays).alias("stays"), F.count(F.lit(1)).alias("copies")
+    )
+    touched = scratch.save(touched.filter("not stays or copies > 1").select(*key, "stays"), "touched")
     # The columns travel as one, so that none can have a name used here.
     rows = docs.select(F.struct(*docs.columns).alias("row")).select(
-        "row", F.col("row.doc_id").cast("long").alias("doc_id"),
+        "row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("tag"),
     )
-
-    def of(which: DataFrame) -> DataFrame:
-        same = rows["doc_id"].eqNullSafe(which["doc_id"]) & (rows["tag"] == which["tag"])
-        return rows.join(which, same, "left_semi")
-
-    again = of(stay.filter("copies > 1")).dropDuplicates(["doc_id", "tag"])
-    return of(stay.filter("copies = 1")).union(again).select("row.*")
+    # Most rows stay and are the only ones of their document: they need no exchange.
+    doubtful, clear = sifted(rows, touched, key)
+    alone = doubtful.join(touched, key, "left_anti")
+    again = doubtful.join(touched.filter("stays"), key, "left_semi").dropDuplicates(key)
+    return clear.unionByName(alone).unionByName(again).select("row.*")

@@ -14,9 +14,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fulluse.llm import bpe, exact_dedup, id_files, jaccard, lengths, line_dedup, suffixes
-from fulluse.llm.common import Scratch
+from fulluse.llm.common import Scratch, sifted
 from tests.llm import brute
 
 WORDS, RANKS = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
@@ -240,3 +241,25 @@ def test_pre_tokens_are_encoded_once(monkeypatch):
     assert sorted(asked) == sorted(set(bpe._pattern().findall(text)))
     monkeypatch.setattr(bpe.np, "searchsorted", None)
     assert bpe.stitch([text], [scan], bpe.CHUNK, RANKS) == bpe.load(RANKS).encode_ordinary(text)
+
+
+def test_sifted_rows(spark):
+    """No row with a partner is lost, and few others pass."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") * 3).alias("tag"), F.lit("x").alias("text"))
+    may, none = sifted(rows, rows.filter("doc_id % 400 = 7"), ["doc_id", "tag"])
+    assert {r["doc_id"] for r in may.filter("doc_id % 400 = 7").collect()} == set(range(7, 20_000, 400))
+    assert may.count() < 100 and may.count() + none.count() == 20_000
+    assert none.join(rows.filter("doc_id % 400 = 7"), ["doc_id", "tag"]).count() == 0
+
+
+def test_texts_outside_clusters_do_not_travel(spark, scratch, monkeypatch):
+    """Only documents that share a key, and few others, meet their cluster by an exchange."""
+    found, sieve = [], jaccard.sifted
+    monkeypatch.setattr(jaccard, "sifted", lambda rows, *more: found.append(sieve(rows, *more)) or found[-1])
+    text = F.concat_ws(" ", *(F.concat(F.lit(f"w{k}-"), "doc_id") for k in range(12)))
+    docs = spark.range(300).select(F.when(F.col("id") > 289, 290).otherwise(F.col("id")).alias("doc_id")).withColumn("text", text)
+    near = docs.filter("doc_id < 5").select((F.col("doc_id") + 1000).alias("doc_id"), F.concat("text", F.lit(" more")).alias("text"))
+    kept = jaccard.kept_rows(docs.union(near), scratch, width=3, num=80, den=100)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(291))
+    (inside, _), (doubtful, clear) = found
+    assert 10 <= inside.count() < 40 and 15 <= doubtful.count() < 40 and clear.count() > 260
