@@ -29,11 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fulluse.llm.common import pieces
 
 BUCKETS, SOURCES, LANGS, LEAST = 2048, 64, 16, 40
+#: Bytes of text whose features are held at once: a row's are some times as large as a short text.
+PIECE = 1 << 18
 
 _CLASS = np.full(256, 5)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -201,7 +202,7 @@ def featured(rows: DataFrame) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     """The rows, some thousands at most, at the driver: their other columns, content and metadata features."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, PIECE):
                 c, m = features(batch)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -232,7 +233,7 @@ def surest(rows: DataFrame, views: dict[str, View], known: set[int], taught: dic
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, list] = {}
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, PIECE):
                 c, m = features(batch)
                 ids, tags = (batch.column(k).to_pylist() for k in ("doc_id", "tag"))
                 groups = [zlib.crc32(repr(s).encode()) % SOURCES for s in batch.column("source").to_pylist()]
@@ -308,19 +309,19 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataF
     if model is None:
         return base.withColumns({c: F.lit(None).cast("double") for c in added}).withColumn("kept", F.lit(True))
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in pieces(whole):
-                p = model.scores(*features(batch))
-                yield pa.RecordBatch.from_pydict(
-                    {"row": batch.column("row")} | {c: pa.array(p[:, k], pa.float64()) for k, c in enumerate(added)}
-                )
-
-    rows = base.select(
-        F.struct(*base.columns).alias("row"), F.coalesce(base["text"].cast("string"), F.lit("")).alias("text"),
-        *[(base[c].cast("string") if c in base.columns else F.lit(None).cast("string")).alias(c) for c in ("source", "lang")],
-    )
-    kinds = StructType([StructField("row", base.schema), *(StructField(c, DoubleType()) for c in added)])
-    found = rows.mapInArrow(scored, kinds)
-    return found.select("row.*", *added, (F.col("quality_score") >= threshold).alias("kept"))
+    # Only what the views read goes to Python and only scores come back; whole rows stay where they are.
+    @F.arrow_udf(f"{added[0]} double, {added[1]} double, {added[2]} double")
+    def scored(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, source, lang in columns:
+            whole = pa.RecordBatch.from_arrays([text, source, lang], names=["text", "source", "lang"])
+            p = np.concatenate([np.zeros((0, 3)), *(model.scores(*features(batch)) for batch in pieces(whole, PIECE))])
+            yield pa.StructArray.from_arrays([pa.array(p[:, k]) for k in range(3)], names=list(added))
+
+    given = (base[c].cast("string") if c in base.columns else F.lit(None).cast("string") for c in ("source", "lang"))
+    found = base.select(
+        F.struct(*base.columns).alias("row"),
+        # A filter on a score must not have it made twice.
+        scored.asNondeterministic()(F.coalesce(base["text"].cast("string"), F.lit("")), *given).alias("scores"),
+    ).select("row.*", "scores.*")
+    return found.withColumn("kept", F.col("quality_score") >= threshold)
 

@@ -196,3 +196,12 @@ def test_long_monotonous_texts(spark, scratch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert {r["doc_id"] for r in decontaminate.matches(docs, items, scratch).collect()} == set(range(len(texts)))
+
+
+def test_whole_rows_do_not_travel_to_be_scored(spark, docs):
+    """Python is sent what the views read and sends scores back, also when a filter on them follows."""
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    found = quality.score(docs, quality.train(docs, labels)).filter("kept").select(*docs.columns)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    assert found.columns == docs.columns and found.count() <= docs.count()
