@@ -276,17 +276,24 @@ class AdaptedTables(Mapping[str, DataFrame]):
         """Monthly usage by feature with the contract it is booked on: the last by id of those active in the month.
 
         Contracts and usage meet in one exchange by customer and SKU, and contracts get their months after it, so the
-        contract-months never travel. A pair's usage has a row for each month and feature; ``consumed_units`` is that of
-        all features, and one row of a month is its first.
+        contract-months never travel. Days, of which the calendar bounds how many a pair has, are added up to a row for
+        each month and feature after that same exchange; ``consumed_units`` is that of all features, and one row of a
+        month is its first.
         """
         pair, key = ["cust_id", "product_id"], ["cust_id", "product_id", "month"]
         held = Window.partitionBy(*key)
-        monthly = (
+        daily = (
             self.usage()
             .filter(F.col("cust").isNotNull() & F.col("product_id").isNotNull() & F.col("month").isNotNull())
-            .groupBy("cust", "product_id", "feature_id", "month")
-            .agg(F.sum("records").alias("usage_events"), F.sum("units").alias("_units"))
-            .select("*", F.col("cust").cast("string").alias("cust_id"))
+            .select(
+                "cust",
+                F.col("cust").cast("string").alias("cust_id"),
+                "product_id",
+                "feature_id",
+                F.col("month").alias("_used"),
+                "records",
+                "units",
+            )
         )
         contracts = self["entitlements"].select(
             *pair, "start_date", "end_date", F.struct("entitlement_id", "licensed_amount").alias("_contract")
@@ -294,17 +301,19 @@ class AdaptedTables(Mapping[str, DataFrame]):
         active = F.expr("sequence(trunc(start_date, 'month'), end_date, interval 1 month)")
         months = F.when(F.col("_contract").isNotNull(), active).otherwise(F.array("_used"))
         return (
-            contracts.unionByName(monthly.withColumnRenamed("month", "_used"), allowMissingColumns=True)
+            contracts.unionByName(daily, allowMissingColumns=True)
             .repartition(*pair)
             .withColumn("month", F.explode(months))
             .withColumns(
                 {
                     "_held": F.max("_contract").over(held),
-                    "consumed_units": F.sum("_units").over(held),
+                    "consumed_units": F.sum("units").over(held),
                     "is_first": F.col("feature_id") == F.min("feature_id").over(held),
                 }
             )
             .filter(F.col("_contract").isNull() & F.col("_held").isNotNull())
+            .groupBy("cust", *key, "feature_id", "consumed_units", "is_first", "_held")
+            .agg(F.sum("records").alias("usage_events"))
             .select("cust", *key, "feature_id", "usage_events", "consumed_units", "is_first", "_held.*")
         )
 
@@ -336,7 +345,8 @@ class AdaptedTables(Mapping[str, DataFrame]):
     def _deployment_events(self) -> DataFrame:
         """Each contract's start, and the first strong and the first Core day of its term.
 
-        Contracts and days meet in one exchange by customer and SKU, in the order of days; no months are spread.
+        Contracts and days meet in one exchange by customer and SKU, in the order of days; no months are spread. A day
+        may have a row for each size class: what was seen last is the same.
         """
         pair = ["cust_id", "product_id"]
         strong = F.col("peak") >= STRONG_QUANTITY
@@ -344,8 +354,13 @@ class AdaptedTables(Mapping[str, DataFrame]):
             self.usage()
             .filter(strong | F.col("is_core"))
             .filter(F.col("cust").isNotNull() & F.col("product_id").isNotNull() & F.col("day").isNotNull())
-            .groupBy(F.col("cust").cast("string").alias("cust_id"), "product_id", "day")
-            .agg(F.bool_or(strong).alias("strong"), F.bool_or("is_core").alias("core"))
+            .select(
+                F.col("cust").cast("string").alias("cust_id"),
+                "product_id",
+                "day",
+                strong.alias("strong"),
+                F.col("is_core").alias("core"),
+            )
         )
         terms = self["entitlements"].select("entitlement_id", *pair, "start_date", "end_date")
         # A contract sorts behind the days from its start on; what was seen last there is the first such day.
