@@ -95,10 +95,10 @@ def encoder(tokenizer_file: str, width: int, keep: int = 500_000):
     packed = [k.to_bytes(width, "little") for k in range(tokenizer.get_vocab_size())]
 
     def part(word: str) -> bytes:
-        """Ids of one pre-token, kept if it is met again."""
+        """Ids of one pre-token that is not empty, kept if it is met again."""
         if (ids := _known.get(word)) is None:
             shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
-            ids = _known[word] = b"".join([packed[t.id] for t in model.tokenize(shown)]) if word else b""
+            ids = _known[word] = b"".join([packed[t.id] for t in model.tokenize(shown)])
         return ids
 
     def learn(words: list[str]) -> None:
@@ -107,7 +107,10 @@ def encoder(tokenizer_file: str, width: int, keep: int = 500_000):
             if "<|" in w:
                 _known[w] = np.array(tokenizer.encode(w, add_special_tokens=False).ids, kind).tobytes()
             elif found := PLAIN.fullmatch(w):
-                _known[w] = b"".join(map(part, found.groups()))
+                before, word, after = found.groups()
+                ids = part(word)
+                if before or after:
+                    _known[w] = (part(before) if before else b"") + ids + (part(after) if after else b"")
             else:
                 others.append(w)
         groups = [others[k : k + TOGETHER] for k in range(0, len(others), TOGETHER)]
@@ -124,14 +127,14 @@ def encoder(tokenizer_file: str, width: int, keep: int = 500_000):
         lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.split_pattern(pc.replace_substring(lowered, "\n", " "), " ")
         runs = split.values.dictionary_encode()
-        words = runs.dictionary.to_pylist()
+        words = runs.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(_known) > keep:
             _known.clear()
         if new := [w for w in words if w not in _known]:
             learn(new)
         own = [_known[w] for w in words]
         # Each run's ids stand once in ``flat``; the batch is gathered from there.
-        sizes = np.array([len(x) // width for x in own], np.int64)
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // width
         flat, firsts, at = np.frombuffer(b"".join(own), kind), np.cumsum(sizes) - sizes, runs.indices.to_numpy()
         upto = np.concatenate(([0], np.cumsum(sizes[at])))
         ids = flat[np.repeat(firsts[at] - upto[:-1], sizes[at]) + np.arange(upto[-1])]

@@ -65,6 +65,15 @@ def test_runs_are_encoded_as_the_whole(texts):
     assert [np.frombuffer(f, "<u2").tolist() for f in found] == [word_ids(t) for t in texts]
 
 
+def test_plain_runs_look_up_no_empty_parts(monkeypatch):
+    """op1_id_files: a run of letters alone is one pre-token, its empty marks cost nothing."""
+    monkeypatch.setattr(id_files, "_known", {})
+    texts = ["alpha beta, alpha", "(gamma) beta"]
+    ids, cuts = id_files.encoder(WORDS, 2)(pa.array(texts, pa.string()))
+    assert "" not in id_files._known and {"alpha", "beta,", "beta", ",", "(gamma)"} <= set(id_files._known)
+    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == [word_ids(t) for t in texts]
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_joined_crc(a, b):
     import zlib
