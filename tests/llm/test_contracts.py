@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import random
+import tracemalloc
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
@@ -74,6 +75,29 @@ def test_plain_runs_look_up_no_empty_parts(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == [word_ids(t) for t in texts]
 
 
+def test_rows_are_hashed_in_small_pieces():
+    """pipeline, jaccard_join: the memory of a task does not follow the size of its batches."""
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, step, schema):
+            raise Taken(step)
+
+    class Taken(Exception):
+        pass
+
+    with pytest.raises(Taken) as caught:
+        jaccard.frequencies(Rows(), 5, 80, 100)
+    texts = [" ".join(f"w{k * j}" for j in range(400)) for k in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    list(caught.value.args[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20, peak
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_joined_crc(a, b):
     import zlib
