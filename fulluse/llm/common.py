@@ -144,10 +144,11 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(mix(out))
 
 
-def pieces(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with about ``size`` bytes of text, one row at least."""
-    text = batch.column("text")
-    offsets = np.frombuffer(text.buffers()[1], np.int64 if pa.types.is_large_string(text.type) else np.int32)
+def pieces(batch: pa.RecordBatch, size: int = 1 << 21, of: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``size`` bytes of text, or of another column, one row at least."""
+    text = batch.column(of)
+    wide = pa.types.is_large_string(text.type) or pa.types.is_large_binary(text.type)
+    offsets = np.frombuffer(text.buffers()[1], np.int64 if wide else np.int32)
     offsets = offsets[text.offset : text.offset + len(text) + 1]
     first = 0
     while first < batch.num_rows:

@@ -24,6 +24,7 @@ all columns whatever their names, ``join`` only its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from fulluse.llm.common import LOWER_BYTES, NO_ID, Scratch, components, keyed, m
 BLOCK, COLUMNS, ANCHORS, SLOTS = 256, 2048, 16, 1 << 20
 #: Bytes of text hashed at once: hashing holds about forty times as many.
 PIECE = 1 << 19
+#: Bytes of keys that meet at once where they are dealt, and in a bucket: joining them holds some ten times as many.
+KEYS, BUCKET = 1 << 21, 1 << 23
 
 
 def levels(num: int, den: int, most: int) -> list[int]:
@@ -143,7 +146,7 @@ def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
     """rows: doc_id, keys. Edges a, b: each row to the smallest doc_id that has one of its keys, over one step more.
 
     A task joins the rows that it sees of a key to the smallest of them and ships the key once, so a key that a third of
-    all rows have is a row for each batch.
+    all rows have is a row for each piece of ``KEYS`` bytes.
     """
     def joined(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys, the smallest doc of each, and the edges from there as two rows."""
@@ -156,10 +159,8 @@ def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in chain.from_iterable(pieces(whole, KEYS, "keys") for whole in batches):
             lists = [np.frombuffer(k, "<u8") for k in batch.column("keys").to_pylist()]
-            if not lists:
-                continue
             ids = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in lists])
             key, doc, edges = joined(np.concatenate(lists), ids)
             out = [(-1, edges.astype("<i8").tobytes())] if edges.size else []
@@ -303,7 +304,9 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     sets = scratch.save(incidence(docs, width, num, den), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "tag")).alias("node"))
     classes = scratch.save(classes, "classes")
-    buckets = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    # Two levels of keys, of eight bytes each.
+    total = (sets.agg(F.sum("n")).first()[0] or 0) * 2 * 2 * (den - num) // (den + num) * 8
+    buckets = max(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET + 1)
     owners = classes.select("node.doc_id", "node.tag")
     members = clustered(owners, shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets), scratch, "clusters")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))

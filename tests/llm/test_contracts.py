@@ -75,6 +75,29 @@ def test_plain_runs_look_up_no_empty_parts(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == [word_ids(t) for t in texts]
 
 
+def test_keys_are_dealt_in_small_pieces(spark):
+    """pipeline, jaccard_join: the memory of a task that deals keys does not follow the size of its batches."""
+    class Rows:
+        def mapInArrow(self, step, schema):
+            raise Taken(step)
+
+    class Taken(Exception):
+        pass
+
+    with pytest.raises(Taken) as caught:
+        jaccard.shared_keys(Rows(), 8)
+    rng = np.random.default_rng(3)
+    keys = [rng.integers(0, 1 << 62, 200).astype("<i8").tobytes() for _ in range(10_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(10_000), pa.int64()), "keys": pa.array(keys, pa.binary())})
+    del keys
+    tracemalloc.start()
+    for out in caught.value.args[0](iter([batch])):
+        assert out.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20, peak
+
+
 def test_rows_are_hashed_in_small_pieces():
     """pipeline, jaccard_join: the memory of a task does not follow the size of its batches."""
     class Rows:
