@@ -115,6 +115,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """What ``span_hashes`` gives the ``width`` bytes from each place on."""
+    up, down = _power(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    own = sums[width:] - sums[: len(sums) - width]
+    own *= down[: len(own)]
+    own += np.array(width, np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mix(own)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulluse.llm.common import Scratch, keyed, mix, pieces, shown_id, span_hashes
+from fulluse.llm.common import Scratch, keyed, mix, pieces, shown_id, span_hashes, window_hashes
 
 LENGTH, SEED, SHALLOW = 100, 16, 32
 #: A name is hot from this many runs on, and from this share of all runs: at most 200,000 names are.
@@ -79,10 +79,11 @@ class BlindTrie:
 
 def character(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
     """Bytes depth to depth + 8 of each string as one number, zero bytes after its end. data has 8 bytes to spare."""
-    at = np.minimum(starts + depth, len(data) - 8)
-    word = np.zeros(len(starts), np.uint64)
-    for k in range(8):
-        word = (word << np.uint64(8)) | data[at + k]
+    # Eight bytes from any place are read as one big-endian number.
+    words = np.ndarray(len(data) - 7, ">u8", np.ascontiguousarray(data), strides=(1,))
+    word = words[np.minimum(starts + depth, len(data) - 8)].astype(np.uint64)
+    if depth + 8 <= lengths.min(initial=depth + 8):
+        return word
     over = np.clip(depth + 8 - lengths, 0, 8)
     return np.where(over < 8, (word >> (8 * np.minimum(over, 7)).astype(np.uint64)) << (8 * np.minimum(over, 7)).astype(np.uint64), 0)
 
@@ -141,9 +142,8 @@ def runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray,
     if not len(data) or sizes.max(initial=0) < length:
         return none.astype(np.uint64), none, none, none
     seed = min(SEED, length)
-    at = np.arange(len(data) - seed + 1)
-    names = span_hashes(data, at, at + seed)
-    low = (names & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    names = window_hashes(data, seed)
+    low = (names & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(names), dtype=np.uint64)
     width, step = length - seed + 1, 1
     while step * 2 <= width:
         low = np.minimum(low[:-step], low[step:])

@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fulluse.llm import bpe, exact_dedup, id_files, jaccard, lengths, line_dedup, suffixes
-from fulluse.llm.common import Scratch, sifted
+from fulluse.llm.common import Scratch, sifted, span_hashes, window_hashes
 from tests.llm import brute
 
 WORDS, RANKS = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
@@ -75,6 +75,28 @@ def test_plain_runs_look_up_no_empty_parts(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == [word_ids(t) for t in texts]
 
 
+def test_eight_bytes_are_read_at_once():
+    """op3_suffix_dedup: a character of eight bytes is one gather, whatever stands behind a string's end."""
+    rng = np.random.default_rng(5)
+    data = np.concatenate((rng.integers(0, 256, 3000).astype(np.uint8), np.zeros(8, np.uint8)))
+    starts, lengths = rng.integers(0, 2900, 500), rng.integers(1, 100, 500)
+    raw, gathers = data.tobytes(), []
+
+    class Bytes(np.ndarray):
+        def __getitem__(self, at):
+            gathers.append(at)
+            return np.ndarray.__getitem__(self, at)
+
+    for depth in (0, 8, 24, 96):
+        own = [int.from_bytes(raw[s + depth : s + min(depth + 8, n)].ljust(8, b"\0"), "big") if n > depth else 0 for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        assert suffixes.character(data, starts, lengths, depth).tolist() == own
+    suffixes.character(data.view(Bytes), starts, lengths, 8)
+    assert len(gathers) <= 1
+    for width in (1, 16):
+        at = np.arange(len(data) - width + 1)
+        assert (window_hashes(data, width) == span_hashes(data, at, at + width)).all()
+
+
 def test_keys_are_dealt_in_small_pieces(spark):
     """pipeline, jaccard_join: the memory of a task that deals keys does not follow the size of its batches."""
     class Rows:
