@@ -35,14 +35,15 @@ UNITS = "km|cm|mm|kg|mg|ml|kwh|mph|hours?|minutes?|seconds?|days?|weeks?|months?
 def marked(text: Column) -> Column:
     """The text with marks before numbers, units and names; places of white space stay."""
     out = F.replace(F.replace(text, F.lit("‹"), F.lit("")), F.lit("›"), F.lit(""))
-    out = F.regexp_replace(out, rf"(?i)(?<=\d ?)(?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}])", "‹u›$0")
+    # What looks back is behind what is found, since a look back at every place costs most.
+    out = F.regexp_replace(out, rf"(?i)(\d ?)((?:{UNITS}|[%€$£])(?![\p{{L}}\p{{N}}]))", "$1‹u›$2")
     # Possessive repetition: a long list of numbers takes no stack.
     out = F.regexp_replace(out, r"\d++(?:[.,]\d++)*+", "‹d›$0")
     out = F.regexp_replace(out, rf"{RARE}(?<=[^.!?\s]\s)\p{{Lu}}[\p{{L}}'’-]*+", "‹m›$0")
     # The first word of a sentence may be a name.
     out = F.regexp_replace(out, rf"{RARE}(?<![\p{{L}}\p{{N}}›'’-])\p{{Lu}}[\p{{L}}'’-]*+", "‹s›$0")
     # Signs stay beside numbers: what is 3 + 4 is not what is 3 * 4.
-    out = F.regexp_replace(out, rf"(?<=\d)\s+([{SIGNS}])\s+(?=‹d›)", " $1")
+    out = F.regexp_replace(out, rf"\s(?<=\d\s)\s*([{SIGNS}])\s+(?=‹d›)", " $1")
     return F.regexp_replace(
         F.lower(out), rf"{RARE}(?:[^\p{{L}}\p{{N}}\s‹›.,{SIGNS}]+|(?<!\d)[.,]|[.,](?!\d)|(?<!‹u›)[{SIGNS}](?!‹d›))", ""
     )
@@ -115,39 +116,50 @@ def hashed(rows: DataFrame, lengths: list[int], sifted: tuple[Column, int], *kee
     ``lengths`` with their values.
 
     A word without a mark reads alike everywhere, so a window that has one which no item has agrees with none. Windows
-    are hashed only where every word is marked or passes the sieve of item words.
+    are hashed only where every word is marked or passes the sieve of item words. Each word in one is read and hashed
+    once, and a window's hash is made of those of its words.
     """
     known, bits = sifted
 
     def starts(length: int) -> Column:
-        n = F.size("words")
-        every = F.slice(F.sequence(F.lit(0), F.greatest(n - length, F.lit(0))), F.lit(1), F.greatest(n - (length - 1), F.lit(0)))
-        if length == WINDOW:
-            return F.filter(every, lambda at: F.coalesce(F.get(F.col("_8"), at), F.lit(False)))
-        return F.filter(every, lambda at: reduce(and_, (F.get(F.col("_1"), at + k) for k in range(length))))
+        first, last = F.instr("_pass", "1" * length), F.size("words") - length
+        every = F.when(first > 0, F.sequence(first - 1, last)).otherwise(F.array().cast("array<int>"))
+        flags = F.col("_pass").cast("binary")
+        return F.filter(every, lambda at: F.substring(flags, at + 1, F.lit(length)) == F.lit(b"1" * length))
 
-    def runs(length: int, readings: dict[str, Callable[[Column], Column]]) -> Column:
-        """at and the hash in each reading."""
-        def cut(at: Column, read: Callable[[Column], Column]) -> Column:
-            return F.xxhash64(*(F.xxhash64(read(F.get(F.col("words"), at + k))) for k in range(length)))
+    def runs(length: int, names: dict[str, str]) -> Column:
+        """at and the hash in each reading, by the columns with the hashes of words."""
+        def cut(at: Column, name: str) -> Column:
+            return F.xxhash64(*(F.get(F.col(name), at + k) for k in range(length)))
 
-        return F.transform(starts(length), lambda at: F.struct(at.alias("at"), *(cut(at, read).alias(name) for name, read in readings.items())))
+        return F.transform(starts(length), lambda at: F.struct(at.alias("at"), *(cut(at, of).alias(name) for name, of in names.items())))
 
-    def passes(place: Column) -> Column:
-        return (place < 0) | (F.getbit(F.get(known, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    def passes(h: Column) -> Column:
+        place = F.pmod(h, F.lit(bits))
+        held = F.getbit(F.get(known, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return F.when(h.isNull() | held, "1").otherwise("0")
 
-    def both(of: str, step: int) -> Column:
-        rest = F.slice(of, F.lit(step + 1), F.greatest(F.size(of), F.lit(1)))
-        return F.zip_with(of, rest, lambda x, y: x & y)
+    least = min([WINDOW, *lengths])
+
+    def read_hashes(read: Callable[[Column], Column]) -> Column:
+        """Of each word in this reading, if it may be in a window or run."""
+        def near(k: Column) -> Column:
+            around = F.substring(F.col("_starts").cast("binary"), F.greatest(k - (least - 1), F.lit(0)) + 1, F.lit(least))
+            return F.instr(around.cast("string"), "2") > 0
+
+        own = F.transform("words", lambda w, k: F.coalesce(F.get(F.col("_plain"), k), F.when(near(k), F.xxhash64(read(w)))))
+        return F.when(F.instr("_starts", "2") > 0, own)
 
     # No filter on the number of words: it would split each text twice. Short texts have no window.
-    place = F.transform("words", lambda w: F.when(w.contains("‹"), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64(w), F.lit(bits))))
-    words = rows.select(*keep, "words").select("*", place.alias("_place")).select(*keep, "words", F.transform("_place", passes).alias("_1"))
-    for step in (1, 2, 4):
-        words = words.withColumn(f"_{2 * step}", both(f"_{step}", step))
-    windows = runs(WINDOW, READINGS)
+    words = rows.select(*keep, "words", F.transform("words", lambda w: F.when(~w.contains("‹"), F.xxhash64(w))).alias("_plain"))
+    words = words.select(*keep, "words", "_plain", F.array_join(F.transform("_plain", passes), "").alias("_pass"))
+    # A 2 is the first of so many words that pass as the shortest run has.
+    words = words.select("*", F.regexp_replace("_pass", f"1(?=1{{{least - 1}}})", "2").alias("_starts"))
+    of = {name: f"_{name}" for name in READINGS}
+    words = words.select(*keep, "words", "_pass", *(read_hashes(read).alias(of[name]) for name, read in READINGS.items()))
+    windows = runs(WINDOW, of)
     for length in lengths:
-        windows = F.concat(windows, runs(length, dict.fromkeys(READINGS, value)))
+        windows = F.concat(windows, runs(length, dict.fromkeys(READINGS, of["value"])))
     found = words.select(*keep, F.inline_outer(windows)).filter("at is not null")
     one, *others = (F.col(name) for name in READINGS)
     same = reduce(and_, (one == other for other in others))

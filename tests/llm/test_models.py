@@ -190,6 +190,21 @@ def test_edited_copies(spark, scratch, text, item):
     assert len(leaks(spark, scratch, text, item)) == 1
 
 
+def test_words_are_read_once(spark):
+    """op10_decontaminate: a word is read once for each reading, not once for each window that it is in."""
+    rows = spark.createDataFrame([(1, 1, ITEM.split()), (2, 2, ["a"])], "doc_id long, tag long, words array<string>")
+    items = rows.select(F.col("doc_id").alias("item_id"), "words")
+    found = decontaminate.hashed(rows, [1, 3], decontaminate.sieve(items), "doc_id", "tag")
+    words = ITEM.split()
+    want = {(1, k, n) for n in (1, 3, 8) for k in range(len(words) - n + 1)} | {(2, 0, 1)}
+    whole = {(r["doc_id"], r["at"], n): r["h"] for n in (1, 3, 8) for r in rows.select(
+        "doc_id", F.posexplode(F.filter(F.transform("words", lambda w, k: F.slice("words", k + 1, n)), lambda s: F.size(s) == n)).alias("at", "s")
+    ).select("doc_id", "at", decontaminate.run_hash(F.col("s"), n).alias("h")).collect()}
+    assert set(whole) == want
+    assert {(r["doc_id"], r["at"], r["h"]) for r in found.collect()} == {(d, at, h) for (d, at, _), h in whole.items()}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 40
+
+
 def test_long_monotonous_texts(spark, scratch):
     """A megabyte of numbers, capitals, signs or marks takes no stack, and an item behind it is found."""
     texts = [part * 200_000 + f" . {ITEM}" for part in ("1,", "1.5 ", "A", "Aa ", "+", "3 + ", "‹›", ",.", "$ ")]
