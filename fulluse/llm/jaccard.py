@@ -5,7 +5,9 @@ The rows of the incidence matrix are documents, its columns n-grams (64-bit hash
 1. Equal rows are one class, known by a 128-bit hash of the sorted columns; one document stands for it.
 2. Columns are dealt by hash into so many blocks that two rows over the threshold differ in fewer columns than there are
    blocks: the number follows from the sizes. Such rows agree in one of their fullest blocks whole; all other pairs are
-   discarded unseen. A block's content is a key; rows meet at the smallest document of each key, never pair by pair.
+   discarded unseen. A block's content is a key. Keys are counted where they meet, and of each row those that most rows
+   have are left out, as many as the bound allows: any order that all rows follow keeps a common key. Rows meet at the
+   smallest document of each key that is left, never pair by pair.
 3. Rows that hang together by keys are a cluster. In one of more than ``BLOCK`` rows the keys are counted (in ``SLOTS``
    sums) and chosen anew, the rarest first: any order that all rows follow keeps a common key, and passages that many
    documents share then hold no rows together. What still hangs together are the clusters of such rows.
@@ -49,7 +51,7 @@ def levels(num: int, den: int, most: int) -> list[int]:
     return [*out, max(out[-1] + 1, out[-1] * den // num)]
 
 
-def level_keys(columns: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def level_keys(columns: np.ndarray, num: int, den: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """For a row's own level and the next: keys of its column blocks, columns in each, and how many keys may differ."""
     tops = levels(num, den, len(columns))
     own = int(np.searchsorted(tops, len(columns)))
@@ -62,25 +64,39 @@ def level_keys(columns: np.ndarray, num: int, den: int) -> Iterator[tuple[np.nda
         sums = np.zeros(blocks, np.uint64)
         np.add.at(sums, at, mix(spread))
         place = np.arange(blocks, dtype=np.uint64) + np.uint64((level + 1) << 40)
-        yield mix(sums + mix(place)), np.bincount(at, minlength=blocks), most
+        yield level, mix(sums + mix(place)), np.bincount(at, minlength=blocks), most
 
 
 def slots(keys: np.ndarray) -> np.ndarray:
     return (keys % np.uint64(SLOTS)).astype(np.int64)
 
 
-def block_keys(columns: np.ndarray, num: int, den: int, seen: np.ndarray | None = None) -> np.ndarray:
+def block_keys(columns: np.ndarray, num: int, den: int, seen: np.ndarray) -> np.ndarray:
     """The keys of a row, at its own level and the next; ``seen`` says how frequent the keys of each slot are."""
     out = []
-    for keys, filled, most in level_keys(columns, num, den):
+    for _, keys, filled, most in level_keys(columns, num, den):
         # At most ``most`` of a row's keys are not the other row's. In any order that both rows follow, their first
-        # most + 1 keys so have one in common. Full blocks, which rows rarely share by chance, go first, and before
-        # that rare keys where they are counted.
-        order = (keys, -filled) if seen is None else (keys, -filled, seen[slots(keys)])
-        out.append(keys[np.lexsort(order)[: most + 1]])
+        # most + 1 keys so have one in common. Rare keys go first, then full blocks, which rows rarely share by chance.
+        out.append(keys[np.lexsort((keys, -filled, seen[slots(keys)]))[: most + 1]])
     return np.concatenate(out)
 
 
+def counted_keys(columns: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """The keys of a row that are counted before ``most + 1`` of each level are chosen, and how many the choice leaves out.
+
+    Blocks with columns are counted, empty ones follow only where these do not suffice; an order by that, then by
+    counts, is one that all rows follow. A key has 47 bits and its level's parity, in which a row's two levels differ;
+    keys that are equal by chance only let more rows meet. The number left out is kept by parity, 32 bits each.
+    """
+    out, spare = [], 0
+    for level, keys, filled, most in level_keys(columns, num, den):
+        count = max(int((filled > 0).sum()), most + 1)
+        keys = keys[np.lexsort((keys, -filled))[:count]] >> np.uint64(16)
+        out.append(keys & ~np.uint64(1) | np.uint64(level & 1))
+        spare |= (count - most - 1) << (32 * (level & 1))
+    return np.concatenate(out), spare
+
+
 def rows_of(texts: list[str], width: int) -> list[np.ndarray]:
     """The rows of the incidence matrix: each text's distinct n-grams."""
     words, bounds = word_hashes([t.encode().translate(LOWER_BYTES) for t in texts])
@@ -88,23 +104,26 @@ def rows_of(texts: list[str], width: int) -> list[np.ndarray]:
 
 
 def incidence(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """doc_id, tag, n, s1, s2 (hash of the whole set), keys."""
+    """doc_id, tag, n, s1, s2 (hash of the whole set), keys and spare (how many of them may be left out)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, PIECE):
-                n, s1, s2, keys = [], [], [], []
+                n, s1, s2, keys, spare = [], [], [], [], []
                 for found in rows_of(batch.column("text").to_pylist(), width):
                     place = np.arange(len(found), dtype=np.uint64)
                     n.append(len(found))
                     for out, salt in ((s1, 1), (s2, 2)):
                         out.append(int(mix(mix(found + np.uint64(salt)) + place).sum(dtype=np.uint64).astype(np.int64)))
-                    keys.append(block_keys(found, num, den).astype("<i8").tobytes() if len(found) else b"")
+                    own, left = counted_keys(found, num, den) if len(found) else (place, 0)
+                    keys.append(own.astype("<u8").tobytes())
+                    spare.append(left)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id"), "tag": batch.column("tag"), "n": pa.array(n, pa.int64()),
                     "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()), "keys": pa.array(keys, pa.binary()),
+                    "spare": pa.array(spare, pa.int64()),
                 })
 
-    return keyed(docs).mapInArrow(rows, "doc_id long, tag long, n long, s1 long, s2 long, keys binary")
+    return keyed(docs).mapInArrow(rows, "doc_id long, tag long, n long, s1 long, s2 long, keys binary, spare long")
 
 
 def frequencies(rows: DataFrame, width: int, num: int, den: int) -> np.ndarray:
@@ -115,7 +134,7 @@ def frequencies(rows: DataFrame, width: int, num: int, den: int) -> np.ndarray:
             for batch in pieces(whole, PIECE):
                 for found in rows_of(batch.column("text").to_pylist(), width):
                     if len(found):
-                        for keys, _, _ in level_keys(found, num, den):
+                        for _, keys, _, _ in level_keys(found, num, den):
                             np.add.at(total, slots(keys), 1)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"slot": slot, "n": total[slot]})
@@ -142,6 +161,122 @@ def rarest_keys(rows: DataFrame, seen: np.ndarray, width: int, num: int, den: in
     return rows.select("doc_id", "text").mapInArrow(chosen, "doc_id long, keys binary")
 
 
+PACKED = pa.schema([("bucket", pa.int64()), ("packed", pa.binary())])
+
+
+def packed(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Rows of 64-bit numbers as one compressed piece for each bucket, in the order they are in."""
+    press, out = zstandard.ZstdCompressor(level=3), []
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1)), len(order))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        at = order[a:b]
+        # The first column ascends, so its steps have zero bytes on top; planes of bytes press better than numbers.
+        rows = [c[at].astype(np.uint64) for c in columns]
+        rows[0] = np.diff(rows[0], prepend=np.uint64(0))
+        planes = np.ascontiguousarray(np.stack(rows).view(np.uint8).reshape(-1, 8).T)
+        out.append((int(bucket[at[0]]), press.compress(planes.tobytes())))
+    return pa.RecordBatch.from_pydict({"bucket": [x for x, _ in out], "packed": [x for _, x in out]}, PACKED)
+
+
+def unpacked(piece: bytes, columns: int) -> np.ndarray:
+    """The columns of a packed piece."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(piece), np.uint8).reshape(8, -1)
+    rows = np.ascontiguousarray(planes.T).view("<u8").reshape(columns, -1)
+    rows[0] = np.cumsum(rows[0], dtype=np.uint64)
+    return rows
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[list[np.ndarray]]:
+    """The rows of each bucket, of pieces that come in order of buckets; of several kinds if they have several widths."""
+    held: dict[int, list[np.ndarray]] = {}
+    current = None
+
+    def close() -> list[np.ndarray]:
+        return [np.concatenate([np.zeros((n, 0), np.uint64), *held.get(k, [])], axis=1) for k, n in enumerate(columns)]
+
+    for batch in batches:
+        kinds = batch.column("kind").to_pylist() if len(columns) > 1 else [0] * batch.num_rows
+        for bucket, kind, piece in zip(batch.column("bucket").to_pylist(), kinds, batch.column("packed").to_pylist(), strict=True):
+            if bucket != current and held:
+                yield close()
+                held = {}
+            current = bucket
+            held.setdefault(kind, []).append(unpacked(piece, columns[kind]))
+    if held:
+        yield close()
+
+
+def kept_keys(heads: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """heads: doc, spare; shared: doc, key, how many rows have it. Docs and their shared keys without the most frequent.
+
+    Rows that repeat a doc_id keep all.
+    """
+    order = np.argsort(heads[0], kind="stable")
+    docs, first, copies = np.unique(heads[0][order], return_index=True, return_counts=True)
+    spare = np.where(copies > 1, 0, heads[1][order][first])
+    doc, key, n = shared
+    if not len(doc):
+        return doc, key
+    odd = key & np.uint64(1)
+    order = np.lexsort((key, n, odd, doc))
+    doc, key, odd = doc[order], key[order], odd[order]
+    alone = np.ones(len(doc), bool)
+    alone[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+    doc, key, odd = doc[alone], key[alone], odd[alone]
+    starts = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (odd[1:] != odd[:-1]))))
+    ends = np.append(starts[1:], len(doc))
+    left = np.repeat(ends, ends - starts) - np.arange(len(doc)) - 1
+    own = spare[np.searchsorted(docs, doc)] >> (odd * np.uint64(32)) & np.uint64(0xFFFFFFFF)
+    kept = left >= own.astype(np.int64)
+    return doc[kept], key[kept]
+
+
+def rare_keys(rows: DataFrame, buckets: int) -> DataFrame:
+    """rows: doc_id, keys, spare. doc_id, keys: the keys that another row has too, without the most frequent ``spare``.
+
+    Every row's keys meet once, and what comes back for the choice are those that are shared.
+    """
+    count = np.uint64(buckets)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(pieces(whole, KEYS, "keys") for whole in batches):
+            lists = [np.frombuffer(k, "<u8") for k in batch.column("keys").to_pylist()]
+            doc = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in lists])
+            key = np.concatenate(lists)
+            order = np.argsort(key, kind="stable")
+            yield packed((key[order] >> np.uint64(16)) % count, key[order], doc[order])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ((key, doc),) in by_bucket(batches, 2):
+            _, place, n = np.unique(key, return_inverse=True, return_counts=True)
+            n = n[place]
+            some = np.flatnonzero(n > 1)
+            some = some[np.argsort(doc[some], kind="stable")]
+            yield packed((mix(doc[some]) >> np.uint64(33)) % count, doc[some], key[some], n[some])
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column("doc_id").to_numpy().astype(np.uint64)
+            order = np.argsort(doc, kind="stable")
+            spare = batch.column("spare").to_numpy()
+            yield packed((mix(doc[order]) >> np.uint64(33)) % count, doc[order], spare[order])
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, shared in by_bucket(batches, 2, 3):
+            doc, key = kept_keys(own, shared)
+            docs, first = np.unique(doc, return_index=True)
+            keys = [x.astype("<u8").tobytes() for x in np.split(key, first[1:])] if len(docs) else []
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs.astype(np.int64)), "keys": pa.array(keys, pa.binary())})
+
+    kind = "bucket long, packed binary"
+    met = rows.select("doc_id", "keys").mapInArrow(dealt, kind).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    shared = met.mapInArrow(counted, kind).withColumn("kind", F.lit(1))
+    own = rows.select("doc_id", "spare").mapInArrow(heads, kind).withColumn("kind", F.lit(0))
+    both = own.union(shared).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return both.mapInArrow(chosen, "doc_id long, keys binary")
+
+
 def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
     """rows: doc_id, keys. Edges a, b: each row to the smallest doc_id that has one of its keys, over one step more.
 
@@ -158,28 +293,16 @@ def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
         return key[first], doc[first], np.unique(np.stack((lead[other], doc[other])), axis=1)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
         for batch in chain.from_iterable(pieces(whole, KEYS, "keys") for whole in batches):
             lists = [np.frombuffer(k, "<u8") for k in batch.column("keys").to_pylist()]
             ids = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in lists])
             key, doc, edges = joined(np.concatenate(lists), ids)
-            out = [(-1, edges.astype("<i8").tobytes())] if edges.size else []
-            bucket = (key >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.append(np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1)), len(order))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                at = order[a:b]
-                # Keys ascend, so their steps have zero bytes on top; planes of bytes press better than numbers.
-                both = np.stack((np.diff(key[at], prepend=np.uint64(0)), doc[at].astype(np.uint64)))
-                planes = np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T)
-                out.append((int(bucket[at[0]]), press.compress(planes.tobytes())))
-            yield pa.RecordBatch.from_pydict(
-                {"bucket": [x for x, _ in out], "packed": [x for _, x in out]},
-                pa.schema([("bucket", pa.int64()), ("packed", pa.binary())]),
-            )
+            if edges.size:
+                yield pa.RecordBatch.from_pydict({"bucket": [-1], "packed": [edges.astype("<i8").tobytes()]}, PACKED)
+            yield packed((key >> np.uint64(16)) % np.uint64(buckets), key, doc)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpress, held, current = zstandard.ZstdDecompressor(), [], None
+        held, current = [], None
 
         def close() -> pa.RecordBatch:
             key, doc = np.concatenate(held, axis=1)
@@ -187,24 +310,22 @@ def shared_keys(rows: DataFrame, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_pydict({"a": edges[0], "b": edges[1]})
 
         for batch in batches:
-            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+            for bucket, piece in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
                 if bucket < 0:
-                    a, b = np.frombuffer(packed, "<i8").reshape(2, -1)
+                    a, b = np.frombuffer(piece, "<i8").reshape(2, -1)
                     yield pa.RecordBatch.from_pydict({"a": a, "b": b})
                     continue
                 if bucket != current and held:
                     yield close()
                     held = []
                 current = bucket
-                planes = np.frombuffer(unpress.decompress(packed), np.uint8).reshape(8, -1)
-                steps, doc = np.ascontiguousarray(planes.T).view("<u8").reshape(2, -1)
-                held.append(np.stack((np.cumsum(steps, dtype=np.uint64), doc)))
+                held.append(unpacked(piece, 2))
         if held:
             yield close()
 
     task = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.xxhash64("packed"))
-    packed = rows.mapInArrow(dealt, "bucket long, packed binary").withColumn("task", task)
-    grouped = packed.repartition(buckets, "task").sortWithinPartitions("bucket").select("bucket", "packed")
+    made = rows.mapInArrow(dealt, "bucket long, packed binary").withColumn("task", task)
+    grouped = made.repartition(buckets, "task").sortWithinPartitions("bucket").select("bucket", "packed")
     return grouped.mapInArrow(met, "a long, b long")
 
 
@@ -308,7 +429,8 @@ def join(docs: DataFrame, scratch: Scratch, width: int = 5, num: int = 80, den:
     total = (sets.agg(F.sum("n")).first()[0] or 0) * 2 * 2 * (den - num) // (den + num) * 8
     buckets = max(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET + 1)
     owners = classes.select("node.doc_id", "node.tag")
-    members = clustered(owners, shared_keys(sets.filter("n > 0").select("doc_id", "keys"), buckets), scratch, "clusters")
+    chosen = rare_keys(sets.filter("n > 0").select("doc_id", "keys", "spare"), buckets)
+    members = clustered(owners, shared_keys(chosen, buckets), scratch, "clusters")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
     # Most documents are in no cluster; their texts stay where they are.
     inside, _ = sifted(keyed(docs), members, ["doc_id", "tag"])

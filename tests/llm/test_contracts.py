@@ -143,6 +143,48 @@ def test_rows_are_hashed_in_small_pieces():
     assert peak < 64 << 20, peak
 
 
+def test_passages_hold_no_rows_together(spark, scratch):
+    """pipeline, jaccard_join: rows that share a passage and little else are no cluster; near copies among them are."""
+    rng = np.random.default_rng(11)
+    passage = " ".join(f"p{k}" for k in range(120))
+    texts = [passage + "".join(f" w{x}" for x in rng.integers(0, 1 << 40, 180)) for _ in range(200)]
+    texts += [f"{t} end" for t in texts[:5]]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = by_id(jaccard.join(docs, scratch), "component_id")
+    assert {d: c for d, (c,) in found.items()} == {d: d - 200 if d >= 200 else d for d in range(205)}
+    members = spark.read.parquet(f"{scratch.folder}/clusters-members-*")
+    assert members.count() < 80
+
+
+@pytest.mark.parametrize("num,den", [(80, 100), (90, 100), (50, 100)])
+def test_chosen_keys_meet(num, den):
+    """Two rows over the threshold keep a common key, whatever other rows make frequent; a repeated doc_id keeps all."""
+    rng = np.random.default_rng(num)
+    rows = [np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64)) for n in (1, 2, 7, 40, 300)]
+    pairs = []
+    for row in rows:
+        most = len(row) * (den - num) // (den + num)
+        other = np.unique(np.concatenate((row[most:], rng.integers(0, 1 << 62, most, dtype=np.uint64))))
+        shared = len(np.intersect1d(row, other))
+        assert shared * den >= num * (len(row) + len(other) - shared)
+        pairs += [row, other]
+    # Others share parts of these rows, so that many of their keys are frequent.
+    rows = pairs + [np.unique(np.concatenate((r[: len(r) * k // 8], rng.integers(0, 1 << 62, 50, dtype=np.uint64)))) for r in pairs for k in range(1, 8)]
+    made = [jaccard.counted_keys(r, num, den) for r in rows]
+    key = np.concatenate([k for k, _ in made])
+    doc = np.repeat(np.arange(len(rows), dtype=np.uint64), [len(k) for k, _ in made])
+    _, place, n = np.unique(key, return_inverse=True, return_counts=True)
+    some = n[place] > 1
+    shared = np.stack((doc[some], key[some], n[place][some].astype(np.uint64)))
+    heads = np.stack((np.arange(len(rows), dtype=np.uint64), np.array([s for _, s in made], np.uint64)))
+    docs, keys = jaccard.kept_keys(heads, shared)
+    for a in range(0, len(pairs), 2):
+        assert len(np.intersect1d(keys[docs == a], keys[docs == a + 1]))
+    assert num == 50 or len(keys) < len(np.unique(shared[:2], axis=1).T)
+    again = jaccard.kept_keys(np.concatenate((heads, heads), axis=1), shared)
+    assert len(again[1]) == len(np.unique(shared[:2], axis=1).T)
+
+
 @given(st.binary(max_size=50), st.binary(max_size=50))
 def test_joined_crc(a, b):
     import zlib
