@@ -200,7 +200,7 @@ class Store:
 
     def build(self, raw: Mapping[str, DataFrame]) -> None:
         """Everything, from the whole of the raw tables."""
-        models = Models(raw, self.params)
+        models = Models(raw, self.params, laid=True)
         for name in (*SMALL, *BY_MONTH):
             models.put(name, self._put(name, models[name]))
         for name in (ADOPTION, *ROLLUPS):
@@ -208,6 +208,10 @@ class Store:
         self._put(DIGESTS, digests(raw))
 
     def _put(self, name: str, df: DataFrame) -> DataFrame:
+        if name == ACTIVITY:
+            # Laid by month while it is folded, so that the grid itself passes no exchange.
+            order = (*storage.BY_MONTH, *storage.IN_MONTH)
+            return storage.replace_table(df, self.path(name), (), order, month_folders=True)
         if name in BY_MONTH:
             return storage.replace_table(df, self.path(name), storage.BY_MONTH, storage.IN_MONTH, month_folders=True)
         return storage.replace_table(df, self.path(name))
@@ -264,10 +268,10 @@ class Store:
         window, months = literals(found.window), in_months(found.activity_months)
         spine = staging.entitlement_month(contracts, window).filter(months)
         grid = staging.feature_activity(
-            spine, contracts, window, raw["features"], raw["feature_adoption_monthly"].filter(months)
+            spine, contracts, window, raw["features"], raw["feature_adoption_monthly"].filter(months), storage.BY_MONTH
         )
         if found.activity_months:
-            storage.refresh_months(grid.filter(months), self.path(ACTIVITY))
+            storage.refresh_months(grid.filter(months), self.path(ACTIVITY), laid=True)
         held = spine.join(raw["features"], "product_id", "left_semi").select("month").distinct()
         emptied = set(found.activity_months) - {r["month"] for r in held.collect()}
         gone = set(months_between(*old)) - set(months_between(*found.window))
